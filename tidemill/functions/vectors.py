@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -57,16 +57,25 @@ def neutralise(e: Column, axis: Column) -> Column:
     return minus(e, projection(e, axis))
 
 
-def equalise(e1: Column, e2: Column, axis: Column) -> tuple[Column, Column]:
-    """Make a pair differ only, and by the same amount, along the axis."""
-    mu = scale(add(e1, e2), F.lit(0.5))
-    mu_on = projection(mu, axis)
-    mu_off = minus(mu, mu_on)
-    size = F.sqrt(F.abs(F.lit(1.0) - dot(mu_off, mu_off)))
-
-    def moved(e: Column) -> Column:
-        along = minus(projection(e, axis), mu_on)
-        away = minus(minus(e, mu_off), mu_on)
-        return add(scale(along, size / norm(away)), mu_off)
-
-    return moved(e1), moved(e2)
+def equalise(df: DataFrame, e1: str, e2: str, axis: str, out1: str, out2: str) -> DataFrame:
+    """Make a pair of columns differ only, and by the same amount, along the axis.
+
+    Worked out in named steps, so that no shared term is computed twice.
+    """
+    a, b, g = F.col(e1), F.col(e2), F.col(axis)
+    mid = df.withColumn("_mu", scale(add(a, b), F.lit(0.5)))
+    on = mid.withColumns({"_mu_on": projection(F.col("_mu"), g), "_p1": projection(a, g), "_p2": projection(b, g)})
+    off = on.withColumn("_off", minus(F.col("_mu"), F.col("_mu_on")))
+    ready = off.withColumns(
+        {
+            "_size": F.sqrt(F.abs(F.lit(1.0) - dot(F.col("_off"), F.col("_off")))),
+            "_far1": norm(minus(minus(a, F.col("_off")), F.col("_mu_on"))),
+            "_far2": norm(minus(minus(b, F.col("_off")), F.col("_mu_on"))),
+        }
+    )
+
+    def moved(p: str, far: str) -> Column:
+        return add(scale(minus(F.col(p), F.col("_mu_on")), F.col("_size") / F.col(far)), F.col("_off"))
+
+    done = ready.withColumns({out1: moved("_p1", "_far1"), out2: moved("_p2", "_far2")})
+    return done.drop("_mu", "_mu_on", "_p1", "_p2", "_off", "_size", "_far1", "_far2")

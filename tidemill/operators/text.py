@@ -79,10 +79,14 @@ def ngrams_of(tokens: Column, lo: int, hi: int) -> Column:
         starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(
             F.array().cast("array<int>")
         )
-        sizes.append(F.transform(starts, lambda i, n=n: F.concat_ws(" ", F.slice(tokens, i, n))))
+        sizes.append(F.transform(starts, _joined(tokens, n)))
     return F.concat(*sizes)
 
 
+def _joined(tokens: Column, n: int):
+    return lambda i: F.concat_ws(" ", F.slice(tokens, i, n))
+
+
 def term_counts(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1, max_features: int | None = None, binary: bool = False) -> DataFrame:
     """(key, term, n): n-gram counts per document, optionally of the top terms only."""
     grams = tokens.select(key, F.explode(ngrams_of(F.col("tokens"), lo, hi)).alias("term"))
