@@ -13,6 +13,15 @@ from tidemill.operators.scale import attach
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 
 
+def placed(df: DataFrame, key: str, *cols: str) -> DataFrame:
+    """Spread documents by key before their tokens are exploded.
+
+    Whole texts are shuffled once; counting or regrouping per document then needs
+    no shuffle of its many tokens, and long inputs are not stuck in one split.
+    """
+    return df.select(key, *cols).repartition(key)
+
+
 def tokenize(df: DataFrame, key: str, text: str, pattern: str = TOKEN_PATTERN) -> DataFrame:
     """(key, tokens): lower-cased tokens of the whole text, in order."""
     return df.select(key, F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), F.lit(0)).alias("tokens"))
@@ -45,12 +54,10 @@ def build_vocab(counts: DataFrame, max_vocab: int = 30_000, min_freq: int = 1, s
 def to_ids(tokens: DataFrame, key: str, vocab: DataFrame, unk: int = 0, eos: int | None = None) -> DataFrame:
     """(key, ids): token ids in order, unknown tokens as ``unk``.
 
-    The vocabulary is bounded by its own size limit and is broadcast. Documents
-    are placed by key before tokens are exploded, so the explode and the regroup
-    run in one stage and whole texts, not tokens, are shuffled.
+    The vocabulary is bounded by its own size limit and is broadcast. With
+    documents ``placed`` by key, the explode and the regroup run in one stage.
     """
-    placed = tokens.repartition(key)
-    exploded = placed.select(key, F.posexplode_outer("tokens").alias("pos", "token"))
+    exploded = tokens.select(key, F.posexplode_outer("tokens").alias("pos", "token"))
     coded = exploded.join(F.broadcast(vocab.select("token", "id")), "token", "left")
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")))
     ids = F.transform(F.sort_array(F.collect_list(item)), lambda s: s["id"])
@@ -149,8 +156,9 @@ def tfidf(counts: DataFrame, key: str, n_docs: DataFrame, max_features: int = 10
     terms = top_terms(counts, max_features).join(F.broadcast(n_docs))
     idf = terms.select("term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     raw = counts.join(F.broadcast(idf), "term").withColumn("w", F.col("n") * F.col("idf"))
-    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    return raw.join(length, key).select(key, "term", (F.col("w") / F.col("len")).alias("weight"))
+    one_document = Window.partitionBy(key)  # bounded by the terms of a single text
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(one_document))
+    return raw.select(key, "term", (F.col("w") / length).alias("weight"))
 
 
 def length_buckets(tokens: DataFrame, key: str, width: int) -> DataFrame:

@@ -17,7 +17,7 @@ WS = r"list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w
 
 
 def doc_tokens(t):
-    return T.tokenize(t.documents, "doc_id", "text")
+    return T.tokenize(T.placed(t.documents, "doc_id", "text"), "doc_id", "text")
 
 
 @query(
@@ -30,7 +30,7 @@ def text_markers(t):
 
 @query("tokenize", f"select doc_id, len(k) as n_tokens, md5(array_to_string(k, ' ')) as tokens_md5 from (select doc_id, {TOK} as k from documents)")
 def tokenize(t):
-    k = doc_tokens(t)
+    k = T.tokenize(t.documents, "doc_id", "text")
     return k.select("doc_id", F.size("tokens").alias("n_tokens"), F.md5(F.concat_ws(" ", "tokens")).alias("tokens_md5"))
 
 
@@ -155,7 +155,7 @@ def nb_score(t):
         select doc_id, count(*) as n_terms, round(sum(w / len), 5) as total, round(max(w / len), 6) as top from w join l using (doc_id) group by 1""",
 )
 def tfidf(t):
-    counts = T.term_counts(T.words(t.documents, "doc_id", "text"), "doc_id", 1, 5)
+    counts = T.term_counts(T.words(T.placed(t.documents, "doc_id", "text"), "doc_id", "text"), "doc_id", 1, 5)
     w = T.tfidf(counts, "doc_id", t.documents.agg(F.count(F.lit(1)).alias("n_docs")))
     return w.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("weight"), 5).alias("total"), F.round(F.max("weight"), 6).alias("top")
@@ -192,7 +192,7 @@ def hash_split(t):
     f"select doc_id, len({TOK}) as n_tokens, len({TOK}) // 100 as bucket from documents",
 )
 def length_buckets(t):
-    return T.length_buckets(doc_tokens(t), "doc_id", 100)
+    return T.length_buckets(T.tokenize(t.documents, "doc_id", "text"), "doc_id", 100)
 
 
 @query(
@@ -337,7 +337,7 @@ def knn_l2(t):
     "knn_mean_query",
     """with q as (select label, list_transform(list_zip(arg_min(embedding, vec_id), arg_max(embedding, vec_id)),
                          lambda z: (z[1]::double + z[2]::double) / 2) as v from embeddings group by 1),
-            d as (select label::bigint as query_id, vec_id as base_id, 1 - list_cosine_similarity(v, embedding::double[]) as d from q, embeddings),
+            d as (select q.label::bigint as query_id, vec_id as base_id, 1 - list_cosine_similarity(v, embedding::double[]) as d from q, embeddings),
             r as (select *, row_number() over (partition by query_id order by round(d, 9), base_id) as rn from d)
        select query_id, base_id, round(d, 6) as distance from r where rn <= 3""",
 )

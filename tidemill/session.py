@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,3 +77,8 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, for written intermediates."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.operators.scale import ordered_scan
+from tidemill.operators.scale import attach, ordered_scan
 
 
 def _reader(spark: SparkSession, recursive: bool, pattern: str | None):
@@ -77,13 +77,12 @@ def read_loose(spark: SparkSession, paths: Sequence[str], canonical: Sequence[st
     names = F.array(*[F.lit(k) for k in wanted])
     cells = cells.withColumn("keys", keys).withColumn("hits", F.size(F.array_intersect(names, "keys")))
     is_header = F.col("hits") == len(wanted)
-    headers = cells.where(is_header).groupBy("source_file").agg(
-        *[F.max(F.array_position("keys", F.lit(k))).alias(f"p{i}") for i, k in enumerate(wanted)]
-    )
-    body = cells.where(~is_header & (F.trim("value") != "")).join(headers, "source_file")
+    place = [F.max(F.when(is_header, F.array_position("keys", F.lit(k)))).alias(f"p{i}") for i, k in enumerate(wanted)]
+    files = cells.groupBy("source_file").agg(F.count(F.lit(1)).alias("_n"), *place)
+    known = files.where(F.col("p0").isNotNull())
+    body = attach(cells.where(~is_header & (F.trim("value") != "")), known, ["source_file"], "_n").where(F.col("p0").isNotNull())
     picked = [F.get(F.col("cells"), (F.col(f"p{i}") - 1).cast("int")).alias(c) for i, c in enumerate(canonical)]
-    files = raw.select("source_file").distinct()
-    return body.select(*picked, "source_file"), files.join(headers, "source_file", "left_anti")
+    return body.select(*picked, "source_file"), files.where(F.col("p0").isNull()).select("source_file")
 
 
 def combine_logs(df: DataFrame, keep: Sequence[str], required: str) -> DataFrame:
