@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.aggregates import percentiles, value_counts
-from tidemill.operators.scale import attach, ranked, with_group_stats
+from tidemill.operators.scale import attach, literal_rows, ranked, with_group_stats
 
 # ---- encoders ------------------------------------------------------------------
 
@@ -188,7 +188,7 @@ def fit_forest_classifier(train: DataFrame, label: str, trees: int = 20, min_lea
 def importances(df: DataFrame, model, cols: Sequence[str], least: float = 0.0) -> DataFrame:
     """(feature, importance) above ``least``, largest first."""
     rows = [(c, float(v)) for c, v in zip(cols, model.featureImportances.toArray(), strict=True)]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double").where(F.col("importance") > least)
+    return literal_rows(df.sparkSession, rows, "feature string, importance double").where(F.col("importance") > least)
 
 
 def drop_column_importance(train: DataFrame, valid: DataFrame, label: str, cols: Sequence[str], **kw) -> DataFrame:
@@ -201,7 +201,7 @@ def drop_column_importance(train: DataFrame, valid: DataFrame, label: str, cols:
 
     full = score(cols)
     rows = [(c, full - score([x for x in cols if x != c])) for c in cols]
-    return train.sparkSession.createDataFrame(rows, "feature string, loss double")
+    return literal_rows(train.sparkSession, rows, "feature string, loss double")
 
 
 def tree_spread(df: DataFrame, model, group: str) -> DataFrame:
@@ -262,7 +262,7 @@ def fit_lasso(train: DataFrame, label: str, penalties: Sequence[float] = (0.001,
 def coefficients(df: DataFrame, model, cols: Sequence[str], least: float = 0.01) -> DataFrame:
     """(feature, coefficient) with absolute value of at least ``least``."""
     rows = [(c, float(v)) for c, v in zip(cols, model.coefficients.toArray(), strict=True) if abs(v) >= least]
-    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
+    return literal_rows(df.sparkSession, rows, "feature string, coefficient double")
 
 
 def fit_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 50, iterations: int = 5, reg: float = 0.1, seed: int = 42):

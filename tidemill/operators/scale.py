@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.session import materialise
@@ -124,6 +124,13 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", keys: Seque
     return ordered_scan(df, order, {name: F.lit(1).cast("long")}, keys)
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small table from Python values, made in the JVM (no Python workers)."""
+    kind = f"array<struct<{','.join(':'.join(f.split(None, 1)) for f in schema.split(', '))}>>"
+    packed = F.array(*[F.struct(*[F.lit(v) for v in row]) for row in rows]) if rows else F.array()
+    return spark.range(1).select(F.inline(packed.cast(kind)))
+
+
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1) -> DataFrame:
     """First ``k`` rows per key. Spark prunes each partition to ``k`` rows per
     key before the shuffle, so a hot key sends only a few rows."""

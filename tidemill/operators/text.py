@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.scale import attach
+from tidemill.operators.scale import attach, literal_rows
+from tidemill.session import materialise
 
 # The token rule of this package: runs of letters and digits, or one other visible character.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
@@ -47,7 +48,7 @@ def build_vocab(counts: DataFrame, max_vocab: int = 30_000, min_freq: int = 1, s
     top = counts.orderBy(F.desc("n"), F.col("token")).limit(max_vocab).where(F.col("n") > min_freq)
     w = Window.orderBy(F.desc("n"), F.col("token"))
     ids = top.withColumn("id", (F.row_number().over(w) + (len(specials) - 1)).cast("bigint")).select("id", "token", "n")
-    head = spark.createDataFrame([(i, s, 0) for i, s in enumerate(specials)], "id bigint, token string, n bigint")
+    head = literal_rows(spark, [(i, s, 0) for i, s in enumerate(specials)], "id bigint, token string, n bigint")
     return head.unionByName(ids)
 
 
@@ -79,30 +80,38 @@ def char_vocab(df: DataFrame, text: str) -> DataFrame:
     return counts.withColumn("id", F.row_number().over(Window.orderBy("ch")).cast("bigint"))
 
 
-def ngrams_of(tokens: Column, lo: int, hi: int) -> Column:
-    """Array of all n-grams, ``lo`` to ``hi`` words, joined by a blank."""
-    sizes = []
-    for n in range(lo, hi + 1):
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(
-            F.array().cast("array<int>")
-        )
-        sizes.append(F.transform(starts, _joined(tokens, n)))
-    return F.concat(*sizes)
+def grams(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1) -> DataFrame:
+    """(key, term): every n-gram of ``lo`` to ``hi`` words, joined by a blank.
 
+    Each length is built from the one before by adding the next word.
+    """
+    out, df, shorter = (["tokens"] if lo == 1 else []), tokens, "tokens"
+    for n in range(2, hi + 1):
+        rest = F.greatest(F.size("tokens") - (n - 1), F.lit(0))
+        longer = F.zip_with(
+            F.slice(F.col(shorter), F.lit(1), rest), F.slice(F.col("tokens"), F.lit(n), rest),
+            lambda head, word: F.concat(head, F.lit(" "), word),
+        )
+        shorter = f"_g{n}"
+        df = df.withColumn(shorter, longer)
+        if n >= lo:
+            out.append(shorter)
+    return df.select(key, F.explode(F.concat(*out) if len(out) > 1 else F.col(out[0])).alias("term"))
 
-def _joined(tokens: Column, n: int):
-    return lambda i: F.concat_ws(" ", F.slice(tokens, i, n))
 
+def term_counts(
+    tokens: DataFrame, key: str, lo: int = 1, hi: int = 1, binary: bool = False, vocab: DataFrame | None = None
+) -> DataFrame:
+    """(key, term, n): n-gram counts per document, optionally of the terms of ``vocab`` only.
 
-def term_counts(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1, max_features: int | None = None, binary: bool = False) -> DataFrame:
-    """(key, term, n): n-gram counts per document, optionally of the top terms only."""
-    grams = tokens.select(key, F.explode(ngrams_of(F.col("tokens"), lo, hi)).alias("term"))
-    counts = grams.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
-    if max_features:
-        counts = counts.join(F.broadcast(top_terms(counts, max_features).select("term")), "term", "left_semi")
-    if binary:
-        counts = counts.withColumn("n", F.lit(1).cast("bigint"))
-    return counts.select(key, "term", "n")
+    ``vocab`` (column ``term``) is bounded by its max_features; it is broadcast and
+    thins the n-grams before they are counted.
+    """
+    all_grams = grams(tokens, key, lo, hi)
+    if vocab is not None:
+        all_grams = all_grams.join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    counts = all_grams.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("n", F.lit(1).cast("bigint")) if binary else counts
 
 
 def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
@@ -111,8 +120,15 @@ def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
     return totals.orderBy(F.desc("total"), F.col("term")).limit(max_features)
 
 
+def nb_prior(labels: DataFrame, label: str) -> DataFrame:
+    """One row: documents per class (n1, n0) and the log of their ratio (b)."""
+    y = F.col(label) == 1
+    docs = labels.agg(F.sum(y.cast("double")).alias("n1"), F.sum((~y).cast("double")).alias("n0"))
+    return docs.withColumn("b", F.log(F.col("n1") / F.col("n0")))
+
+
 def nb_ratio(counts: DataFrame, labels: DataFrame, key: str, label: str, by_documents: bool = True) -> DataFrame:
-    """(term, r, b, df): log-count ratio per term with add-one smoothing, and the prior.
+    """(term, r, df): log-count ratio per term with add-one smoothing.
 
     The denominator is documents + 1 per class, or the class's total of smoothed
     counts. ``df`` is the number of documents that hold the term.
@@ -123,39 +139,40 @@ def nb_ratio(counts: DataFrame, labels: DataFrame, key: str, label: str, by_docu
         F.sum(F.when(~y, F.col("n")).otherwise(0)).alias("q"),
         F.count(F.lit(1)).alias("df"),
     )
-    docs = labels.agg(F.sum(y.cast("double")).alias("n1"), F.sum((~y).cast("double")).alias("n0"))
-    prior = F.log(F.col("n1") / F.col("n0"))
     if by_documents:
-        both = per.join(F.broadcast(docs))
+        both = per.join(F.broadcast(nb_prior(labels, label)))
         r = F.log(((F.col("p") + 1) / (F.col("n1") + 1)) / ((F.col("q") + 1) / (F.col("n0") + 1)))
     else:
         totals = per.agg(F.sum(F.col("p") + 1).alias("sp"), F.sum(F.col("q") + 1).alias("sq"))
-        both = per.join(F.broadcast(docs)).join(F.broadcast(totals))
+        both = per.join(F.broadcast(totals))
         r = F.log(((F.col("p") + 1) / F.col("sp")) / ((F.col("q") + 1) / F.col("sq")))
-    return both.select("term", r.alias("r"), prior.alias("b"), "df")
+    return both.select("term", r.alias("r"), "df")
 
 
-def nb_score(counts: DataFrame, model: DataFrame, key: str) -> DataFrame:
+def nb_score(counts: DataFrame, model: DataFrame, prior: DataFrame, key: str) -> DataFrame:
     """(key, score, predicted): sum of n * r plus b; positive means class 1.
 
     Frequent terms are handled by ``attach``; unknown terms add nothing.
     """
-    scored = attach(counts, model.select("term", "r", "df"), ["term"], "df")
-    prior = model.agg(F.max("b").alias("b"))
+    uses = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_n")).join(model.select("term", "r"), "term")
+    scored = attach(counts, uses, ["term"], "_n")
     sums = scored.groupBy(key).agg(F.sum(F.col("n") * F.coalesce("r", F.lit(0.0))).alias("_s"))
-    both = sums.join(F.broadcast(prior))
+    both = sums.join(F.broadcast(prior.select("b")))
     return both.select(key, (F.col("_s") + F.col("b")).alias("score"), (F.col("_s") + F.col("b") > 0).alias("predicted"))
 
 
-def tfidf(counts: DataFrame, key: str, n_docs: DataFrame, max_features: int = 100_000) -> DataFrame:
+def tfidf(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1, max_features: int = 100_000) -> DataFrame:
     """(key, term, weight): n * (ln((1 + N) / (1 + df)) + 1), scaled to unit length.
 
-    ``n_docs`` is one row with column ``n_docs``; the term table is bounded by
-    ``max_features`` and broadcast.
+    ``tokens`` has one row per document and is placed by key. The term table is
+    bounded by ``max_features``; it is written once, broadcast, and thins the
+    n-grams before they are counted again.
     """
-    terms = top_terms(counts, max_features).join(F.broadcast(n_docs))
-    idf = terms.select("term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    raw = counts.join(F.broadcast(idf), "term").withColumn("w", F.col("n") * F.col("idf"))
+    n_docs = tokens.agg(F.count(F.lit(1)).alias("n_docs"))
+    terms = top_terms(term_counts(tokens, key, lo, hi), max_features).join(F.broadcast(n_docs))
+    idf = materialise(terms.select("term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
+    hits = grams(tokens, key, lo, hi).join(F.broadcast(idf), "term")
+    raw = hits.groupBy(key, "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("w"))
     one_document = Window.partitionBy(key)  # bounded by the terms of a single text
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(one_document))
     return raw.select(key, "term", (F.col("w") / length).alias("weight"))

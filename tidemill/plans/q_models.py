@@ -11,6 +11,7 @@ from tidemill.operators.joins import join_on
 from tidemill.plans.q_analytics import ROW_ID, SQL_ROW_ID, scored_labels
 from tidemill.plans.q_text import TOK, doc_tokens
 from tidemill.plans.registry import query
+from tidemill.session import materialise
 
 _CUT = "timestamp '1999-01-01 00:00:00'"
 
@@ -241,7 +242,7 @@ def feat_importance(t):
 @query("drop_col")
 def drop_col(t):
     train, valid = _price_rows(t)
-    return M.drop_column_importance(train.cache(), valid.cache(), "y", _X[:4], trees=5, depth=5)
+    return M.drop_column_importance(materialise(train), materialise(valid), "y", _X[:4], trees=5, depth=5)
 
 
 @query("tree_spread")
@@ -287,16 +288,17 @@ def item_pca(t):
 
 
 def _term_sets(t, hi, max_features, binary):
-    counts = T.term_counts(doc_tokens(t), "doc_id", 1, hi, binary=binary)
-    vocab = M.number_terms(T.top_terms(counts, max_features).select("term"))
+    tokens = doc_tokens(t)
+    vocab = materialise(M.number_terms(T.top_terms(T.term_counts(tokens, "doc_id", 1, hi, binary=binary), max_features).select("term")))
     labels = T.md5_split(t.labels.select("doc_id", F.col("quality").cast("double").alias("y")), "doc_id", 0.25)
-    return counts, vocab, labels
+    marked = tokens.join(labels.select("doc_id"), "doc_id", "left_semi")
+    return T.term_counts(marked, "doc_id", 1, hi, binary=binary, vocab=vocab), vocab, labels
 
 
 @query("text_logreg")
 def text_logreg(t):
     counts, vocab, labels = _term_sets(t, 1, 5000, True)
-    rows = M.term_vectors(counts.join(labels.select("doc_id"), "doc_id", "left_semi"), "doc_id", vocab).join(labels, "doc_id").cache()
+    rows = materialise(M.term_vectors(counts, "doc_id", vocab).join(labels, "doc_id"))
     model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
     return M.metrics_classification(model.transform(rows.where("is_valid")), "y", "prediction")
 
@@ -304,10 +306,9 @@ def text_logreg(t):
 @query("nb_logreg")
 def nb_logreg(t):
     counts, vocab, labels = _term_sets(t, 2, 5000, True)
-    kept = counts.join(labels.select("doc_id"), "doc_id", "left_semi")
-    ratio = T.nb_ratio(kept, labels.where("not is_valid"), "doc_id", "y").select("term", "r")
+    ratio = T.nb_ratio(counts, labels.where("not is_valid"), "doc_id", "y").select("term", "r")
     weighted = vocab.join(ratio, "term", "left").fillna(0.0, ["r"])
-    rows = M.term_vectors(kept, "doc_id", weighted, F.col("n") * F.col("r")).join(labels, "doc_id").cache()
+    rows = materialise(M.term_vectors(counts, "doc_id", weighted, F.col("n") * F.col("r")).join(labels, "doc_id"))
     model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
     return M.metrics_classification(model.transform(rows.where("is_valid")), "y", "prediction")
 

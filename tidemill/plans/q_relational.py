@@ -794,16 +794,19 @@ def sales_grid(t):
 
 @query(
     "pair_leak",
-    """with e as (select distinct 'c' || o_custkey as n, 'p' || l_partkey as p from orders join lineitem on o_orderkey = l_orderkey
-                  union select distinct 's' || l_suppkey, 'p' || l_partkey from lineitem),
-            pr as (select distinct 'c' || o_custkey as a, 's' || l_suppkey as b from orders join lineitem on o_orderkey = l_orderkey),
+    """with e as (select distinct o_custkey * 3 as n, l_partkey * 3 + 1 as p from orders join lineitem on o_orderkey = l_orderkey
+                  union select distinct l_suppkey * 3 + 2, l_partkey * 3 + 1 from lineitem),
+            pr as (select distinct o_custkey * 3 as a, l_suppkey * 3 + 2 as b from orders join lineitem on o_orderkey = l_orderkey),
             c as (select pr.a, pr.b, count(*) as common from pr join e x on x.n = pr.a join e y on y.n = pr.b and y.p = x.p group by 1, 2)
        select a, b, common, common > 3 as leak from c""",
 )
 def pair_leak(t):
-    ol = J.join_on(t.orders.select("o_orderkey", "o_custkey"), t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey"), [("o_orderkey", "l_orderkey")])
-    c, p, s = (F.concat(F.lit(k), F.col(v).cast("string")) for k, v in (("c", "o_custkey"), ("p", "l_partkey"), ("s", "l_suppkey")))
-    edges = ol.select(c.alias("src"), p.alias("dst")).union(ol.select(s, p))
+    """Customers, parts and suppliers are the nodes (ids 3k, 3k + 1, 3k + 2); a customer
+    and a supplier who share many parts are suspected to leak."""
+    o, l = t.orders.select("o_orderkey", "o_custkey"), t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
+    c, p, s = F.col("o_custkey") * 3, F.col("l_partkey") * 3 + 1, F.col("l_suppkey") * 3 + 2
+    ol = J.join_on(o, l, [("o_orderkey", "l_orderkey")])
+    edges = ol.select(c.alias("src"), p.alias("dst")).union(l.select(s, p))
     df = J.common_neighbours(edges, ol.select(c.alias("a"), s.alias("b")))
     return df.withColumn("leak", F.col("common") > 3)
 

@@ -11,6 +11,7 @@ from tidemill.operators import nearest as N
 from tidemill.operators import text as T
 from tidemill.operators.aggregates import argmax_group
 from tidemill.plans.registry import query
+from tidemill.session import materialise
 
 TOK = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')"
 WS = r"list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
@@ -121,7 +122,8 @@ _NB = f"""x as (select doc_id, unnest({TOK}) as term from documents),
 )
 def nb_ratio(t):
     counts = T.term_counts(doc_tokens(t), "doc_id", binary=True)
-    return T.nb_ratio(counts, t.labels, "doc_id", "quality").select("term", F.round("r", 6).alias("r"), F.round("b", 6).alias("b"))
+    both = T.nb_ratio(counts, t.labels, "doc_id", "quality").join(F.broadcast(T.nb_prior(t.labels, "quality")))
+    return both.select("term", F.round("r", 6).alias("r"), F.round("b", 6).alias("b"))
 
 
 @query(
@@ -143,7 +145,9 @@ def nb_ratio_tokens(t):
 )
 def nb_score(t):
     counts = T.term_counts(doc_tokens(t), "doc_id")
-    return T.nb_score(counts, T.nb_ratio(counts, t.labels, "doc_id", "quality"), "doc_id").withColumn("score", F.round("score", 4))
+    model = materialise(T.nb_ratio(counts, t.labels, "doc_id", "quality"))
+    scored = T.nb_score(counts, model, T.nb_prior(t.labels, "quality"), "doc_id")
+    return scored.withColumn("score", F.round("score", 4))
 
 
 @query(
@@ -155,8 +159,7 @@ def nb_score(t):
         select doc_id, count(*) as n_terms, round(sum(w / len), 5) as total, round(max(w / len), 6) as top from w join l using (doc_id) group by 1""",
 )
 def tfidf(t):
-    counts = T.term_counts(T.words(T.placed(t.documents, "doc_id", "text"), "doc_id", "text"), "doc_id", 1, 5)
-    w = T.tfidf(counts, "doc_id", t.documents.agg(F.count(F.lit(1)).alias("n_docs")))
+    w = T.tfidf(T.words(T.placed(t.documents, "doc_id", "text"), "doc_id", "text"), "doc_id", 1, 5)
     return w.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("weight"), 5).alias("total"), F.round(F.max("weight"), 6).alias("top")
     )

@@ -13,7 +13,7 @@ from tidemill.plans import reconciliation as R
 from tidemill.plans import star, store_sales
 from tidemill.plans.q_relational import day
 from tidemill.plans.registry import query
-from tidemill.session import TABLES, scratch_dir
+from tidemill.session import TABLES, materialise, scratch_dir
 from tidemill.sources import files, ledger, sinks
 from tidemill.streaming import jobs
 
@@ -435,10 +435,10 @@ def failure_classes(t):
 )
 def notify_list(t):
     r, s = payments(t)
-    r, s = R.clean_refunds(r), R.clean_settlements(s)
+    r, s = materialise(R.clean_refunds(r)), materialise(R.clean_settlements(s))
     who = join_on(t.orders, t.customer, [("o_custkey", "c_custkey")]).select(F.col("o_orderkey").alias("contact_order"), F.col("c_name").alias("customer"))
     what = t.part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product"))
-    df = R.notify_list(R.split_refunds(r, s)["matched"], r, s, who, what)
+    df = R.notify_list(R.split_refunds(R.mark_paid(r, s))["matched"], r, s, who, what)
     return df.select("order_number", "return_id", F.col("amount").cast("double").alias("amount"), "kind", "customer", "product")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemill.operators.joins import join_on
 from tidemill.operators.scale import attach, top_per_key
 from tidemill.operators.windows import missing_dates
+from tidemill.session import materialise
 
 MONEY = "decimal(18,2)"
 PAY_KEY = ["order_number", "amount"]
@@ -35,14 +36,18 @@ def pay_keys(df: DataFrame) -> DataFrame:
     return df.select(*PAY_KEY).distinct()
 
 
-def split_refunds(refunds: DataFrame, settlements: DataFrame) -> dict[str, DataFrame]:
-    """Refunds by status and by whether a settlement of that order and amount exists.
+def mark_paid(refunds: DataFrame, settlements: DataFrame) -> DataFrame:
+    """Add ``_paid``: whether a settlement of that order and amount exists.
 
     Membership in the distinct (order, amount) set decides, so repeated amounts of
     an order do not multiply rows.
     """
     paid = pay_keys(settlements).withColumn("_paid", F.lit(True))
-    marked = refunds.join(paid, PAY_KEY, "left").withColumn("_paid", F.coalesce("_paid", F.lit(False)))
+    return refunds.join(paid, PAY_KEY, "left").withColumn("_paid", F.coalesce("_paid", F.lit(False)))
+
+
+def split_refunds(marked: DataFrame) -> dict[str, DataFrame]:
+    """Refunds by status and by whether they were settled."""
     ok = F.col("status") == "SUCCESS"
     pick = lambda cond: marked.where(cond).drop("_paid")
     return {
@@ -85,9 +90,14 @@ def status_by_day(refunds: DataFrame, statuses: list[str]) -> DataFrame:
 
 
 def reconcile(refunds: DataFrame, settlements: DataFrame) -> dict[str, DataFrame]:
-    """All sections of the reconciliation report."""
-    r, s = clean_refunds(refunds), clean_settlements(settlements)
-    sections = split_refunds(r, s)
+    """All sections of the reconciliation report.
+
+    The cleaned inputs feed every section, so they are written once.
+    """
+    s = materialise(clean_settlements(settlements))
+    marked = materialise(mark_paid(clean_refunds(refunds), s))
+    r = marked.drop("_paid")
+    sections = split_refunds(marked)
     lonely = isolated(s, r)
     sections["isolated"] = lonely
     sections["short_paid"] = short_paid(sections["failed_open"], lonely)
