@@ -149,6 +149,7 @@ def common_neighbours(edges: DataFrame, pairs: DataFrame, src: str = "src", dst:
         F.when(swap, F.col("a")).otherwise(F.col("b")).alias("other"),
     )
     walked = small.join(both, "node").select("a", "b", F.col("other").alias("node"), "peer")
-    hits = walked.join(both, ["node", "peer"], "left_semi")
+    # Edges are distinct, so the hash sides are even and small; the long side needs no sort.
+    hits = walked.join(both.hint("shuffle_hash"), ["node", "peer"], "left_semi")
     counts = hits.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
     return p.join(counts, ["a", "b"], "left").fillna(0, ["common"])

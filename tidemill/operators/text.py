@@ -35,7 +35,13 @@ def words(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def token_counts(tokens: DataFrame, col: str = "tokens") -> DataFrame:
     """(token, n) over the corpus; combined map-side, so frequent words do not pile up."""
-    return tokens.select(F.explode(col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return each_token(tokens, col).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def each_token(tokens: DataFrame, col: str = "tokens", *keep: str) -> DataFrame:
+    """One row per token. The outer form keeps the optimizer from testing the array
+    for emptiness, that is tokenising a second time, ahead of the shuffle."""
+    return tokens.select(*keep, F.explode_outer(col).alias("token")).where(F.col("token").isNotNull())
 
 
 def build_vocab(counts: DataFrame, max_vocab: int = 30_000, min_freq: int = 1, specials: Sequence[str] = ("_unk_", "_pad_")) -> DataFrame:
@@ -96,7 +102,8 @@ def grams(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1) -> DataFrame:
         df = df.withColumn(shorter, longer)
         if n >= lo:
             out.append(shorter)
-    return df.select(key, F.explode(F.concat(*out) if len(out) > 1 else F.col(out[0])).alias("term"))
+    every = F.concat(*out) if len(out) > 1 else F.col(out[0])
+    return df.select(key, F.explode_outer(every).alias("term")).where(F.col("term").isNotNull())
 
 
 def term_counts(

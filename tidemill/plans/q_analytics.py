@@ -293,11 +293,11 @@ def argmax_group(t):
               count(*) as n_tokens, count(distinct token) as n_vocab from w""",
 )
 def corpus_stats(t):
-    from tidemill.operators.text import tokenize
+    from tidemill.operators.text import placed, token_counts, tokenize
 
     lens = t.documents.agg(F.sum(F.length("text")).alias("n_chars"), F.max(F.length("text")).cast("bigint").alias("longest"))
-    words = tokenize(t.documents, "doc_id", "text", r"[\p{L}\p{N}]+").select(F.explode("tokens").alias("token"))
-    vocab = words.groupBy("token").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n_tokens"), F.count(F.lit(1)).alias("n_vocab"))
+    words = tokenize(placed(t.documents, "doc_id", "text"), "doc_id", "text", r"[\p{L}\p{N}]+")
+    vocab = token_counts(words).agg(F.sum("n").alias("n_tokens"), F.count(F.lit(1)).alias("n_vocab"))
     return lens.join(F.broadcast(vocab))
 
 
@@ -308,9 +308,12 @@ def corpus_stats(t):
        select round(avg((token in (select token from b))::int), 8) as coverage from d""",
 )
 def vocab_coverage(t):
-    from tidemill.operators.text import tokenize
+    from tidemill.operators.text import each_token, placed, tokenize
 
-    words = [tokenize(df, k, "text", r"[\p{L}\p{N}]+").select(F.explode("tokens").alias("token")) for df, k in ((t.documents, "doc_id"), (t.benchmark, "item_id"))]
+    pattern = r"[\p{L}\p{N}]+"
+    words = [
+        each_token(tokenize(placed(df, k, "text"), k, "text", pattern)) for df, k in ((t.documents, "doc_id"), (t.benchmark, "item_id"))
+    ]
     return A.coverage(*words).select(F.round("coverage", 8).alias("coverage"))
 
 
