@@ -64,10 +64,11 @@ def to_ids(tokens: DataFrame, key: str, vocab: DataFrame, unk: int = 0, eos: int
     The vocabulary is bounded by its own size limit and is broadcast. With
     documents ``placed`` by key, the explode and the regroup run in one stage.
     """
-    exploded = tokens.select(key, F.posexplode_outer("tokens").alias("pos", "token"))
-    coded = exploded.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")))
-    ids = F.transform(F.sort_array(F.collect_list(item)), lambda s: s["id"])
+    exploded = tokens.select(key, F.posexplode_outer("tokens").alias("_pos", "_token"))
+    table = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
+    coded = exploded.join(F.broadcast(table), "_token", "left")
+    item = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(unk)).alias("_id")))
+    ids = F.transform(F.sort_array(F.collect_list(item)), lambda s: s["_id"])
     if eos is not None:
         ids = F.concat(ids, F.array(F.lit(eos).cast("bigint")))
     return coded.groupBy(key).agg(ids.alias("ids"))
