@@ -170,7 +170,7 @@ def bias_model(ratings: DataFrame, user: str, item: str, rating: str, lo: float,
 
 
 def features(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df.drop(out))
 
 
 def fit_forest(train: DataFrame, label: str, trees: int = 20, min_leaf: int = 3, share: str = "onethird", rows: float = 0.7, depth: int = 8, seed: int = 42):

@@ -38,14 +38,21 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 
 
 def read_checked(spark: SparkSession, path, schema: T.StructType, fmt: str = "json", **options) -> tuple[DataFrame, DataFrame]:
-    """(good rows, broken rows with their file). Nothing is dropped silently."""
+    """(good rows, broken lines with their file) of JSON-lines or headerless CSV files.
+
+    Nothing is dropped silently: a line that does not parse goes to the second frame.
+    """
     wide = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    raw = (
-        spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad")
-        .options(**options).format(fmt).load(path).withColumn("source_file", F.col("_metadata.file_path"))
-    )
-    broken = raw.where(F.col("_bad").isNotNull()).select("source_file", F.col("_bad").alias("record"))
-    return raw.where(F.col("_bad").isNull()).drop("_bad", "source_file"), broken
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", **options}
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    parse = {"json": F.from_json("value", wide, opts), "csv": F.from_csv("value", F.lit(_ddl(wide)), opts)}[fmt]
+    parsed = lines.where(F.trim("value") != "").withColumn("_p", parse)
+    broken = parsed.where(F.col("_p._bad").isNotNull()).select("source_file", F.col("value").alias("record"))
+    return parsed.where(F.col("_p._bad").isNull()).select(*[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields]), broken
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def canonical_key(name: str) -> str:
@@ -92,7 +99,7 @@ def combine_logs(df: DataFrame, keep: Sequence[str], required: str) -> DataFrame
 
 def read_labelled_text(spark: SparkSession, root: str) -> DataFrame:
     """(label, path, text) of a folder tree; the label is the folder name."""
-    raw = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(root)
+    raw = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
     path = F.col("_metadata.file_path")
     return raw.select(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("label"), path.alias("path"), F.col("value").alias("text"))
 
