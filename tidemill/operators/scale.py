@@ -27,6 +27,10 @@ def _all_equal(left: str, right: str, keys: Sequence[str]) -> Column:
     return cond
 
 
+def _slot(cols: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(SALTS))
+
+
 def attach(
     rows: DataFrame,
     stats: DataFrame,
@@ -46,17 +50,15 @@ def attach(
     values = [c for c in stats.columns if c not in keys]
     packed = stats.dropna(subset=keys).select(*keys, F.struct(*values).alias("_v"))
     hot = packed.where(F.col(f"_v.{weight}") > hot_rows).withColumnRenamed("_v", "_hot")
-    cold = (
-        packed.where(F.col(f"_v.{weight}") <= hot_rows)
-        .withColumnRenamed("_v", "_cold")
-        .withColumn("_salt", F.lit(0))
-    )
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS)).cast("int") + 1
+    # The salt of a cold key follows from the key. A constant would not do: the
+    # optimizer would turn it into a filter and shuffle by the key alone.
+    own = _slot(keys)
+    cold = packed.where(F.col(f"_v.{weight}") <= hot_rows).withColumnRenamed("_v", "_cold").withColumn("_salt", own)
     idle = F.lit(False)
     for k in keys:
         idle = idle | F.col(k).isNull()
     tagged = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull() | idle, spread).otherwise(0)
+        "_salt", F.when(F.col("_hot").isNotNull() | idle, _slot(rows.columns)).otherwise(own)
     )
     return tagged.join(cold, [*keys, "_salt"], "left").select(
         *rows.columns, *[F.coalesce(f"_hot.{v}", f"_cold.{v}").alias(v) for v in values]
