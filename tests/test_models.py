@@ -92,3 +92,11 @@ def test_split_is_even_per_label(spark):
     got = dict(M.stratified_split(df, "y", "id", 0.2).where("is_valid").groupBy("y").count().collect())
     assert got == {True: 14, False: 6}
     assert M.category_columns(spark.range(1000).select("id", (F.col("id") % 3).alias("k"))).where("is_category").first()["column"] == "k"
+
+
+def test_measures_of_an_empty_class_are_null(spark):
+    df = spark.createDataFrame([(0, 0, 0.0), (0, 0, 0.0)], "y int, p int, s double")
+    assert tuple(M.metrics_classification(df, "y", "p").first()) == (1.0, None, None, None)
+    assert [r["fbeta"] for r in M.fbeta_sweep(df, "y", "s", 2.0, [0.5]).collect()] == [None]
+    assert M.soft_kappa(df, "y", "s").first()[0] is None
+    assert M.metrics_regression(df, "y", "s").first()["r2"] is None

@@ -17,6 +17,15 @@ def test_attach_hot_and_cold_keys(spark, rows):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_attach_spreads_identical_rows_of_a_hot_key(spark):
+    df = spark.range(4000, numPartitions=40).select(F.lit("hot").alias("k"))
+    stats = df.groupBy("k").agg(F.count("*").alias("n"))
+    plan = scale.attach(df, stats, ["k"], "n", hot_rows=10)
+    assert plan.where("n = 4000").count() == 4000
+    spread = F.pmod(F.xxhash64(F.col("k"), F.spark_partition_id()), F.lit(scale.SALTS))
+    assert df.select(spread).distinct().count() > 30
+
+
 def test_attach_two_keys(spark, rows):
     df = spark.createDataFrame([("a", 1, 5), ("a", 1, 6), ("a", 2, 7)], "k string, j int, v int")
     got = scale.with_group_stats(df, ["k", "j"], hot_rows=1, s=F.sum("v"))

@@ -81,6 +81,25 @@ def test_knn_is_exact(spark, metric, cells, block):
             assert x == pytest.approx(d[i][j], abs=1e-6)
 
 
+def test_knn_with_many_copies(spark):
+    """A third of the rows are one vector; the nearest of a copy are its smallest other copies."""
+    rng = np.random.default_rng(1)
+    m = [[1.0, 2.0]] * 40 + rng.normal(size=(80, 2)).tolist()
+    df = _vecs(spark, m)
+    got = N.knn(df, df, 3, exclude_self=True, cells=4, block=16).collect()
+    a = np.array(m, dtype=np.float32).astype(float)
+    d = np.round(np.linalg.norm(a[:, None] - a[None], axis=2), N.DIGITS)
+    for i in range(len(m)):
+        want = sorted((d[i][j], j) for j in range(len(m)) if j != i)[:3]
+        assert sorted((round(r["distance"], 6), r["base_id"]) for r in got if r["query_id"] == i) == [(round(x, 6), j) for x, j in want]
+
+
+def test_zero_vectors(spark, rows):
+    df = _vecs(spark, [[0, 0], [3, 4]])
+    v = V.doubles(F.col("embedding"))
+    assert rows(df.select(V.l2_normalise(v)[1], V.cosine(v, v))) == [(0.0, None), (0.8, 1.0)]
+
+
 def test_knn_with_fewer_rows_than_k(spark, rows):
     df = _vecs(spark, [[0, 0], [3, 4]])
     assert rows(N.knn(df, df, 5, exclude_self=True)) == [(0, 1, 5.0), (1, 0, 5.0)]
@@ -141,9 +160,13 @@ def test_nms_matches_greedy(spark, seed):
             data[image].append((i, float(rng.integers(1, 9)), float(x), float(y), float(x + w), float(y + h)))
     flat = [(k, *b) for k, v in data.items() for b in v]
     df = spark.createDataFrame(flat, "img string, id int, score double, x1 double, y1 double, x2 double, y2 double")
-    got = B.nms(df, "img", "id", max_boxes=3, limit=0.3).collect()
-    for image, boxes in data.items():
-        assert sorted(r["id"] for r in got if r["img"] == image) == _greedy(boxes, 3, 0.3)
+    df = df.union(df.where("id = 0").withColumn("img", F.lit("one")))
+    data["one"] = [b for b in data["p"][:1]]
+    for group_rows in (5000, 5):
+        got = B.nms(df, "img", "id", max_boxes=3, limit=0.3, group_rows=group_rows).collect()
+        for image in ("p", "q"):
+            assert sorted(r["id"] for r in got if r["img"] == image) == _greedy(data[image], 3, 0.3)
+        assert {r["id"] for r in got if r["img"] == "one"} == {0}
 
 
 def test_box_filter(spark, rows):

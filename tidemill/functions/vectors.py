@@ -25,7 +25,8 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+    """Null when a vector is all zeros."""
+    return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
 def l2_distance(a: Column, b: Column) -> Column:
@@ -45,7 +46,8 @@ def scale(a: Column, k: Column) -> Column:
 
 
 def l2_normalise(a: Column) -> Column:
-    return scale(a, F.lit(1.0) / norm(a))
+    """Unit length; a vector of zeros stays as it is."""
+    return scale(a, F.coalesce(F.try_divide(F.lit(1.0), norm(a)), F.lit(0.0)))
 
 
 def projection(e: Column, axis: Column) -> Column:

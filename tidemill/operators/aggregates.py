@@ -138,7 +138,7 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     )
     centred = counts.join(F.broadcast(moments.select("column", "mean")), "column")
     spread = centred.groupBy("column").agg(
-        F.sqrt(F.sum((v - F.col("mean")) ** 2 * w) / (F.sum(F.when(v.isNotNull(), w)) - 1)).alias("std")
+        F.sqrt(F.try_divide(F.sum((v - F.col("mean")) ** 2 * w), F.sum(F.when(v.isNotNull(), w)) - 1)).alias("std")
     )
     quart = percentiles(counts, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
     return moments.join(F.broadcast(spread), "column", "left").join(F.broadcast(quart), "column", "left")

@@ -95,24 +95,26 @@ def stratified_split(df: DataFrame, label: str, key: str, rate: float, out: str
 
 
 def metrics_regression(df: DataFrame, y: str, p: str) -> DataFrame:
-    """RMSE, R² and root mean squared percentage error in one pass."""
+    """RMSE, R² and root mean squared percentage error (over y other than 0) in one pass."""
     e = F.col(y) - F.col(p)
     return df.agg(
         F.sqrt(F.avg(e * e)).alias("rmse"),
-        (1 - F.sum(e * e) / (F.var_pop(y) * F.count(y))).alias("r2"),
-        F.sqrt(F.avg((e / F.col(y)) ** 2)).alias("rmspe"),
+        (1 - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("r2"),
+        F.sqrt(F.avg(F.try_divide(e, F.col(y)) ** 2)).alias("rmspe"),
     )
 
 
 def metrics_classification(df: DataFrame, y: str, p: str) -> DataFrame:
-    """Accuracy, precision, recall and F1 of 0/1 columns in one pass."""
+    """Accuracy, precision, recall and F1 of 0/1 columns in one pass; a measure
+    without any row to count is null."""
     yes, hit = F.col(y) == 1, F.col(p) == 1
     tp = F.sum((yes & hit).cast("double"))
+    hits, real = F.sum(hit.cast("double")), F.sum(yes.cast("double"))
     return df.agg(
         F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"),
-        (tp / F.sum(hit.cast("double"))).alias("precision"),
-        (tp / F.sum(yes.cast("double"))).alias("recall"),
-        (2 * tp / (F.sum(hit.cast("double")) + F.sum(yes.cast("double")))).alias("f1"),
+        F.try_divide(tp, hits).alias("precision"),
+        F.try_divide(tp, real).alias("recall"),
+        F.try_divide(2 * tp, hits + real).alias("f1"),
     )
 
 
@@ -124,7 +126,7 @@ def fbeta_sweep(df: DataFrame, y: str, score: str, beta: float, grid: Sequence[f
     for i, th in enumerate(grid):
         hit = F.col(score) > th
         tp = F.sum((hit & (F.col(y) == 1)).cast("double"))
-        aggs.append(((1 + b2) * tp / (b2 * yes + F.sum(hit.cast("double")))).alias(f"f{i}"))
+        aggs.append(F.try_divide((1 + b2) * tp, b2 * yes + F.sum(hit.cast("double"))).alias(f"f{i}"))
     entries = ", ".join(f"{th}D, f{i}" for i, th in enumerate(grid))
     return df.agg(*aggs).selectExpr(f"stack({len(grid)}, {entries}) as (threshold, fbeta)")
 
@@ -132,7 +134,7 @@ def fbeta_sweep(df: DataFrame, y: str, score: str, beta: float, grid: Sequence[f
 def soft_kappa(df: DataFrame, y: str, p: str) -> DataFrame:
     """Loss -2 * sum(y p) / (sum(y²) + sum(p²))."""
     a, b = F.col(y), F.col(p)
-    return df.agg((-2 * F.sum(a * b) / (F.sum(a * a) + F.sum(b * b))).alias("soft_kappa"))
+    return df.agg(F.try_divide(-2 * F.sum(a * b), F.sum(a * a) + F.sum(b * b)).alias("soft_kappa"))
 
 
 def ensemble_mean(frames: Sequence[DataFrame], key: str, logp: str) -> DataFrame:

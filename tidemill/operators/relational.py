@@ -87,7 +87,8 @@ def preview(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 
 def sample_hash(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """A repeatable sample of ``n`` rows: the smallest seeded hashes of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+    mark = F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string")))
+    return df.orderBy(mark, F.col(key)).limit(n)
 
 
 def quad_expand(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -27,8 +27,8 @@ def _all_equal(left: str, right: str, keys: Sequence[str]) -> Column:
     return cond
 
 
-def _slot(cols: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(SALTS))
+def _slot(*cols: Column) -> Column:
+    return F.pmod(F.xxhash64(*cols), F.lit(SALTS))
 
 
 def attach(
@@ -43,8 +43,9 @@ def attach(
     ``weight`` is the column of ``stats`` that counts the rows of the key. Keys
     above ``hot_rows`` number at most rows / hot_rows, so that part of ``stats``
     is bounded and is broadcast; the rows of those keys are then spread over
-    salts so that the shuffle join of the remaining keys stays even. Null keys
-    match nothing. ``weight`` stays in the result.
+    salts so that the shuffle join of the remaining keys stays even. The salt
+    mixes the row with its input partition, since the rows of a hot key may be
+    copies of each other. Null keys match nothing. ``weight`` stays in the result.
     """
     keys = list(keys)
     values = [c for c in stats.columns if c not in keys]
@@ -52,13 +53,14 @@ def attach(
     hot = packed.where(F.col(f"_v.{weight}") > hot_rows).withColumnRenamed("_v", "_hot")
     # The salt of a cold key follows from the key. A constant would not do: the
     # optimizer would turn it into a filter and shuffle by the key alone.
-    own = _slot(keys)
+    own = _slot(*[F.col(k) for k in keys])
     cold = packed.where(F.col(f"_v.{weight}") <= hot_rows).withColumnRenamed("_v", "_cold").withColumn("_salt", own)
     idle = F.lit(False)
     for k in keys:
         idle = idle | F.col(k).isNull()
+    spread = _slot(*[F.col(c) for c in rows.columns], F.spark_partition_id())
     tagged = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull() | idle, _slot(rows.columns)).otherwise(own)
+        "_salt", F.when(F.col("_hot").isNotNull() | idle, spread).otherwise(own)
     )
     return tagged.join(cold, [*keys, "_salt"], "left").select(
         *rows.columns, *[F.coalesce(f"_hot.{v}", f"_cold.{v}").alias(v) for v in values]

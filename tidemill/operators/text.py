@@ -132,7 +132,7 @@ def nb_prior(labels: DataFrame, label: str) -> DataFrame:
     """One row: documents per class (n1, n0) and the log of their ratio (b)."""
     y = F.col(label) == 1
     docs = labels.agg(F.sum(y.cast("double")).alias("n1"), F.sum((~y).cast("double")).alias("n0"))
-    return docs.withColumn("b", F.log(F.col("n1") / F.col("n0")))
+    return docs.withColumn("b", F.log(F.try_divide("n1", "n0")))
 
 
 def nb_ratio(counts: DataFrame, labels: DataFrame, key: str, label: str, by_documents: bool = True) -> DataFrame:

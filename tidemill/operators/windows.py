@@ -202,13 +202,13 @@ def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     run = ordered_scan(per, [F.desc("threshold")], {"tp": F.col("pos"), "taken": F.col("n")})
     total = per.agg(F.sum("pos").alias("_all"))
     return run.join(F.broadcast(total)).select(
-        "threshold", "pos", (F.col("tp") / F.col("taken")).alias("precision"), (F.col("tp") / F.col("_all")).alias("recall")
+        "threshold", "pos", (F.col("tp") / F.col("taken")).alias("precision"), F.try_divide("tp", "_all").alias("recall")
     )
 
 
 def average_precision(curve: DataFrame) -> DataFrame:
     """Sum of precision times the recall gained at each threshold."""
-    return curve.agg((F.sum(F.col("precision") * F.col("pos")) / F.sum("pos")).alias("average_precision"))
+    return curve.agg(F.try_divide(F.sum(F.col("precision") * F.col("pos")), F.sum("pos")).alias("average_precision"))
 
 
 def recall_at_precision(curve: DataFrame, least: float) -> DataFrame:

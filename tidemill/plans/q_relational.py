@@ -186,7 +186,7 @@ def preview_limit(t):
     return P.preview(t.nation.select("n_nationkey", "n_name"), 5, [F.col("n_nationkey")])
 
 
-@query("hash_sample")
+@query("hash_sample", "select o_orderkey, o_totalprice from orders order by md5('42-' || o_orderkey), o_orderkey limit 100")
 def hash_sample(t):
     return P.sample_hash(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 100)
 

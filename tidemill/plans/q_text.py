@@ -423,11 +423,29 @@ def box_filter(t):
     return got.select("vec_id", "class", F.round("score", 8).alias("score"))
 
 
-@query("box_nms")
+_IOU = """greatest(least(k.x2, o.x2) - greatest(k.x1, o.x1), 0) * greatest(least(k.y2, o.y2) - greatest(k.y1, o.y1), 0)
+    / ((k.x2 - k.x1) * (k.y2 - k.y1) + (o.x2 - o.x1) * (o.y2 - o.y1)
+       - greatest(least(k.x2, o.x2) - greatest(k.x1, o.x1), 0) * greatest(least(k.y2, o.y2) - greatest(k.y1, o.y1), 0)) > 0.5"""
+
+
+@query(
+    "box_nms",
+    f"""with recursive o as (select l_orderkey, l_partkey * 10 + l_linenumber as box_id, l_extendedprice / 105000 as score, round(l_discount * 100, 4) as x1,
+            round(l_tax * 100, 4) as y1, round(l_discount * 100 + l_quantity, 4) as x2, round(l_tax * 100 + l_linenumber * 5, 4) as y2,
+            row_number() over (partition by l_orderkey order by l_extendedprice / 105000 desc, l_partkey * 10 + l_linenumber) as rn,
+            count(*) over (partition by l_orderkey) as n from lineitem),
+        w as (select l_orderkey, rn, n, [struct_pack(box_id := box_id, score := score, x1 := x1, y1 := y1, x2 := x2, y2 := y2)] as kept from o where rn = 1
+              union all
+              select o.l_orderkey, o.rn, o.n, case when len(w.kept) >= 10 or len(list_filter(w.kept, lambda k: {_IOU})) > 0 then w.kept
+                  else list_append(w.kept, struct_pack(box_id := o.box_id, score := o.score, x1 := o.x1, y1 := o.y1, x2 := o.x2, y2 := o.y2)) end
+              from w join o on o.l_orderkey = w.l_orderkey and o.rn = w.rn + 1)
+        select l_orderkey, k.box_id, round(k.score, 8) as score, k.x1, k.y1, k.x2, k.y2 from (select l_orderkey, unnest(kept) as k from w where rn = n)""",
+)
 def box_nms(t):
     box_id = F.col("l_partkey") * 10 + F.col("l_linenumber")
     boxes = _boxes(t, box_id.alias("box_id"), (F.col("l_extendedprice") / 105000).alias("score"))
-    return B.nms(boxes, "l_orderkey", "box_id")
+    kept = B.nms(boxes.withColumns({c: F.round(c, 4) for c in B.BOX}), "l_orderkey", "box_id")
+    return kept.withColumn("score", F.round("score", 8))
 
 
 @query(

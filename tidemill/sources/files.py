@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.operators.scale import attach, ordered_scan
+from tidemill.operators.scale import attach, ordered_scan, ranked
 
 
 def _reader(spark: SparkSession, recursive: bool, pattern: str | None):
@@ -110,9 +110,11 @@ def with_source_file(df: DataFrame, out: str = "file") -> DataFrame:
 
 
 def number_lines(spark: SparkSession, path: str, out: str) -> DataFrame:
-    """(line, text) of one text file, lines numbered from 0 in file order."""
-    indexed = spark.read.text(path).rdd.zipWithIndex().map(lambda p: (p[1], p[0][0]))
-    return spark.createDataFrame(indexed, f"line bigint, {out} string")
+    """(line, text) of one text file, lines numbered from 0 in file order: by the
+    split a line lies in, then by its place in the split."""
+    at = [F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")]
+    lines = spark.read.text(path).select(*at, F.col("value").alias(out))
+    return ranked(lines, [F.col("_block"), F.col("_row")], "line").select((F.col("line") - 1).alias("line"), out)
 
 
 def zip_lines(spark: SparkSession, a: str, b: str) -> DataFrame:
