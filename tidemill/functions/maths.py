@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.vectors import let
+
 
 def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-c))
@@ -17,10 +19,12 @@ def sigmoid_slope(c: Column) -> Column:
 
 def softmax(arr: Column) -> Column:
     """Softmax of an array, shifted by its maximum so that nothing overflows."""
-    top = F.array_max(arr)
-    raised = F.transform(arr, lambda x: F.exp(x - top))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(raised, lambda x: x / total)
+    raised = let(F.array_max(arr), lambda top: F.transform(arr, lambda x: F.exp(x - top)))
+
+    def share(r: Column) -> Column:
+        return let(F.aggregate(r, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(r, lambda x: x / total))
+
+    return let(raised, share)
 
 
 def l1_loss(y: Column, p: Column) -> Column:

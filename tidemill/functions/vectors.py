@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,12 @@ def doubles(v: Column) -> Column:
     return v.cast("array<double>")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once. Inside a lambda over an array
+    an expression would be worked out again for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def pad(arr: Column, n: int, fill) -> Column:
     """Cut to ``n`` elements, or pad at the end."""
     cut = F.slice(arr, 1, n)
@@ -42,7 +50,7 @@ def minus(a: Column, b: Column) -> Column:
 
 
 def scale(a: Column, k: Column) -> Column:
-    return F.transform(a, lambda x: x * k)
+    return let(k, lambda once: F.transform(a, lambda x: x * once))
 
 
 def l2_normalise(a: Column) -> Column:

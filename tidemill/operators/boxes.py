@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.vectors import let
 from tidemill.operators.scale import attach
 from tidemill.session import materialise
 
@@ -50,7 +51,7 @@ def overlap_with_largest(df: DataFrame, image: str, tie: str) -> DataFrame:
 
 def box_filter(df: DataFrame, conf: Column, probs: Column, limit: float) -> DataFrame:
     """Best class per box: score = confidence * probability, kept from ``limit`` on."""
-    scores = F.transform(probs, lambda p: conf * p)
+    scores = let(conf, lambda c: F.transform(probs, lambda p: c * p))
     best = df.withColumn("_s", scores).withColumn("score", F.array_max("_s"))
     return best.withColumn("class", F.array_position("_s", F.col("score")) - 1).where(F.col("score") >= limit).drop("_s")
 

@@ -18,9 +18,22 @@ def placed(df: DataFrame, key: str, *cols: str) -> DataFrame:
     """Spread documents by key before their tokens are exploded.
 
     Whole texts are shuffled once; counting or regrouping per document then needs
-    no shuffle of its many tokens, and long inputs are not stuck in one split.
+    no shuffle of its many tokens, and long inputs are not stuck in one split. The
+    stated width keeps AQE from merging partitions: texts are small before their
+    tokens are made, and the work is in the tokens.
     """
-    return df.select(key, *cols).repartition(key)
+    return df.select(key, *cols).repartition(_width(df), key)
+
+
+def _width(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Short inputs that lie in fewer splits than there are cores are spread by key;
+    others stay where they are."""
+    few = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(_width(df), key) if few else df
 
 
 def tokenize(df: DataFrame, key: str, text: str, pattern: str = TOKEN_PATTERN) -> DataFrame:
@@ -87,8 +100,8 @@ def char_vocab(df: DataFrame, text: str) -> DataFrame:
     return counts.withColumn("id", F.row_number().over(Window.orderBy("ch")).cast("bigint"))
 
 
-def grams(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1) -> DataFrame:
-    """(key, term): every n-gram of ``lo`` to ``hi`` words, joined by a blank.
+def gram_lists(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1) -> DataFrame:
+    """(key, terms): all n-grams of ``lo`` to ``hi`` words of a text, joined by a blank.
 
     Each length is built from the one before by adding the next word.
     """
@@ -103,8 +116,13 @@ def grams(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1) -> DataFrame:
         df = df.withColumn(shorter, longer)
         if n >= lo:
             out.append(shorter)
-    every = F.concat(*out) if len(out) > 1 else F.col(out[0])
-    return df.select(key, F.explode_outer(every).alias("term")).where(F.col("term").isNotNull())
+    return df.select(key, (F.concat(*out) if len(out) > 1 else F.col(out[0])).alias("terms"))
+
+
+def grams(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1) -> DataFrame:
+    """(key, term): one row per n-gram."""
+    lists = gram_lists(tokens, key, lo, hi)
+    return lists.select(key, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
 
 
 def term_counts(
@@ -122,10 +140,24 @@ def term_counts(
     return counts.withColumn("n", F.lit(1).cast("bigint")) if binary else counts
 
 
-def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
+def corpus_terms(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1) -> DataFrame:
+    """(term, total, df): occurrences and documents per n-gram; one row of ``tokens`` per document.
+
+    The n-grams of a text are sorted within its row, where a term that differs from
+    the one before it counts a document. That spares grouping by (key, term), whose
+    groups are nearly as many as the n-grams.
+    """
+    ordered = gram_lists(tokens, key, lo, hi).select(F.sort_array("terms").alias("terms"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col("terms"))
+    marked = F.arrays_zip(F.col("terms").alias("term"), F.slice(before, F.lit(1), F.size("terms")).alias("before"))
+    each = ordered.select(F.explode_outer(marked).alias("t")).where(F.col("t.term").isNotNull())
+    new = F.when(~F.col("t.term").eqNullSafe(F.col("t.before")), 1).otherwise(0).cast("bigint")
+    return each.groupBy(F.col("t.term").alias("term")).agg(F.count(F.lit(1)).alias("total"), F.sum(new).alias("df"))
+
+
+def top_terms(terms: DataFrame, max_features: int, by: str = "total") -> DataFrame:
     """(term, total, df) of the most frequent terms; ties go by term."""
-    totals = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("df"))
-    return totals.orderBy(F.desc("total"), F.col("term")).limit(max_features)
+    return terms.orderBy(F.desc(by), F.col("term")).limit(max_features)
 
 
 def nb_prior(labels: DataFrame, label: str) -> DataFrame:
@@ -177,7 +209,7 @@ def tfidf(tokens: DataFrame, key: str, lo: int = 1, hi: int = 1, max_features: i
     n-grams before they are counted again.
     """
     n_docs = tokens.agg(F.count(F.lit(1)).alias("n_docs"))
-    terms = top_terms(term_counts(tokens, key, lo, hi), max_features).join(F.broadcast(n_docs))
+    terms = top_terms(corpus_terms(tokens, key, lo, hi), max_features).join(F.broadcast(n_docs))
     idf = materialise(terms.select("term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
     hits = grams(tokens, key, lo, hi).join(F.broadcast(idf), "term")
     raw = hits.groupBy(key, "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("w"))

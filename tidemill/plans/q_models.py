@@ -289,7 +289,8 @@ def item_pca(t):
 
 def _term_sets(t, hi, max_features, binary):
     tokens = doc_tokens(t)
-    vocab = materialise(M.number_terms(T.top_terms(T.term_counts(tokens, "doc_id", 1, hi, binary=binary), max_features).select("term")))
+    terms = T.corpus_terms(tokens, "doc_id", 1, hi)
+    vocab = materialise(M.number_terms(T.top_terms(terms, max_features, "df" if binary else "total").select("term")))
     labels = T.md5_split(t.labels.select("doc_id", F.col("quality").cast("double").alias("y")), "doc_id", 0.25)
     marked = tokens.join(labels.select("doc_id"), "doc_id", "left_semi")
     return T.term_counts(marked, "doc_id", 1, hi, binary=binary, vocab=vocab), vocab, labels
@@ -334,6 +335,6 @@ def session_clf(t):
         select token, count(*) as n, count(distinct doc_id) as docs from x group by 1 order by n desc, token limit 1000""",
 )
 def vocab_pos(t):
-    return T.top_terms(T.term_counts(doc_tokens(t), "doc_id"), 1000).select(
+    return T.top_terms(T.corpus_terms(doc_tokens(t), "doc_id"), 1000).select(
         F.col("term").alias("token"), F.col("total").alias("n"), F.col("df").alias("docs")
     )

@@ -31,7 +31,7 @@ def text_markers(t):
 
 @query("tokenize", f"select doc_id, len(k) as n_tokens, md5(array_to_string(k, ' ')) as tokens_md5 from (select doc_id, {TOK} as k from documents)")
 def tokenize(t):
-    k = T.tokenize(t.documents, "doc_id", "text")
+    k = T.tokenize(T.spread(t.documents.select("doc_id", "text"), "doc_id"), "doc_id", "text")
     return k.select("doc_id", F.size("tokens").alias("n_tokens"), F.md5(F.concat_ws(" ", "tokens")).alias("tokens_md5"))
 
 
@@ -106,7 +106,7 @@ def _grams_sql(hi: int, tokens: str) -> str:
     f"with {_grams_sql(3, TOK)} select term, count(*) as total, count(distinct doc_id) as df from g group by 1 order by total desc, term limit 5000",
 )
 def ngram_counts(t):
-    return T.top_terms(T.term_counts(doc_tokens(t), "doc_id", 1, 3), 5000)
+    return T.top_terms(T.corpus_terms(doc_tokens(t), "doc_id", 1, 3), 5000)
 
 
 _NB = f"""x as (select doc_id, unnest({TOK}) as term from documents),
@@ -144,8 +144,8 @@ def nb_ratio_tokens(t):
         from c left join m using (term) group by 1""",
 )
 def nb_score(t):
-    counts = T.term_counts(doc_tokens(t), "doc_id")
-    model = materialise(T.nb_ratio(counts, t.labels, "doc_id", "quality"))
+    counts = materialise(T.term_counts(doc_tokens(t), "doc_id"))  # feeds the model and the scores
+    model = T.nb_ratio(counts, t.labels, "doc_id", "quality")
     scored = T.nb_score(counts, model, T.nb_prior(t.labels, "quality"), "doc_id")
     return scored.withColumn("score", F.round("score", 4))
 
@@ -195,7 +195,8 @@ def hash_split(t):
     f"select doc_id, len({TOK}) as n_tokens, len({TOK}) // 100 as bucket from documents",
 )
 def length_buckets(t):
-    return T.length_buckets(T.tokenize(t.documents, "doc_id", "text"), "doc_id", 100)
+    texts = T.spread(t.documents.select("doc_id", "text"), "doc_id")
+    return T.length_buckets(T.tokenize(texts, "doc_id", "text"), "doc_id", 100)
 
 
 @query(

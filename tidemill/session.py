@@ -70,13 +70,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+    """Write ``df`` once as a table in the shared checkpoint folder and read that.
 
-    Used where two branches must see exactly the same rows and row placement,
-    and to cut lineage inside loops. The copy outlives a lost executor.
+    Used where several branches need the same costly rows, and to cut lineage
+    inside loops. The copy outlives a lost executor; being columnar and of known
+    size, it lets later steps read only what they need and choose their joins.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = scratch_dir(df.sparkSession, "rows")
+    df.write.parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
