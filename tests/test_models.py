@@ -100,3 +100,11 @@ def test_measures_of_an_empty_class_are_null(spark):
     assert [r["fbeta"] for r in M.fbeta_sweep(df, "y", "s", 2.0, [0.5]).collect()] == [None]
     assert M.soft_kappa(df, "y", "s").first()[0] is None
     assert M.metrics_regression(df, "y", "s").first()["r2"] is None
+
+
+def test_term_vectors(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a", "zzz"]), (2, [])], "id int, terms array<string>")
+    got = {r["id"]: r["features"].toArray().tolist() for r in M.term_vectors(df, ["a", "b"]).collect()}
+    assert got == {1: [2.0, 1.0], 2: [0.0, 0.0]}
+    weighted = M.term_vectors(df, ["a", "b"], binary=True, weights={"b": -3.0})
+    assert {r["id"]: r["features"].toArray().tolist() for r in weighted.collect()} == {1: [0.0, -3.0], 2: [0.0, 0.0]}

@@ -51,6 +51,14 @@ def test_loose_headers(spark, rows, tmp_path):
     assert rows(one) == [(1, None)]
 
 
+def test_csv_cells(spark):
+    lines = [",b,", 'a,"x, ""y""",c', '"p\\"q",', "", ",".join(str(i) for i in range(100))]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, v string")
+    got = {r["i"]: r["c"] for r in df.select("i", files.csv_cells(F.col("v")).alias("c")).collect()}
+    assert got[0] == [None, "b", None] and got[1] == ["a", 'x, "y"', "c"] and got[2] == ['p"q', None]
+    assert got[3] == [None] and got[4] == [str(i) for i in range(100)]
+
+
 def test_ledger_loads_each_file_once(spark, rows):
     data = spark.createDataFrame([("f1", 1), ("f2", 2), ("f2", 1)], "source_file string, id int")
     empty = spark.createDataFrame([], "path string")

@@ -47,6 +47,11 @@ def test_tfidf_rows_have_unit_length(spark):
         assert r["s"] == pytest.approx(1)
 
 
+def test_corpus_terms_counts_occurrences_and_documents(spark, rows):
+    got = rows(T.corpus_terms(_docs(spark, "a b a b", "b", ""), "id", 1, 2), "term", "total", "df")
+    assert got == [("a", 2, 1), ("a b", 2, 1), ("b", 3, 2), ("b a", 1, 1)]
+
+
 def test_char_vocab(spark, rows):
     assert rows(T.char_vocab(spark.createDataFrame([("ba b",)], "t string"), "t"), "id", "ch", "n") == [(1, " ", 1), (2, "a", 1), (3, "b", 2)]
 

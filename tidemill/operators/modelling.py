@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import PCA, HashingTF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, HashingTF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -284,26 +284,20 @@ def item_components(model, k: int = 3) -> DataFrame:
     return PCA(k=k, inputCol="features", outputCol="pca").fit(f).transform(f).select("id", vector_to_array("pca").alias("components"))
 
 
-def term_vectors(counts: DataFrame, key: str, vocab: DataFrame, weight: Column | None = None) -> DataFrame:
-    """(key, features): sparse vector per document; ``vocab`` has (term, idx, ...).
-
-    The vocabulary is bounded by its max_features and broadcast.
-    """
-    size = vocab.count()
-    value = F.col("n").cast("double") if weight is None else weight
-    items = counts.join(F.broadcast(vocab), "term").select(key, F.struct(F.col("idx").cast("int").alias("i"), value.alias("v")).alias("p"))
-    packed = items.groupBy(key).agg(F.sort_array(F.collect_list("p")).alias("p"))
-
-    @F.udf(VectorUDT())
-    def sparse(p):
-        return SparseVector(size, [x["i"] for x in p], [x["v"] for x in p])
-
-    return packed.select(key, sparse("p").alias("features"))
+def term_list(terms: DataFrame) -> list[str]:
+    """A vocabulary in order, on the driver; its size is bounded by max_features."""
+    return sorted(r["term"] for r in terms.select("term").collect())
 
 
-def number_terms(terms: DataFrame) -> DataFrame:
-    """Add ``idx`` from 0 to a bounded list of terms."""
-    return terms.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
+def term_vectors(lists: DataFrame, vocab: Sequence[str], binary: bool = False, weights: Mapping[str, float] | None = None) -> DataFrame:
+    """Sparse ``features`` per document from its array of ``terms``: counts (or 0/1)
+    of the vocabulary, times a weight per term if given. No shuffle, no Python."""
+    counter = CountVectorizerModel.from_vocabulary(list(vocab), inputCol="terms", outputCol="_counts", binary=binary)
+    counted = counter.transform(lists).drop("terms")
+    if weights is None:
+        return counted.withColumnRenamed("_counts", "features")
+    scale = Vectors.dense([float(weights.get(w, 0.0)) for w in vocab])
+    return ElementwiseProduct(scalingVec=scale, inputCol="_counts", outputCol="features").transform(counted).drop("_counts")
 
 
 def fit_logistic(train: DataFrame, label: str, c: float, intercept: bool = True, iterations: int = 50):

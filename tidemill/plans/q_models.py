@@ -287,29 +287,32 @@ def item_pca(t):
     return c.select("id", *[F.col("components")[j].alias(f"pc{j + 1}") for j in range(3)])
 
 
-def _term_sets(t, hi, max_features, binary):
+def _term_sets(t, hi, max_features):
+    """N-gram lists of the labelled documents, the vocabulary of all documents, the labels."""
     tokens = doc_tokens(t)
-    terms = T.corpus_terms(tokens, "doc_id", 1, hi)
-    vocab = materialise(M.number_terms(T.top_terms(terms, max_features, "df" if binary else "total").select("term")))
+    vocab = materialise(T.top_terms(T.corpus_terms(tokens, "doc_id", 1, hi), max_features, "df").select("term"))
     labels = T.md5_split(t.labels.select("doc_id", F.col("quality").cast("double").alias("y")), "doc_id", 0.25)
     marked = tokens.join(labels.select("doc_id"), "doc_id", "left_semi")
-    return T.term_counts(marked, "doc_id", 1, hi, binary=binary, vocab=vocab), vocab, labels
+    return T.gram_lists(marked, "doc_id", 1, hi), vocab, labels
 
 
 @query("text_logreg")
 def text_logreg(t):
-    counts, vocab, labels = _term_sets(t, 1, 5000, True)
-    rows = materialise(M.term_vectors(counts, "doc_id", vocab).join(labels, "doc_id"))
+    lists, vocab, labels = _term_sets(t, 1, 5000)
+    rows = materialise(M.term_vectors(lists, M.term_list(vocab), binary=True).join(labels, "doc_id"))
     model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
     return M.metrics_classification(model.transform(rows.where("is_valid")), "y", "prediction")
 
 
 @query("nb_logreg")
 def nb_logreg(t):
-    counts, vocab, labels = _term_sets(t, 2, 5000, True)
-    ratio = T.nb_ratio(counts, labels.where("not is_valid"), "doc_id", "y").select("term", "r")
-    weighted = vocab.join(ratio, "term", "left").fillna(0.0, ["r"])
-    rows = materialise(M.term_vectors(counts, "doc_id", weighted, F.col("n") * F.col("r")).join(labels, "doc_id"))
+    lists, vocab, labels = _term_sets(t, 2, 5000)
+    lists = materialise(lists)
+    held = lists.select("doc_id", F.explode(F.array_distinct("terms")).alias("term"), F.lit(1).cast("bigint").alias("n"))
+    counts = held.join(F.broadcast(vocab), "term", "left_semi")
+    ratio = T.nb_ratio(counts, labels.where("not is_valid"), "doc_id", "y")
+    weights = {r["term"]: r["r"] for r in ratio.collect()}  # one number per vocabulary term
+    rows = materialise(M.term_vectors(lists, M.term_list(vocab), True, weights).join(labels, "doc_id"))
     model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
     return M.metrics_classification(model.transform(rows.where("is_valid")), "y", "prediction")
 

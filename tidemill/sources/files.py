@@ -69,6 +69,18 @@ def match_headers(df: DataFrame, canonical: Sequence[str]) -> DataFrame:
     return df.select(*cols)
 
 
+def csv_cells(line: Column) -> Column:
+    """Cells of a CSV line of any width; quotes are undone, empty cells are null."""
+    cell = r',("[^"\\]*(?:(?:\\.|"")[^"\\]*)*"|[^,]*)'
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(cell), F.lit(1))
+
+    def plain(c: Column) -> Column:
+        inner = F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), r'\\(.)|"(")', "$1$2")
+        return F.nullif(F.when(c.startswith('"') & (F.length(c) > 1), inner).otherwise(c), F.lit(""))
+
+    return F.transform(found, plain)
+
+
 def read_loose(spark: SparkSession, paths: Sequence[str], canonical: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """CSV files whose headers differ in case and blanks, as one frame of text.
 
@@ -78,8 +90,7 @@ def read_loose(spark: SparkSession, paths: Sequence[str], canonical: Sequence[st
     """
     wanted = {canonical_key(c): c for c in canonical}
     raw = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("source_file"), "value")
-    cells = raw.withColumn("cells", F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(64)))))
-    cells = cells.withColumn("cells", F.array(*[F.col(f"cells.c{i}") for i in range(64)]))
+    cells = raw.withColumn("cells", csv_cells(F.col("value")))
     keys = F.transform("cells", lambda c: F.lower(F.regexp_replace(c, r"\s+", "")))
     names = F.array(*[F.lit(k) for k in wanted])
     cells = cells.withColumn("keys", keys).withColumn("hits", F.size(F.array_intersect(names, "keys")))
