@@ -108,3 +108,10 @@ def test_term_vectors(spark):
     assert got == {1: [2.0, 1.0], 2: [0.0, 0.0]}
     weighted = M.term_vectors(df, ["a", "b"], binary=True, weights={"b": -3.0})
     assert {r["id"]: r["features"].toArray().tolist() for r in weighted.collect()} == {1: [0.0, -3.0], 2: [0.0, 0.0]}
+
+
+def test_text_and_time_pipeline(spark):
+    rows = [("a b" if i % 2 else "c d", i % 24, float(i % 2)) for i in range(80)]
+    df = spark.createDataFrame(rows, "sites string, hour int, y double")
+    model = M.text_time_classifier("sites", ["hour"], "y", 64).fit(df)
+    assert M.metrics_classification(model.transform(df), "y", "prediction").first()["accuracy"] == 1.0
