@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemill.llm.bpe_rounds import MergeTable
-from tidemill.llm.common import ragged, table
+from tidemill.llm.common import ragged, table, text_runs
 
 VOCABULARY = "word_bpe_49k.json"
 #: Below this code point, Python and the library agree on letters, case and normal forms (tested on each).
@@ -141,15 +141,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def text_runs(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``size`` text bytes each, at least one row."""
-    sizes = np.array(pa.compute.binary_length(batch[column]).fill_null(0))
-    group = (np.cumsum(sizes) - sizes) // size
-    cuts = np.flatnonzero(np.r_[True, np.diff(group) > 0, True]) if len(sizes) else []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        yield batch.slice(a, b - a)
-
-
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None) -> DataFrame:
     """Add the token ids of each text as an array of int.
 

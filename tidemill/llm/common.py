@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 from math import ceil
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,3 +101,12 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
+def text_runs(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` text bytes each, at least one row."""
+    sizes = np.array(pc.fill_null(pc.binary_length(batch[column]), 0))
+    group = (np.cumsum(sizes) - sizes) // size
+    cuts = np.flatnonzero(np.r_[True, np.diff(group) > 0, True]) if len(sizes) else []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(a, b - a)

@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.bpe import text_runs
 from tidemill.llm.bpe_rounds import MergeTable
-from tidemill.llm.common import table
+from tidemill.llm.common import table, text_runs
 
 VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
