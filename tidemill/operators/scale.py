@@ -123,9 +123,11 @@ def ordered_scan(
     return joined.select(*out)
 
 
-def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", keys: Sequence[str] = ()) -> DataFrame:
+def ranked(
+    df: DataFrame, order: Sequence[Column], name: str = "rn", keys: Sequence[str] = (), parts: int | None = None
+) -> DataFrame:
     """Row number along a total order, for whole tables or very large keys."""
-    return ordered_scan(df, order, {name: F.lit(1).cast("long")}, keys)
+    return ordered_scan(df, order, {name: F.lit(1).cast("long")}, keys, parts)
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
