@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from tidemill.llm.bpe import op2_bpe
+from tidemill.llm.secret_scan import op10_secrets
+from tidemill.llm.sharding import op6_sharding
 from tidemill.llm.token_counts import op9_token_counts
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op6_sharding": op6_sharding,
     "op9_token_counts": op9_token_counts,
+    "op10_secrets": op10_secrets,
 }
 
 SQL: dict[str, str] = {}
