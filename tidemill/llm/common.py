@@ -110,3 +110,37 @@ def text_runs(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterat
     cuts = np.flatnonzero(np.r_[True, np.diff(group) > 0, True]) if len(sizes) else []
     for a, b in zip(cuts[:-1], cuts[1:]):
         yield batch.slice(a, b - a)
+
+
+class WordBatch:
+    """Words of several texts in one flat list, with their hashes and the text each is of."""
+
+    def __init__(self, words_of_texts: list[list[bytes]], hashes: WordHashes):
+        self.lengths = np.array([len(w) for w in words_of_texts], np.int64)
+        self.ends = np.cumsum(self.lengths)
+        self.starts = self.ends - self.lengths
+        self.words = [w for mine in words_of_texts for w in mine]
+        self.hashes = hashes.of(self.words)
+        self.text = np.repeat(np.arange(len(self.lengths)), self.lengths)
+
+    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """First positions of the ``k``-grams that lie in one text, and their hashes."""
+        g = gram_hashes(self.hashes, k)
+        at = np.flatnonzero(self.text[: len(g)] == self.text[k - 1 : k - 1 + len(g)])
+        return at, g[at]
+
+    def windows(self, size: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows of ``size`` words that lie in one text: first positions, the positions of the
+        ``k``-grams that winnowing selects in them, and the hashes of those."""
+        g = gram_hashes(self.hashes, k)
+        at = winnow(g, size - k + 1)
+        inside = np.flatnonzero(self.text[: len(at)] == self.text[size - 1 : size - 1 + len(at)])
+        return inside, at[inside], g[at[inside]]
+
+
+def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of ``n`` places lie in any of the given spans."""
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, ends, -1)
+    return np.cumsum(change[:-1]) > 0
