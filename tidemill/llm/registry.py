@@ -7,10 +7,12 @@ from tidemill.llm.decontaminate import op8_decontaminate
 from tidemill.llm.secret_scan import op10_secrets
 from tidemill.llm.sharding import op6_sharding
 from tidemill.llm.simhash_dedup import op5_simhash
+from tidemill.llm.substring_dedup import op4_substring
 from tidemill.llm.token_counts import op9_token_counts
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op4_substring": op4_substring,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op8_decontaminate": op8_decontaminate,
