@@ -10,6 +10,7 @@ from tidemill.llm.sharding import op6_sharding
 from tidemill.llm.simhash_dedup import op5_simhash
 from tidemill.llm.substring_dedup import op4_substring
 from tidemill.llm.token_counts import op9_token_counts
+from tidemill.llm.vector_search import op7_vector_search
 
 QUERIES = {
     "op2_bpe": op2_bpe,
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_substring": op4_substring,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
+    "op7_vector_search": op7_vector_search,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,
