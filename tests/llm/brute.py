@@ -131,3 +131,57 @@ def secrets(docs):
         text = ",".join(f"{['assign', 'access', 'hex'][k]}:{a}:{b}" for a, k, b in sorted(found))
         out.append((d, *[sum(k == i for _, k, _ in found) for i in range(3)], sha(text), text))
     return sorted(out)
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def line_form(line):
+    import regex
+
+    return " ".join(regex.findall(r"[\p{L}\p{N}]+", line.lower()))
+
+
+def line_print(form):
+    hashes = [xxhash.xxh64_intdigest(w, 42) for w in form.split(" ")]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def lines(docs, radius=3, similarity=0.8):
+    """doc_id, lines with words, lines that go, and these with their group's first occurrence."""
+    at = {}
+    for d, t in docs:
+        for i, line in enumerate(t.split("\n") if t else []):
+            if form := line_form(line):
+                at.setdefault(form, set()).add((d, i))
+    node = {f: min(places) for f, places in at.items()}
+    prints = {}
+    for f in node:
+        prints.setdefault(line_print(f), []).append(f)
+
+    def alike(a, b):
+        most = max(len(a), len(b))
+        return edit_distance(a, b) <= int(most * (1 - similarity) + 1e-9)
+
+    links, rep = [], {p: min(fs, key=node.get) for p, fs in prints.items()}
+    for p, fs in prints.items():
+        links += [(node[rep[p]], node[f]) for f in fs if f != rep[p] and alike(rep[p], f)]
+    keys = list(rep)
+    for i, p in enumerate(keys):
+        for q in keys[:i]:
+            if (p ^ q).bit_count() <= radius and alike(rep[p], rep[q]):
+                links.append((node[rep[p]], node[rep[q]]))
+    root = groups(node.values(), links)
+    out = {d: [0, []] for d, _ in docs}
+    for f, places in at.items():
+        for d, i in places:
+            out[d][0] += 1
+            if (d, i) != root[node[f]]:
+                out[d][1].append((i, *root[node[f]]))
+    return sorted((d, n, len(g), ",".join("%d:%d:%d" % x for x in sorted(g))) for d, (n, g) in out.items())

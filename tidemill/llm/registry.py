@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemill.llm.bpe import op2_bpe
 from tidemill.llm.decontaminate import op8_decontaminate
 from tidemill.llm.language_id import op3_language_id
+from tidemill.llm.line_dedup import op1_line_dedup
 from tidemill.llm.secret_scan import op10_secrets
 from tidemill.llm.sharding import op6_sharding
 from tidemill.llm.simhash_dedup import op5_simhash
@@ -13,6 +14,7 @@ from tidemill.llm.token_counts import op9_token_counts
 from tidemill.llm.vector_search import op7_vector_search
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
     "op3_language_id": op3_language_id,
     "op4_substring": op4_substring,
