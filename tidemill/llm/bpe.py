@@ -175,14 +175,15 @@ def decode(docs: DataFrame, ids: str = "ids", text: str = "decoded", path: str |
     return docs.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document."""
+def digests(docs: DataFrame, path: str | None = None, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document, and the ids if asked for."""
     coded = decode(encode(docs.select("doc_id", "text"), path=path).drop("text"), path=path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        *(["ids"] if keep_ids else []),
     )
 
 

@@ -100,6 +100,42 @@ class Benchmark:
         return out
 
 
+def slices_of(benchmark: DataFrame, item: str, item_text: str, slice_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The benchmark's (id, text) in lists of about ``slice_bytes`` of text, one list at least."""
+    items = benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(
+        F.col(item).cast("string").alias("id"), F.col(item_text).alias("text")
+    ).distinct()
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    slices = max(1, ceil(size / slice_bytes))
+    dealt = items.withColumn("slice", F.pmod(F.xxhash64("id", "text"), F.lit(slices)))
+    for i in range(slices):
+        yield sorted((r["id"], r["text"]) for r in dealt.where(F.col("slice") == i).select("id", "text").collect())
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text",
+    item: str = "item_id", item_text: str = "text", slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
+    """The documents without a hit, with all their columns. A pass for each slice of the benchmark, as in ``find``."""
+    for i, items in enumerate(slices_of(benchmark, item, item_text, slice_bytes)):
+        docs = _without(materialise(docs) if i else docs, text, items)
+    return docs
+
+
+def _without(docs: DataFrame, text: str, items: list[tuple[str, str]]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+    built: list[Benchmark] = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not built:
+            built.append(Benchmark(shared.value))
+        for whole in batches:
+            for batch in text_runs(whole, text):
+                yield batch.filter(pa.array([not found for *_, found in built[0].search(batch[text].to_pylist())]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 _FOUND = "n_words long, starts array<int>, ends array<int>, items array<string>"
 
 
@@ -138,19 +174,12 @@ def find(
     least), a pass over the documents for each; with more than one, results are
     put together by key and text, and repeated rows come out once.
     """
-    items = benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(
-        F.col(item).cast("string").alias("id"), F.col(item_text).alias("text")
-    ).distinct()
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    slices = max(1, ceil(size / slice_bytes))
-    dealt = items.withColumn("slice", F.pmod(F.xxhash64("id", "text"), F.lit(slices)))
-    found = None
-    for i in range(slices):
-        held = [(r["id"], r["text"]) for r in dealt.where(F.col("slice") == i).select("id", "text").collect()]
-        part = _pass(docs, key, text, sorted(held))
-        if slices > 1:
-            part = materialise(part if i == 0 else part.where(F.size("items") > 0))
-        found = part if found is None else found.unionByName(part)
+    found, slices = None, 0
+    for items in slices_of(benchmark, item, item_text, slice_bytes):
+        part = _pass(docs, key, text, items)
+        if slices:
+            part = materialise(part.where(F.size("items") > 0))
+        found, slices = part if found is None else found.unionByName(part), slices + 1
     if slices == 1:
         return found.drop("_mark")
     runs = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))))

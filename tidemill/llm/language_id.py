@@ -95,7 +95,10 @@ class Model:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, cosine (0 to 1), and whether the text is rejected."""
         langs, score, out = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        known = [i for i, t in enumerate(texts) if t and self.languages and any(map(str.isalpha, t))]
+        known = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
+        if not self.languages:
+            out[known] = False
+            return langs, score, out
         for a in range(0, len(known), 128):
             rows = known[a : a + 128]
             counts = np.stack([grams(texts[i]) for i in rows])
@@ -174,8 +177,9 @@ _ADDED = {"lang_pred": (T.StringType(), pa.string()), "score": (T.DoubleType(),
 def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = tuple(_ADDED)) -> DataFrame:
     """Add language, score (cosine, 0 to 1) and whether the text is rejected; ``names`` must not be taken.
 
-    A text that is null or has no letter is `und`, with score 0, and rejected; so
-    is every text if nothing was learned. Of equal cosines the first language in
+    A text that is null or has no letter is `und`, with score 0, and rejected. If
+    nothing was learned, every text is `und` with score 0, and only those without
+    a letter are rejected. Of equal cosines the first language in
     the alphabet wins. Every row is kept, repeated ones too.
     """
     kinds = list(_ADDED.values())
