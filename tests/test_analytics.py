@@ -112,7 +112,7 @@ def test_percentiles_and_profile(spark):
 
 def test_list_agg_continues_in_parts(spark, rows):
     df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 9)], "k string, v int")
-    assert rows(A.list_agg(df, ["k"], "v", [F.col("v")], chunk=2)) == [("a", 0, "0,1"), ("a", 1, "2,3"), ("a", 2, "4"), ("b", 0, "9")]
+    assert rows(A.list_agg(df, ["k"], "v", ["v"])) == [("a", "0,1,2,3,4"), ("b", "9")]
 
 
 def test_margins_constant_coverage(spark, rows):
@@ -130,3 +130,28 @@ def test_spearman_with_ties(spark):
     cov = sum((x - ma) * (y - mb) for x, y in zip(ranks_a, ranks_b))
     want = cov / math.sqrt(sum((x - ma) ** 2 for x in ranks_a) * sum((y - mb) ** 2 for y in ranks_b))
     assert A.spearman(df, ["a", "b"]).first()["rho"] == pytest.approx(want)
+
+
+def test_whole_numbers_keep_apart(spark, rows):
+    df = spark.createDataFrame([(2**53,), (2**53 + 1,), (2**53 + 2,), (None,)], "k long")
+    assert A.value_counts(df, ["k"]).count() == 4
+    assert A.profile(df).first()["uniques"] == 3
+
+
+def test_profile_of_all_types(spark, rows):
+    import datetime
+    from decimal import Decimal
+
+    day = datetime.date(2024, 1, 2)
+    data = [(1, 0.5, Decimal("1.10"), "b", day, True), (2, None, Decimal("1.10"), "a", day, None), (3, 1.5, None, None, None, None)]
+    got = {r["column"]: r for r in A.profile(spark.createDataFrame(data, "i int, d double, m decimal(10,2), s string, t date, b boolean")).collect()}
+    assert (got["i"]["mean"], got["i"]["uniques"], got["i"]["q50"], got["i"]["top"]) == (2.0, 3, 2.0, None)
+    assert (got["d"]["count"], got["d"]["missing"], got["m"]["uniques"], got["m"]["mean"]) == (2, 1, 1, 1.1)
+    assert (got["s"]["top"], got["s"]["freq"], got["s"]["uniques"], got["s"]["mean"]) == ("a", 1, 2, None)
+    assert (got["t"]["top"], got["t"]["freq"], got["b"]["top"], got["b"]["missing"]) == ("2024-01-02", 2, "true", 2)
+
+
+def test_pivot_finds_its_values(spark, rows):
+    df = spark.createDataFrame([("x", "new", 1), ("x", "odd", 2), ("y", "odd", 3)], "r string, c string, v int")
+    assert rows(A.pivot_count(df, F.col("r"), "c"), "r", "new", "odd") == [("x", 1, 1), ("y", 0, 1)]
+    assert rows(A.pivot_sum(df, "r", "c", F.col("v")), "r", "odd") == [("x", 2), ("y", 3)]

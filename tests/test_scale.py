@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import scale
@@ -63,3 +64,24 @@ def test_top_per_key_prunes_before_the_shuffle(spark):
 def test_literal_rows(spark, rows):
     assert rows(scale.literal_rows(spark, [(1, "a"), (2, "b")], "id bigint, t string")) == [(1, "a"), (2, "b")]
     assert scale.literal_rows(spark, [], "id bigint, t string").count() == 0
+
+
+@pytest.mark.parametrize("kinds", [("long", "int"), ("int", "long"), ("decimal(10,2)", "decimal(12,4)"), ("double", "float"), ("int", "double")])
+def test_attach_compares_values_not_types(spark, rows, kinds):
+    df = spark.range(20).select((F.col("id") % 5).cast(kinds[0]).alias("k"), F.col("id").alias("v"))
+    stats = spark.range(5).select(F.col("id").cast(kinds[1]).alias("k"), F.lit(4).alias("n"), (F.col("id") * 10).alias("s"))
+    for hot in (1, 10):
+        got = rows(scale.attach(df, stats, ["k"], "n", hot_rows=hot), "v", "s")
+        assert got == [(v, v % 5 * 10) for v in range(20)]
+
+
+def test_attach_one_zero(spark, rows):
+    df = spark.createDataFrame([(0.0, 1), (-0.0, 2)], "k double, v int")
+    stats = spark.createDataFrame([(0.0, 1, "x")], "k double, n int, s string")
+    assert rows(scale.attach(df, stats, ["k"], "n"), "v", "s") == [(1, "x"), (2, "x")]
+
+
+def test_number_of_ranges(spark, monkeypatch):
+    monkeypatch.setattr(scale, "RANGE_LEAST", 10)
+    monkeypatch.setattr(scale, "RANGE_MOST", 100)
+    assert [scale.ranges_for(spark.range(n)) for n in (0, 25, 350, 1000)] == [1, 3, 4, 10]

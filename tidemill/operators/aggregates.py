@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.operators.scale import attach, ordered_scan, ranked
+from tidemill.operators.scale import attach, ordered_scan
+from tidemill.session import materialise
 
 
 def _count(name: str = "n") -> Column:
@@ -29,15 +30,15 @@ def group_max(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFr
     return df.groupBy(*keys).agg(*[F.max(c).alias(f"max_{c}") for c in cols])
 
 
-def list_agg(df: DataFrame, keys: Sequence[str], col: str, order: Sequence[Column], sep: str = ",", chunk: int = 10_000) -> DataFrame:
-    """Values of a group joined by ``sep`` in order.
+def list_agg(df: DataFrame, keys: Sequence[str], col: str, order: Sequence[str], sep: str = ",") -> DataFrame:
+    """Values of a group joined by ``sep`` in the order of the columns ``order``: one row and one string per group.
 
-    A group larger than ``chunk`` goes on in further rows (``part`` 0, 1, ...), so
-    that no task ever holds an unbounded group and no value is lost.
+    The string is the result, so a group's values have to fit one row.
     """
-    numbered = ranked(df, order, "_rn", keys).withColumn("part", F.floor((F.col("_rn") - 1) / chunk).cast("bigint"))
-    pieces = numbered.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct("_rn", F.col(col).cast("string").alias("v")))).alias("_l"))
-    return pieces.select(*keys, "part", F.concat_ws(sep, F.transform("_l", lambda s: s["v"])).alias("items"))
+    item = F.struct(*order, F.col(col).cast("string").alias("_v"))
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_l")).select(
+        *keys, F.concat_ws(sep, F.transform("_l", lambda s: s["_v"])).alias("items")
+    )
 
 
 def compare_sums(l: DataFrame, r: DataFrame, key: str, amount: str) -> DataFrame:
@@ -52,14 +53,15 @@ def dup_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return group_count(df, keys).where(F.col("n") > 1)
 
 
-def pivot_count(df: DataFrame, row: Column, col: str, values: Sequence[str]) -> DataFrame:
-    """Counts by row and column value, 0 where there is none. The values are
-    stated, which saves the extra pass that finds them."""
-    return df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1))).fillna(0)
+def pivot_count(df: DataFrame, row: Column, col: str, values: Sequence[str] | None = None) -> DataFrame:
+    """Counts by row and column value, 0 where there is none. Unless they are
+    stated, the values are found first, with a distinct pass (Spark refuses above
+    spark.sql.pivotMaxValues of them)."""
+    return df.groupBy(row).pivot(col, list(values) if values else None).agg(F.count(F.lit(1))).fillna(0)
 
 
-def pivot_sum(df: DataFrame, row: str, col: str, val: Column, values: Sequence) -> DataFrame:
-    return df.groupBy(row).pivot(col, list(values)).agg(F.sum(val))
+def pivot_sum(df: DataFrame, row: str, col: str, val: Column, values: Sequence | None = None) -> DataFrame:
+    return df.groupBy(row).pivot(col, list(values) if values else None).agg(F.sum(val))
 
 
 def constant_groups(df: DataFrame, key: str, col: str) -> DataFrame:
@@ -87,10 +89,32 @@ def margins(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+def _native_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, whole, real, text, n) in one pass: each column's values in a type that
+    keeps them apart, whole numbers as bigint, doubles as they are, others as text."""
+
+    def entry(c: str) -> Column:
+        kind = df.schema[c].dataType
+        whole, real = isinstance(kind, T.IntegralType), isinstance(kind, (T.FloatType, T.DoubleType))
+        return F.struct(
+            F.lit(c).alias("column"),
+            (F.col(c) if whole else F.lit(None)).cast("bigint").alias("whole"),
+            (F.col(c) if real else F.lit(None)).cast("double").alias("real"),
+            (F.lit(None) if whole or real else F.col(c)).cast("string").alias("text"),
+        )
+
+    each = df.select(F.explode(F.array(*[entry(c) for c in cols])).alias("p")).select("p.*")
+    return each.groupBy("column", "whole", "real", "text").agg(_count())
+
+
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value, n) of numeric columns in one pass; nulls are counted too."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]))
-    return df.select(pairs.alias("p")).select("p.column", "p.value").groupBy("column", "value").agg(_count())
+    """(column, value, n) of numeric columns in one pass; nulls are counted too.
+
+    Values are counted in their own type and become doubles afterwards, so whole
+    numbers that share a double keep a row each.
+    """
+    value = F.coalesce(F.col("whole").cast("double"), "real", F.col("text").cast("double"))
+    return _native_counts(df, cols).select("column", value.alias("value"), "n")
 
 
 def percentiles(counts: DataFrame, fractions: dict[str, float], keys: Sequence[str] = (), value: str = "value") -> DataFrame:
@@ -122,20 +146,30 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, std, min, quartiles, max, uniques and missing per numeric column.
+    """One row per column, of any type: count, uniques and missing; of numbers the mean, std,
+    min, quartiles and max; of other columns the most frequent value as text (the first
+    in order of those that tie) and its frequency.
 
     The column list is short, so joins on it are broadcast.
     """
-    counts = value_counts(df, cols or numeric_columns(df))
+    cols = list(cols or df.columns)
+    numbers = [c for c in cols if c in numeric_columns(df)]
+    native = materialise(_native_counts(df, cols))
+    number = F.col("column").isin(numbers)
+    value = F.when(number, F.coalesce(F.col("whole").cast("double"), "real", F.expr("try_cast(text as double)")))
+    counts = native.withColumn("value", value)
     w, v = F.col("n"), F.col("value")
-    present = F.sum(F.when(v.isNotNull(), w))
-    mean = F.sum(v * w) / present
+    held = F.coalesce(F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull(), F.lit(False))
+    mean = F.sum(v * w) / F.sum(F.when(v.isNotNull(), w))
+    common = F.when(held & ~number, F.struct(-w, F.col("text")))
     moments = counts.groupBy("column").agg(
-        F.coalesce(present, F.lit(0)).alias("count"),
+        F.coalesce(F.sum(F.when(held, w)), F.lit(0)).alias("count"),
         mean.alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.count("value").alias("uniques"),
-        F.coalesce(F.sum(F.when(v.isNull(), w)), F.lit(0)).alias("missing"),
+        F.count_if(held).alias("uniques"),
+        F.coalesce(F.sum(F.when(~held, w)), F.lit(0)).alias("missing"),
+        F.min_by("text", common).alias("top"), F.max(F.when(held & ~number, w)).alias("freq"),
     )
+    counts = counts.where(v.isNotNull())
     centred = counts.join(F.broadcast(moments.select("column", "mean")), "column")
     spread = centred.groupBy("column").agg(
         F.sqrt(F.try_divide(F.sum((v - F.col("mean")) ** 2 * w), F.sum(F.when(v.isNotNull(), w)) - 1)).alias("std")

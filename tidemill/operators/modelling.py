@@ -53,10 +53,22 @@ def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
     return df.withColumns(flags).fillna(dict(medians))
 
 
-def one_hot(df: DataFrame, col: str, values: Sequence, prefix: str | None = None) -> DataFrame:
-    """0/1 column per stated value."""
-    name = prefix or col
-    return df.withColumns({f"{name}_{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0)) for v in values})
+def small_categories(df: DataFrame, cols: Sequence[str], max_n_cat: int) -> dict[str, list]:
+    """Sorted values of those columns that have at most ``max_n_cat``, learned from the rows.
+
+    Counted map-side; at most ``max_n_cat`` values of each column reach the driver.
+    """
+    found = {}
+    for c in cols:
+        values = [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().limit(max_n_cat + 1).collect()]
+        if len(values) <= max_n_cat:
+            found[c] = sorted(values)
+    return found
+
+
+def one_hot(df: DataFrame, values: Mapping[str, Sequence]) -> DataFrame:
+    """0/1 column per column and learned value; a null or unknown value has only zeros."""
+    return df.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, vs in values.items() for v in vs})
 
 
 def category_columns(df: DataFrame, share: float = 1 / 50) -> DataFrame:
@@ -68,9 +80,18 @@ def category_columns(df: DataFrame, share: float = 1 / 50) -> DataFrame:
     return per.select("column", "n_distinct", (F.col("n_distinct") < F.col("_rows") * share).alias("is_category"))
 
 
+def tag_list(df: DataFrame, tags: str, sep: str = " ", most: int = 1_000) -> list[str]:
+    """All tags of a column in order. A table has a column for each, so more than ``most`` are refused."""
+    words = df.select(F.explode(F.split(F.col(tags), sep)).alias("tag")).where(F.col("tag") != "").distinct()
+    found = [r["tag"] for r in words.limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} tags; use sparse term vectors")
+    return sorted(found)
+
+
 def multi_hot(df: DataFrame, key: str, tags: str, values: Sequence[str], sep: str = " ") -> DataFrame:
-    """Space-separated tags to one 0/1 column per stated tag."""
-    words = F.split(F.col(tags), sep)
+    """Separated tags to one 0/1 column per learned tag; a null has only zeros."""
+    words = F.coalesce(F.split(F.col(tags), sep), F.array())
     return df.select(key, *[F.array_contains(words, v).cast("int").alias(f"tag_{v}") for v in values])
 
 

@@ -10,14 +10,20 @@ None of them needs a whole key, or a whole table, in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.session import materialise
 
 HOT_ROWS = 4_000_000
 SALTS = 512
+#: Rows of one range of a scan: at least, while ranges are fewer than the session's
+#: shuffle partitions, and at most, however large the table is.
+RANGE_LEAST = 50_000
+RANGE_MOST = 2_000_000
 
 
 def _all_equal(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -31,6 +37,18 @@ def _slot(*cols: Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(SALTS))
 
 
+def _common(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The keys in the type that a join of both sides compares, with one zero.
+
+    A hash depends on the type, and on the sign of a zero; a join does not.
+    """
+    out = []
+    for f in left.select(*keys).union(right.select(*keys)).schema.fields:
+        c = F.col(f.name).cast(f.dataType)
+        out.append(F.when(c == 0, F.lit(0).cast(f.dataType)).otherwise(c) if isinstance(f.dataType, T.FractionalType) else c)
+    return out
+
+
 def attach(
     rows: DataFrame,
     stats: DataFrame,
@@ -53,7 +71,7 @@ def attach(
     hot = packed.where(F.col(f"_v.{weight}") > hot_rows).withColumnRenamed("_v", "_hot")
     # The salt of a cold key follows from the key. A constant would not do: the
     # optimizer would turn it into a filter and shuffle by the key alone.
-    own = _slot(*[F.col(k) for k in keys])
+    own = _slot(*_common(rows, stats, keys))
     cold = packed.where(F.col(f"_v.{weight}") <= hot_rows).withColumnRenamed("_v", "_cold").withColumn("_salt", own)
     idle = F.lit(False)
     for k in keys:
@@ -84,16 +102,16 @@ def ordered_scan(
 ) -> DataFrame:
     """Running (inclusive) sums of ``totals`` along ``order`` within ``keys``.
 
-    Rows are range-partitioned by keys and order and written once; each range
-    runs its own sums; what earlier ranges of the same key sum to is carried in.
-    A range boundary cuts at most one key, so there are fewer carries than
-    ranges, and they are broadcast. ``order`` should be unique within a key.
+    Rows are written, which tells their number and so that of the ranges, then
+    range-partitioned by keys and order and written again; each range runs its
+    own sums; what earlier ranges of the same key sum to is carried in. A range
+    boundary cuts at most one key, so there are fewer carries than ranges, and
+    they are broadcast. ``order`` should be unique within a key.
     """
     keys = list(keys)
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order)
-    staged = df.withColumns({f"_t_{n}": c for n, c in totals.items()})
+    staged = materialise(df.withColumns({f"_t_{n}": c for n, c in totals.items()}))
+    parts = parts or ranges_for(staged)
     ranged = materialise(
         staged.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn(
             "_part", F.spark_partition_id()
@@ -123,6 +141,12 @@ def ordered_scan(
     return joined.select(*out)
 
 
+def ranges_for(df: DataFrame) -> int:
+    """Ranges for a written table, from its number of rows."""
+    rows, width = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(width, ceil(rows / RANGE_LEAST)), ceil(rows / RANGE_MOST))
+
+
 def ranked(
     df: DataFrame, order: Sequence[Column], name: str = "rn", keys: Sequence[str] = (), parts: int | None = None
 ) -> DataFrame:

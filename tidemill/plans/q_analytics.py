@@ -52,13 +52,10 @@ def max_per_group(t):
 
 @query(
     "list_agg",
-    """with r as (select o_custkey, o_orderkey, o_orderdate, (row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) - 1) // 10 as part from orders)
-       select o_custkey, cast(part as bigint) as part, string_agg(o_orderkey::varchar, ',' order by o_orderdate, o_orderkey) as items
-       from r group by 1, 2""",
+    "select o_custkey, string_agg(o_orderkey::varchar, ',' order by o_orderdate, o_orderkey) as items from orders group by 1",
 )
 def list_agg(t):
-    o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
-    return A.list_agg(o, ["o_custkey"], "o_orderkey", [F.col("o_orderdate"), F.col("o_orderkey")], chunk=10)
+    return A.list_agg(t.orders, ["o_custkey"], "o_orderkey", ["o_orderdate", "o_orderkey"])
 
 
 @query(
@@ -78,6 +75,7 @@ def dup_counts(t):
     return A.dup_counts(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
+#: What the test events hold, for the SQL twin; the query finds the values itself.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -88,7 +86,7 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
     + " from events group by 1",
 )
 def pivot_count(t):
-    return A.pivot_count(t.events, day("ts").alias("day"), "event_type", EVENT_TYPES)
+    return A.pivot_count(t.events, day("ts").alias("day"), "event_type")
 
 
 @query(
@@ -107,7 +105,8 @@ def shop_revenue(t):
 @query(
     "category_revenue",
     """select p_type as category, cast(sum(case when month(o_orderdate) = 6 then cast(l_extendedprice as decimal(18,2)) end) as double) as june,
-              cast(sum(case when month(o_orderdate) = 7 then cast(l_extendedprice as decimal(18,2)) end) as double) as july
+              cast(sum(case when month(o_orderdate) = 7 then cast(l_extendedprice as decimal(18,2)) end) as double) as july,
+              cast(sum(case when month(o_orderdate) = 8 then cast(l_extendedprice as decimal(18,2)) end) as double) as august
        from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
        where year(o_orderdate) = 1999 group by 1""",
 )
@@ -115,8 +114,9 @@ def category_revenue(t):
     o = t.orders.where(F.year("o_orderdate") == 1999).select("o_orderkey", F.month("o_orderdate").alias("m"))
     l = t.lineitem.select("l_orderkey", "l_partkey", cents("l_extendedprice").alias("price"))
     df = join_on(join_on(l, o, [("l_orderkey", "o_orderkey")]), t.part.select("p_partkey", "p_type"), [("l_partkey", "p_partkey")])
-    p = A.pivot_sum(df, "p_type", "m", F.col("price"), [6, 7])
-    return p.select(F.col("p_type").alias("category"), F.col("6").cast("double").alias("june"), F.col("7").cast("double").alias("july"))
+    summer = {6: "june", 7: "july", 8: "august"}
+    p = A.pivot_sum(df, "p_type", "m", F.col("price"), list(summer))
+    return p.select(F.col("p_type").alias("category"), *[F.col(str(m)).cast("double").alias(name) for m, name in summer.items()])
 
 
 @query(
@@ -175,7 +175,7 @@ def value_counts(t):
 def crosstab_sum(t):
     per_order = t.lineitem.groupBy("l_orderkey", "l_returnflag").agg(F.sum("l_quantity").alias("q"))
     df = join_on(t.orders.select("o_orderkey", F.col("o_orderpriority").alias("priority")), per_order, [("o_orderkey", "l_orderkey")])
-    return A.pivot_sum(df, "priority", "l_returnflag", F.col("q"), ["A", "N", "R"])
+    return A.pivot_sum(df, "priority", "l_returnflag", F.col("q"))
 
 
 @query(
@@ -187,28 +187,39 @@ def crosstab_margins(t):
     return A.margins(t.labels, "quality", "toxic")
 
 
-_PROFILE = """select '{c}' as "column", count({c}) as count, round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std,
+_NUMBERS = """select '{c}' as "column", count({c}) as count, round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std,
     min({c})::double as min, round(quantile_cont({c}, 0.25), 4)::double as q25, round(quantile_cont({c}, 0.5), 4)::double as q50,
     round(quantile_cont({c}, 0.75), 4)::double as q75, max({c})::double as max, count(distinct {c}) as uniques,
-    count(*) - count({c}) as missing from orders"""
+    count(*) - count({c}) as missing, null::varchar as top, null::bigint as freq from orders"""
+_OTHERS = """select '{c}', count({c}), null, null, null, null, null, null, null, count(distinct {c}), count(*) - count({c}),
+    (select {c}::varchar from orders where {c} is not null group by 1 order by count(*) desc, 1 limit 1),
+    (select max(n) from (select count(*) as n from orders where {c} is not null group by {c})) from orders"""
 
 
-@query("profile", " union all ".join(_PROFILE.format(c=c) for c in ("o_orderkey", "o_custkey", "o_totalprice")))
+@query(
+    "profile",
+    " union all ".join(
+        [_NUMBERS.format(c=c) for c in ("o_orderkey", "o_custkey", "o_totalprice")]
+        + [_OTHERS.format(c=c) for c in ("o_orderstatus", "o_orderdate", "o_orderpriority")]
+    ),
+)
 def profile(t):
-    p = A.profile(t.orders, ["o_orderkey", "o_custkey", "o_totalprice"])
-    return p.withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
+    return A.profile(t.orders).withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
+
+
+_GAPS = {"o_orderstatus": "P", "o_orderpriority": "5-LOW"}
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @query(
     "missing_ratio",
-    """select 'o_orderkey' as "column", avg((o_orderkey is null)::int) as ratio from orders
-       union all select 'status', round(avg((nullif(o_orderstatus, 'P') is null)::int), 6) from orders
-       union all select 'priority', round(avg((nullif(o_orderpriority, '5-LOW') is null)::int), 6) from orders""",
+    " union all ".join(
+        f"""select '{c}' as "column", round(avg(({f"nullif({c}, '{_GAPS[c]}')" if c in _GAPS else c} is null)::int), 6) as ratio from orders"""
+        for c in _ORDER_COLUMNS
+    ),
 )
 def missing_ratio(t):
-    o = t.orders.select(
-        "o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority")
-    )
+    o = t.orders.withColumns({c: F.nullif(c, F.lit(v)) for c, v in _GAPS.items()})
     return A.missing_ratio(o).withColumn("ratio", F.round("ratio", 6))
 
 

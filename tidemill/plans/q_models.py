@@ -53,14 +53,16 @@ def impute_median(t):
 
 @query(
     "one_hot",
-    f"""select {SQL_ROW_ID}, (l_returnflag = 'A')::int as flag_A, (l_returnflag = 'N')::int as flag_N, (l_returnflag = 'R')::int as flag_R
-        from lineitem""",
+    f"""select {SQL_ROW_ID}, {', '.join(f"(l_returnflag = '{v}')::int as l_returnflag_{v}" for v in 'ANR')},
+        {', '.join(f"(l_linestatus = '{v}')::int as l_linestatus_{v}" for v in 'FO')} from lineitem""",
 )
 def one_hot(t):
-    return M.one_hot(t.lineitem.select(*ROW_ID, "l_returnflag"), "l_returnflag", ["A", "N", "R"], "flag").drop("l_returnflag")
+    """Columns of few values become indicators; the part key has too many."""
+    few = M.small_categories(t.lineitem, ["l_returnflag", "l_linestatus", "l_partkey"], 7)
+    return M.one_hot(t.lineitem, few).select(*ROW_ID, *[f"{c}_{v}" for c, vs in few.items() for v in vs])
 
 
-_COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "l_extendedprice"]
+_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 @query(
@@ -71,17 +73,19 @@ _COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "
     ),
 )
 def pick_cats(t):
-    return M.category_columns(t.lineitem.select(*_COLS))
+    return M.category_columns(t.lineitem)
+
+
+#: What part names are made of in the test tables, for the SQL twin; the query learns the words itself.
+_WORDS = "anvil blue bolt cold gear gizmo hot large new old plate red ring rod small widget".split()
 
 
 @query(
     "multi_hot",
-    """select p_partkey, list_contains(string_split(p_name, ' '), 'red')::int as tag_red,
-              list_contains(string_split(p_name, ' '), 'ring')::int as tag_ring, list_contains(string_split(p_name, ' '), 'bolt')::int as tag_bolt
-       from part""",
+    "select p_partkey, " + ", ".join(f"list_contains(string_split(p_name, ' '), '{w}')::int as tag_{w}" for w in _WORDS) + " from part",
 )
 def multi_hot(t):
-    return M.multi_hot(t.part, "p_partkey", "p_name", ["red", "ring", "bolt"])
+    return M.multi_hot(t.part, "p_partkey", "p_name", M.tag_list(t.part, "p_name"))
 
 
 @query("dense_ids", "select o_custkey, dense_rank() over (order by o_custkey) - 1 as user_id from (select distinct o_custkey from orders)")

@@ -488,11 +488,12 @@ def json_explode(t):
 
 @query(
     "union_files",
-    "select o_orderkey, o_totalprice from orders where o_orderstatus <> 'P' union all select o_orderkey, o_totalprice from orders where o_orderstatus = 'P'",
+    "select o_orderkey, o_totalprice from orders",
 )
 def union_files(t):
     cols = t.orders.select("o_orderstatus", "o_orderkey", "o_totalprice")
-    frames = [cols.where(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in ("F", "O", "P")]
+    statuses = [r[0] for r in cols.select("o_orderstatus").distinct().collect()]  # one per file of the original
+    frames = [cols.where(F.col("o_orderstatus").eqNullSafe(F.lit(s))).drop("o_orderstatus") for s in statuses]
     return U.union_all(frames)
 
 

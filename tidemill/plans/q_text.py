@@ -62,14 +62,14 @@ def tok2id(t):
 
 @query(
     "vocab_remap",
-    f"""with {_vocab_cte('documents', 'd')}, {_vocab_cte('benchmark', 'b', 300)},
+    f"""with {_vocab_cte('documents', 'd')}, {_vocab_cte('benchmark', 'b')},
         m as (select avg(embedding[1]::double) as x from embeddings)
         select vb.id, vb.token, coalesce(vd.id, -1) as old_id, round(coalesce(e.embedding[1]::double, m.x), 6) as x
         from vb cross join m left join vd on vb.token = vd.token left join embeddings e on e.vec_id = coalesce(vd.id, -1)""",
 )
 def vocab_remap(t):
     docs = T.build_vocab(T.token_counts(doc_tokens(t)))
-    bench = T.build_vocab(T.token_counts(T.tokenize(t.benchmark, "item_id", "text")), 300)
+    bench = T.build_vocab(T.token_counts(T.tokenize(t.benchmark, "item_id", "text")))
     rows = N.remap_vectors(T.remap(bench, docs), t.embeddings)
     return rows.select("id", "token", "old_id", F.round(F.col("embedding")[0], 6).alias("x"))
 
@@ -305,14 +305,14 @@ def equalize(t):
 
 @query(
     "sentence_vec",
-    f"""with {_vocab_cte('benchmark', '', 300)},
+    f"""with {_vocab_cte('benchmark')},
         x as (select item_id, unnest({TOK}) as token from benchmark),
         j as (select item_id, embedding from x join v on x.token = v.token join embeddings e on e.vec_id = v.id)
         select item_id, round(avg(embedding[1]::double), 6) as x1, round(avg(embedding[64]::double), 6) as x64 from j group by 1""",
 )
 def sentence_vec(t):
     tokens = T.tokenize(t.benchmark, "item_id", "text")
-    vocab = T.build_vocab(T.token_counts(tokens), 300)
+    vocab = T.build_vocab(T.token_counts(tokens))
     known = vocab.join(t.embeddings.withColumnRenamed("vec_id", "id"), "id").select("token", "embedding")
     s = N.sentence_vectors(tokens, "item_id", known)
     return s.select("item_id", F.round(F.col("sentence_vec")[0], 6).alias("x1"), F.round(F.col("sentence_vec")[63], 6).alias("x64"))

@@ -180,12 +180,12 @@ def dq_unique(t):
     ])
 
 
-_WIDTH = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6}
-
-
-@query("dq_profile", " union all ".join(f"select '{n}' as table_name, {w} as n_columns, count(*) as n from {n}" for n, w in _WIDTH.items()))
+@query(
+    "dq_profile",
+    " union all ".join(f"select '{n}' as table_name, (select count(*) from (describe {n})) as n_columns, count(*) as n from {n}" for n in TABLES),
+)
 def dq_profile(t):
-    return Q.table_shape({n: getattr(t, n) for n in _WIDTH})
+    return Q.table_shape({n: getattr(t, n) for n in TABLES})
 
 
 # ---- star schema -------------------------------------------------------------------
@@ -387,7 +387,7 @@ def recon_short_paid(t):
 )
 def recon_status_days(t):
     r = R.clean_refunds(payments(t)[0])
-    return R.status_by_day(r, ["SUCCESS", "FAILED", "PENDING"]).withColumn("day", day("day"))
+    return R.status_by_day(r).withColumn("day", day("day"))
 
 
 @query(

@@ -85,8 +85,9 @@ def unexplained_repeats(refunds: DataFrame, settlements: DataFrame) -> DataFrame
     return odd.join(settled, "order_number", "left_anti")
 
 
-def status_by_day(refunds: DataFrame, statuses: list[str]) -> DataFrame:
-    return refunds.groupBy(F.col("attempted").cast("date").alias("day")).pivot("status", statuses).agg(F.count(F.lit(1))).fillna(0)
+def status_by_day(refunds: DataFrame) -> DataFrame:
+    """Refunds per day, a column for each status that occurs."""
+    return refunds.groupBy(F.col("attempted").cast("date").alias("day")).pivot("status").agg(F.count(F.lit(1))).fillna(0)
 
 
 def reconcile(refunds: DataFrame, settlements: DataFrame) -> dict[str, DataFrame]:
