@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cached_property
 from math import ceil
 
 import numpy as np
@@ -120,8 +121,12 @@ class WordBatch:
         self.ends = np.cumsum(self.lengths)
         self.starts = self.ends - self.lengths
         self.words = [w for mine in words_of_texts for w in mine]
-        self.hashes = hashes.of(self.words)
         self.text = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self._hashes = hashes
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return self._hashes.of(self.words)
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First positions of the ``k``-grams that lie in one text, and their hashes."""

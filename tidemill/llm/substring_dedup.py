@@ -14,9 +14,10 @@ of about ``BUCKET_BYTES`` of text once; that exchange serves all passes.
    of their own hash, so that a frequent anchor in ever new surroundings doesn't
    fill one shard.
 3. A shard confirms on the words themselves which windows recur in two or more
-   documents and which document is the first with each. It compiles these into
-   Aho-Corasick automata (words become characters) and streams all passages
-   through them. What is found in a later document comes back as spans.
+   documents and which document is the first with each. Runs of such windows with
+   the same first document are its phrases. It compiles them into Aho-Corasick
+   automata (words become characters) and streams all passages through them.
+   What is found in a later document comes back as spans.
 4. Each bucket takes the spans out of its documents.
 """
 
@@ -27,6 +28,7 @@ from collections import defaultdict
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,17 +58,20 @@ class Bucket:
         order = sorted(range(len(keys)), key=lambda i: (keys[i] is None, keys[i] or 0, texts[i] or "", texts[i] is None))
         self.keys = [keys[i] for i in order]
         self.batch = WordBatch([(texts[i] or "").encode().split() for i in order], _HASHES)
-        # A document without a key neither has a place in the order nor repeats an earlier one.
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows, their anchors and the anchors' hashes. A document without a key neither
+        has a place in the order nor repeats an earlier one, so its windows are left out."""
         keyed = np.array([k is not None for k in self.keys], bool)
         at, anchor, h = self.batch.windows(WINDOW, GRAM)
         ok = keyed[self.batch.text[at]] if len(at) else np.zeros(0, bool)
-        self.at, self.anchor, self.h = at[ok], anchor[ok], h[ok]
+        return at[ok], anchor[ok], h[ok]
 
 
 def _anchors(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     """The bucket's anchors: hash, number of them, and whether two documents have it."""
     bucket = Bucket(rows)
-    place = np.unique(bucket.anchor)
+    place = np.unique(bucket.windows()[1])
     h = gram_hashes(bucket.batch.hashes, GRAM)[place]
     number = {k: i for i, k in enumerate(dict.fromkeys(bucket.keys))}
     doc = np.array([number[k] for k in bucket.keys], np.int64)[bucket.batch.text[place]] if len(place) else place
@@ -85,17 +90,18 @@ def _passages(shards: int):
     def cut(key: tuple[pa.Scalar, ...], rows: pa.Table, recurring: pa.Table) -> pa.Table:
         """The bucket's passages around recurring anchors, equal ones together."""
         bucket, number = Bucket(rows), key[0].as_py()
-        batch, at, anchor = bucket.batch, bucket.at, bucket.anchor
+        batch = bucket.batch
+        at, anchor, h = bucket.windows()
         known = np.asarray(recurring["h"]).view(np.uint64)
         order = np.argsort(known)
         known, often = known[order], np.asarray(recurring["often"])[order]
         found: dict[tuple[int, bytes], list[tuple[int, int]]] = defaultdict(list)
         if len(known) and len(at):
-            spot = np.minimum(np.searchsorted(known, bucket.h), len(known) - 1)
-            hit = np.flatnonzero(known[spot] == bucket.h)
-            at, anchor, frequent = at[hit], anchor[hit], often[spot[hit]]
-            own = gram_hashes(batch.hashes, WINDOW)[at]
-            h = np.where(frequent, own, bucket.h[hit])
+            spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = np.flatnonzero(known[spot] == h)
+            at, anchor, frequent, h = at[hit], anchor[hit], often[spot[hit]], h[hit]
+            if frequent.any():
+                h = np.where(frequent, gram_hashes(batch.hashes, WINDOW)[at], h)
             fresh = np.r_[True, (np.diff(at) != 1) | (np.diff(anchor) != 0)] | frequent if len(at) else np.zeros(0, bool)
             heads = np.flatnonzero(fresh)
             last = np.r_[heads[1:], len(at)] - 1
@@ -130,47 +136,83 @@ def _locate(rows: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(v, pa.int32()) for n, v in zip(["bucket", "row", "start", "stop"], out)})
 
 
-def _stream(rows: pa.Table, out: tuple[list, list, list, list]) -> None:
-    letters: dict[str, str] = {}
+class _Letters(dict):
+    """A character for each word."""
+
+    def __missing__(self, word: str) -> str:
+        n = len(self) + 1
+        self[word] = c = chr(n if n < 0xD800 else n + 0x800)
+        return c
+
+
+def _flat(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in column.chunks])
 
-    def letter(word: str) -> str:
-        if word not in letters:
-            n = len(letters) + 1
-            letters[word] = chr(n if n < 0xD800 else n + 0x800)
-        return letters[word]
 
-    passages = ["".join(map(letter, p.split(" "))) for p in rows["passage"].to_pylist()]
-    keys, places, starts = rows["keys"].to_pylist(), rows["rows"].to_pylist(), rows["starts"].to_pylist()
+def _stream(rows: pa.Table, out: tuple[list, list, list, list]) -> None:
+    if not len(rows):
+        return
+    texts, buckets = rows["passage"].to_pylist(), rows["bucket"].to_pylist()
+    keys, ends = _flat(rows["keys"]), np.cumsum(np.asarray(pc.list_value_length(rows["keys"])))
+    starts = np.r_[0, ends[:-1]]
+    bounds: dict[str, tuple[int, int]] = {}  # smallest and largest key of each distinct passage
+    for text, low, high in zip(texts, np.minimum.reduceat(keys, starts).tolist(), np.maximum.reduceat(keys, starts).tolist()):
+        if (known := bounds.get(text)) is not None:
+            low, high = min(low, known[0]), max(high, known[1])
+        bounds[text] = low, high
+
+    letters = _Letters()
+    passages = {text: "".join(map(letters.__getitem__, text.split(" "))) for text in bounds}
     first: dict[str, int] = {}
-    later: dict[str, int] = {}
-    for text, mine in zip(passages, keys):
-        low, high = min(mine), max(mine)
-        for i in range(len(text) - WINDOW + 1):
-            w = text[i : i + WINDOW]
-            first[w] = min(low, first.get(w, low))
-            later[w] = max(high, later.get(w, high))
+    recurring: set[str] = set()
+    for text, (low, high) in bounds.items():
+        word = passages[text]
+        for i in range(len(word) - WINDOW + 1):
+            w = word[i : i + WINDOW]
+            known = first.get(w)
+            if known is None:
+                first[w] = low
+                if low != high:
+                    recurring.add(w)
+            elif not low == high == known:
+                recurring.add(w)
+                if low < known:
+                    first[w] = low
+
+    # A phrase is a run of recurring windows with the same first document, as long as a passage has it.
     automaton = ahocorasick.Automaton()
-    for w, low in first.items():
-        if low < later[w]:
-            automaton.add_word(w, low)
+    for word in passages.values():
+        begin, owner = 0, None
+        for i in range(len(word) - WINDOW + 2):
+            w = word[i : i + WINDOW]
+            mine = first[w] if len(w) == WINDOW and w in recurring else None
+            if mine != owner:
+                if owner is not None:
+                    automaton.add_word(word[begin : i + WINDOW - 1], (i + WINDOW - 1 - begin, owner))
+                begin, owner = i, mine
     if not len(automaton):
         return
     automaton.make_automaton()
-    buckets, rows_out, from_out, to_out = out
-    for bucket, text, mine, where, begins in zip(rows["bucket"].to_pylist(), passages, keys, places, starts):
-        found = [(end - WINDOW + 1, low) for end, low in automaton.iter(text)]
-        for key, row, begin in zip(mine, where, begins) if found else ():
-            stop = -1
-            for at, low in found:
-                if low < key:
+    found = {t: sorted((end - n + 1, end + 1, owner) for end, (n, owner) in automaton.iter(w)) for t, w in passages.items()}
+
+    places, begins, keys = _flat(rows["rows"]).tolist(), _flat(rows["starts"]).tolist(), keys.tolist()
+    buckets_out, rows_out, from_out, to_out = out
+    for text, bucket, a, b in zip(texts, buckets, starts.tolist(), ends.tolist()):
+        if not (runs := found[text]):
+            continue
+        for i in range(a, b):
+            key, begin, stop = keys[i], begins[i], -1
+            for at, end, owner in runs:
+                if owner < key:
                     if at > stop:
-                        buckets.append(bucket)
-                        rows_out.append(row)
+                        buckets_out.append(bucket)
+                        rows_out.append(places[i])
                         from_out.append(begin + at)
-                        to_out.append(begin + at + WINDOW)
-                    else:
-                        to_out[-1] = begin + at + WINDOW
-                    stop = at + WINDOW
+                        to_out.append(begin + end)
+                        stop = end
+                    elif end > stop:
+                        to_out[-1] = begin + end
+                        stop = end
 
 
 def _strip(key: tuple[pa.Scalar, ...], rows: pa.Table, spans: pa.Table) -> pa.Table:
