@@ -104,3 +104,15 @@ def test_strings(spark):
 def test_maths(spark):
     r = spark.range(1).select(maths.softmax(F.array(F.lit(1000.0), F.lit(1000.0))).alias("s"), maths.sigmoid(F.lit(0.0)).alias("g")).first()
     assert r["s"] == [0.5, 0.5] and r["g"] == 0.5
+
+
+def test_unescape(spark):
+    import html
+
+    texts = [
+        "a&amp;lt;b &lt;x&gt; &#65;&#x42;&#X1F600; &#128; &#x97; &#0; &#xD800; &#99999999999; &#1114112; &unknown; &NotEqualTilde; & &; &&amp; end&middot;\n&copy;\nz",
+        "no refs", None, "", "&eacute;&#233;", "&hellip;x&",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(strings.unescape(F.col("t"))).collect()]
+    assert got == [t if t is None else html.unescape(t) for t in texts]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,25 +24,6 @@ LITERAL_FIXES = (
     ("\\", " \\ "),
 )
 
-# Named character references that web text uses.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&euro;", "€"),
-    ("&pound;", "£"),
-    ("&mdash;", "—"),
-    ("&ndash;", "–"),
-    ("&hellip;", "…"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&amp;", "&"),
-)
-
 # Question patterns of the parallel corpus.
 QUESTION_PATTERNS = {"en": r"^(Wh[^?.!]+\?)", "fr": r"^([^?.!]+\?)"}
 
@@ -48,11 +31,52 @@ MARK_BEGIN = "xbos"
 MARK_FIELD = "xfld"
 
 
+def code_points() -> dict[int, str]:
+    """Characters of numeric references that do not stand for themselves: Windows-1252 in the
+    C1 range, and the replacement character for 0."""
+    out = {0: "\ufffd"}
+    for n in range(0x80, 0xA0):
+        out[n] = bytes([n]).decode("cp1252", "ignore") or chr(n)
+    return out
+
+
+def _name_map(names: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+
+
+def unescape(c: Column) -> Column:
+    """Decode character references: all HTML names that end in a semicolon, decimal and
+    hexadecimal numbers. Numbers of no character (surrogates, above U+10FFFF) become U+FFFD,
+    unknown names stay. A reference is decoded once: `&amp;lt;` gives `&lt;`.
+
+    The text is cut before each reference, and each piece looks at its own head only.
+    """
+    names = _name_map({k: v for k, v in html5.items() if k.endswith(";")})
+    odd = F.create_map(*[F.lit(x) for pair in code_points().items() for x in pair])
+    shape = r"(?s)^&(#[xX][0-9a-fA-F]+;|#[0-9]+;|[A-Za-z][A-Za-z0-9]*;)(.*)$"
+
+    def decode(piece: Column) -> Column:
+        ref, rest = F.regexp_extract(piece, shape, 1), F.regexp_extract(piece, shape, 2)
+        digits = F.regexp_replace(ref, "^#[xX]?0*|;$", "")
+        hexed = ref.rlike("^#[xX]")
+        size = F.length(digits)
+        number = F.when(size <= 8, F.when(hexed, F.conv(digits, 16, 10)).otherwise(digits)).cast("bigint")
+        number = F.coalesce(F.when(size == 0, F.lit(0)).otherwise(number), F.lit(0x110000))
+        gone = (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.conv(number.cast("string"), 10, 16), 8, "0")), "UTF-32")
+        numeric = F.when(gone, "\ufffd").otherwise(F.coalesce(F.try_element_at(odd, number.cast("int")), char))
+        named = F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref))
+        return F.when(~piece.rlike(shape), piece).otherwise(F.concat(F.when(ref.startswith("#"), numeric).otherwise(named), rest))
+
+    decoded = F.array_join(F.transform(F.split(c, "(?=&)", -1), decode), "")
+    return F.when(c.rlike("&[#A-Za-z]"), decoded).otherwise(c)
+
+
 def fixup(c: Column) -> Column:
-    """Undo escapes left by crawling and collapse runs of blanks."""
-    for old, new in LITERAL_FIXES + ENTITIES:
+    """Undo escapes left by crawling, decode character references, collapse runs of blanks."""
+    for old, new in LITERAL_FIXES:
         c = F.replace(c, F.lit(old), F.lit(new))
-    return F.regexp_replace(c, "  +", " ")
+    return F.regexp_replace(unescape(c), "  +", " ")
 
 
 def part(c: Column, sep: str, index: int) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from tidemill.functions import dates, maths, strings
@@ -367,12 +369,19 @@ def question_pairs(t):
     return asked.join(a, ["conv_id", "turn"]).select("conv_id", "turn", "question", "answer_chars")
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
 def _sql_fixup(expr: str) -> str:
-    for old, new in strings.LITERAL_FIXES + strings.ENTITIES:
-        quoted = [x.replace("'", "''") for x in (old, new)]
-        lit = ["'" + q.replace("\n", "' || chr(10) || '") + "'" for q in quoted]
-        expr = f"replace({expr}, {lit[0]}, {lit[1]})"
-    return f"regexp_replace({expr}, '  +', ' ', 'g')"
+    """Literal fixes one by one, then all named references by folding over their list, the ampersands last."""
+    for old, new in strings.LITERAL_FIXES:
+        expr = f"replace({expr}, {_sql_text(old)}, {_sql_text(new)})"
+    names = sorted((n for n in html5 if n.endswith(";")), key=lambda n: (html5[n] == "&", n))
+    keys = ", ".join(_sql_text(f"&{n}") for n in names)
+    values = ", ".join(_sql_text(html5[n]) for n in names)
+    fold = f"list_reduce(list_prepend({expr}, [{keys}]), lambda acc, n: replace(acc, n, (map([{keys}], [{values}]))[n]))"
+    return f"regexp_replace({fold}, '  +', ' ', 'g')"
 
 
 @query("text_fixup", f"select page_id, md5({_sql_fixup('html')}) as fixed_md5 from pages")
