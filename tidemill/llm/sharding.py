@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +11,6 @@ from tidemill.llm.common import table
 from tidemill.operators.scale import ranked
 
 SHARDS = 24
-#: Rows of one range when the places inside the shards are counted.
-RANGE_ROWS = 250_000
 
 
 def rendezvous(keys: Sequence[Column], weights: Sequence[float]) -> Column:
@@ -47,8 +44,7 @@ def assign(rows: DataFrame, keys: Sequence[str], weights: Sequence[float], shard
     """
     put = rows.withColumn(shard, rendezvous([F.col(k) for k in keys], weights))
     order = [F.col(c) for c in [*keys, *(c for c in rows.columns if c not in keys)]]
-    parts = max(1, ceil(rows.count() / RANGE_ROWS))
-    return ranked(put, order, slot, [shard], parts=parts).withColumn(slot, F.col(slot) - 1)
+    return ranked(put, order, slot, [shard]).withColumn(slot, F.col(slot) - 1)
 
 
 def write_shards(rows: DataFrame, path: str, shard: str = "shard") -> None:
