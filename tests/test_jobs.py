@@ -88,7 +88,7 @@ def test_failure_classes(spark):
 def test_ingest_stream_is_idempotent(spark, rows, tmp_path):
     src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
     spark.createDataFrame([(1, "a"), (1, "a")], "id int, v string").write.parquet(src)
-    run = lambda: jobs.ingest_stream(jobs.file_stream(spark, src, "id int, v string"), out, cp, ["id"]).awaitTermination()
+    run = lambda: jobs.ingest_stream(jobs.file_stream(spark, src, "id int, v string"), out, cp, ["id"], None).awaitTermination()
     run()
     run()
     assert rows(spark.read.parquet(out)) == [(1, "a")]
@@ -112,3 +112,25 @@ def test_bounded_ingest(spark, rows, tmp_path):
     q = jobs.ingest_stream(jobs.file_stream(spark, src, "id int, ts timestamp"), out, cp, ["id"], "ts", "1 hour")
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_store_reads_touched_buckets_only(spark, rows, tmp_path):
+    out = str(tmp_path / "u")
+    for batch in range(3):
+        jobs.upsert_batch(spark.range(batch * 10, batch * 10 + 20).withColumn("t", F.lit(batch)), batch, out, ["id"], [F.desc("t")])
+    assert rows(spark.read.parquet(out).select("id")) == [(i,) for i in range(40)]
+    kept = jobs._stored(spark, out, 9, [3], spark.range(0).withColumn("t", F.lit(0)))
+    plan = kept._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and 0 < kept.count() < 10
+
+
+def test_star_stream_keeps_latest_user_and_all_tables(spark, rows, tmp_path):
+    events, songs = _staging(spark)
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    events.write.parquet(src)
+    jobs.star_stream(jobs.file_stream(spark, src, events.schema), songs, out, out + "-cp").awaitTermination()
+    newest = {r["userid"]: r for r in events.where("page = 'NextSong' and userid is not null").orderBy("ts").collect()}
+    got = {r["userid"]: r["level"] for r in spark.read.parquet(f"{out}/users").collect()}
+    assert got == {u: r["level"] for u, r in newest.items()}
+    for name in ("songplays", "time", "songs", "artists"):
+        assert spark.read.parquet(f"{out}/{name}").count() > 0

@@ -59,16 +59,28 @@ def test_csv_cells(spark):
     assert got[3] == [None] and got[4] == [str(i) for i in range(100)]
 
 
-def test_ledger_loads_each_file_once(spark, rows):
-    data = spark.createDataFrame([("f1", 1), ("f2", 2), ("f2", 1)], "source_file string, id int")
-    empty = spark.createDataFrame([], "path string")
-    history, seen = ledger.load_new(data.where("source_file = 'f1'"), empty, spark.createDataFrame([], "id int"), ["id"])
-    assert rows(history) == [(1,)] and rows(seen) == [("f1",)]
-    history2, seen2 = ledger.load_new(data, seen, history, ["id"])
-    assert rows(history2) == [(1,), (2,)] and rows(seen2) == [("f1",), ("f2",)]
-    history3, _ = ledger.load_new(data, seen2, history2, ["id"])
-    assert rows(history3) == rows(history2)
-    assert rows(ledger.new_files(seen2.withColumnRenamed("path", "path"), seen)) == [("f2",)]
+def test_ledger_opens_each_file_once(spark, rows, tmp_path):
+    box, opened = tmp_path / "in", []
+
+    def read(paths):
+        opened.append(sorted(p.rsplit("/", 1)[1] for p in paths))
+        return files.read_json(spark, paths, "id int, v string")
+
+    def load(seen, history):
+        got, entered = ledger.load_folder(spark, str(box), read, seen, history, ["id"], "*.json")
+        return seen.union(entered), history.union(got)
+
+    seen, history = spark.createDataFrame([], "path string"), spark.createDataFrame([], "id int, v string")
+    _write(box / "a/f1.json", '{"id": 1, "v": "x"}\n{"id": 1, "v": "x"}\n{"v": "none"}\n')
+    _write(box / "empty.json", "\n")
+    _write(box / "other.txt", "no")
+    seen, history = load(seen, history)
+    assert rows(history) == [(None, "none"), (1, "x")] and seen.count() == 2
+    _write(box / "b/f2.json", '{"id": 1, "v": "late"}\n{"id": 2, "v": "y"}\n{"v": "again"}\n')
+    seen, history = load(seen, history)
+    assert rows(history) == [(None, "none"), (1, "x"), (2, "y")]
+    seen, history = load(seen, history)
+    assert opened == [["empty.json", "f1.json"], ["f2.json"]] and history.count() == 3
 
 
 def test_labelled_text_lines_and_source(spark, rows, tmp_path):
@@ -83,7 +95,7 @@ def test_labelled_text_lines_and_source(spark, rows, tmp_path):
 
 def test_token_budget_takes_the_crossing_row(spark, rows):
     df = spark.createDataFrame([(1, "a b"), (2, "c  d e"), (3, "f"), (4, "g")], "id int, t string")
-    assert rows(files.token_budget(df, "t", [F.col("id")], 4), "id", "run") == [(1, 2), (2, 5)]
+    assert rows(files.token_budget(df, "t", "id", 4), "id", "run") == [(1, 2), (2, 5)]
 
 
 def test_explode_nested_json(spark, rows):
@@ -142,4 +154,4 @@ def test_date_range_reaches_the_scan(spark, tmp_path):
 @pytest.mark.parametrize("budget,expect", [(0, 1), (100, 4)])
 def test_budget_edges(spark, budget, expect):
     df = spark.createDataFrame([(i, "w w") for i in range(4)], "id int, t string")
-    assert files.token_budget(df, "t", [F.col("id")], budget).count() == expect
+    assert files.token_budget(df, "t", "id", budget).count() == expect

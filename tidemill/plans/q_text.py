@@ -220,7 +220,7 @@ def perplexity(t):
 def token_budget(t):
     from tidemill.sources.files import token_budget as cut
 
-    return cut(t.documents, "text", [F.col("doc_id")], 100_000).select("doc_id", "n_tokens", "run")
+    return cut(t.documents, "text", "doc_id", 100_000).select("doc_id", "n_tokens", "run")
 
 
 # ---- vectors -------------------------------------------------------------------

@@ -12,6 +12,7 @@ from tidemill.operators.joins import join_rounded
 from tidemill.operators.loads import union_all
 from tidemill.operators.quality import check_nonempty, check_unique, combine
 from tidemill.operators.relational import keep_codes
+from tidemill.session import materialise
 from tidemill.sources.sinks import write_table
 
 
@@ -42,14 +43,18 @@ def time_dim(plays: DataFrame) -> DataFrame:
 
 
 def star_schema(events: DataFrame, songs: DataFrame, duration_scale: int | None = None) -> dict[str, DataFrame]:
-    """Fact and four dimensions from the two staging tables; nothing runs yet."""
-    plays = songplays(events, songs, duration_scale)
+    """Fact and four dimensions from the two staging tables.
+
+    The fact is written once, so that the time table comes from it and not from a
+    second pass over the staging tables.
+    """
+    plays = materialise(songplays(events, songs, duration_scale))
     return {
         "songplays": plays,
         "users": users(events),
         "songs": songs_dim(songs),
         "artists": artists(songs),
-        "time": time_dim(events.where("page = 'NextSong'").select(dates.epoch_ms(F.col("ts")).alias("start_time"))),
+        "time": time_dim(plays),
     }
 
 

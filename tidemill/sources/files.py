@@ -133,12 +133,15 @@ def zip_lines(spark: SparkSession, a: str, b: str) -> DataFrame:
     return number_lines(spark, a, "a").join(number_lines(spark, b, "b"), "line")
 
 
-def token_budget(df: DataFrame, text: str, order: Sequence[Column], n: int) -> DataFrame:
-    """Rows in order until the running word count passes ``n``; the row that
-    passes it is still taken."""
+def token_budget(df: DataFrame, text: str, key: str, n: int) -> DataFrame:
+    """Rows in order of the unique ``key`` until the running word count passes ``n``; the row
+    that passes it is still taken.
+
+    Only keys and counts are scanned; the texts of the rows taken are joined afterwards.
+    """
     words = F.size(F.filter(F.split(F.col(text), r"\s+"), lambda w: w != ""))
-    run = ordered_scan(df.withColumn("n_tokens", words.cast("bigint")), order, {"run": F.col("n_tokens")})
-    return run.where(F.col("run") - F.col("n_tokens") <= n)
+    run = ordered_scan(df.select(key, words.cast("bigint").alias("n_tokens")), [F.col(key)], {"run": F.col("n_tokens")})
+    return df.join(run.where(F.col("run") - F.col("n_tokens") <= n), key)
 
 
 def explode_json(df: DataFrame, col: str, schema: str) -> DataFrame:

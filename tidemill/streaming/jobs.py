@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.scale import top_per_key
 from tidemill.plans import star
+from tidemill.session import materialise
 
 
 def file_stream(spark: SparkSession, src: str, schema, fmt: str = "parquet", pattern: str | None = None) -> DataFrame:
@@ -21,17 +22,24 @@ def file_stream(spark: SparkSession, src: str, schema, fmt: str = "parquet", pat
     return reader.load(src)
 
 
+#: Parts of a key store; a batch reads only those that its keys fall into.
+BUCKETS = 64
+
+
 def ingest_stream(
-    rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str], event_time: str | None = None, bound: str | None = None
+    rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str], event_time: str | None, bound: str = "30 days"
 ) -> StreamingQuery:
     """Append rows of new files once; repeated keys are dropped.
 
-    The checkpoint remembers the files already read. Keys are remembered for ever,
-    or with ``event_time`` and ``bound`` only within that delay, which bounds the state.
+    The checkpoint remembers the files already read. Keys are remembered within
+    ``bound`` of event time, which bounds the state; with ``event_time`` None,
+    which has to be said, they are remembered for ever.
     """
-    if event_time and bound:
+    if event_time:
+        kind = rows.schema[event_time].dataType
         rows = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
         rows = rows.withWatermark(event_time, bound).dropDuplicatesWithinWatermark(list(keys))
+        rows = rows.withColumn(event_time, F.col(event_time).cast(kind))
     else:
         rows = rows.dropDuplicates(list(keys))
     return (
@@ -40,27 +48,37 @@ def ingest_stream(
     )
 
 
-def _stored(spark: SparkSession, path: str, batch_id: int, like: DataFrame) -> DataFrame:
-    """Rows of earlier batches; a replayed batch does not see its own output."""
-    wide = T.StructType([*like.schema.fields, T.StructField("batch", T.LongType())])
+def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch to its own partition; running it again replaces that partition."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _stored(spark: SparkSession, path: str, batch_id: int, touched: Sequence[int], like: DataFrame) -> DataFrame:
+    """Rows of earlier batches in the given buckets; a replayed batch does not see its own output."""
+    wide = T.StructType([*like.schema.fields, T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())])
     try:
-        return spark.read.schema(wide).parquet(path).where(F.col("batch") < batch_id).drop("batch")
+        kept = spark.read.schema(wide).parquet(path).where((F.col("batch") < batch_id) & F.col("bucket").isin(list(touched)))
+        return kept.drop("batch", "bucket")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return like.limit(0)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write a batch to its own partition; running it again replaces that partition."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-
 def upsert_batch(df: DataFrame, batch_id: int, out: str, keys: Sequence[str], newest: Sequence[Column]) -> None:
-    """Append keys not stored before; within the batch the newest row wins."""
-    batch = top_per_key(df, list(keys), newest)
-    old = _stored(df.sparkSession, out, batch_id, df).select(*keys)
-    append_batch(batch.join(old, list(keys), "left_anti").select(*df.columns), out, batch_id)
+    """Append keys not stored before; within the batch the newest row wins.
+
+    The store is partitioned by batch and by a hash of the key.
+    """
+    batch = materialise(top_per_key(df, list(keys), newest).withColumn("bucket", _bucket(keys)))
+    touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]  # BUCKETS at most
+    old = _stored(df.sparkSession, out, batch_id, touched, df).select(*keys)
+    fresh = batch.join(old, list(keys), "left_anti").select(*df.columns, "bucket")
+    fresh.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/batch={batch_id}")
 
 
 def upsert_stream(rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str], newest: Sequence[Column]) -> StreamingQuery:
@@ -71,13 +89,18 @@ def upsert_stream(rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str
 
 
 def star_stream(events: DataFrame, songs: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Fact rows of each batch, and the users and times not stored before."""
+    """Fact rows of each batch, and the users, times, songs and artists not stored before.
+
+    Of a user's rows in a batch the latest counts; of a song's or artist's, the first in order.
+    """
 
     def each(df: DataFrame, batch_id: int) -> None:
-        plays = star.songplays(df, songs)
+        plays = materialise(star.songplays(df, songs))
         append_batch(plays, f"{out}/songplays", batch_id)
-        upsert_batch(star.users(df), batch_id, f"{out}/users", ["userid"], [F.col("level"), F.col("firstname")])
-        times = star.time_dim(df.where("page = 'NextSong'").select(star.dates.epoch_ms(F.col("ts")).alias("start_time")))
-        upsert_batch(times, batch_id, f"{out}/time", ["start_time"], [F.col("start_time")])
+        listeners = df.where("page = 'NextSong' and userid is not null").select("userid", "firstname", "level", "ts")
+        upsert_batch(listeners, batch_id, f"{out}/users", ["userid"], [F.desc("ts"), F.col("level"), F.col("firstname")])
+        upsert_batch(star.time_dim(plays), batch_id, f"{out}/time", ["start_time"], [F.col("start_time")])
+        for name, dim, key in (("songs", star.songs_dim(songs), "song_id"), ("artists", star.artists(songs), "artist_id")):
+            upsert_batch(dim, batch_id, f"{out}/{name}", [key], [F.col(c) for c in dim.columns])
 
     return events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
