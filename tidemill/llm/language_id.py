@@ -145,11 +145,14 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         df[r["slot"]] = r["n"]
     idf = np.log((1 + df[0]) / (1 + df[1:])).astype(np.float32) + 1
 
-    # The sample is chosen on hashes; texts of other rows don't move.
+    # The sample is chosen on hashes; texts of other rows don't move. Rows are ranked only among
+    # the low hashes of which twice as many as needed are expected, however many rows a language has.
     order = F.xxhash64(key, text)
-    ranked = rows.select(F.col(lang).alias("lang"), order.alias("h")).withColumn(
-        "rn", F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    )
+    sizes = rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    share = sizes.select("lang", (2.0 * SAMPLE / F.col("n")).alias("share"))
+    hashed = rows.select(F.col(lang).alias("lang"), order.alias("h"))
+    low = hashed.join(F.broadcast(share), "lang").where((F.col("h") / float(1 << 64) + 0.5) < F.col("share"))
+    ranked = low.withColumn("rn", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     last = {r["lang"]: r["h"] for r in ranked.where(F.col("rn") <= SAMPLE).groupBy("lang").agg(F.max("h").alias("h")).collect()}
     if not last:
         return Model([], idf, np.zeros((0, SLOTS), np.float32), np.zeros(0, np.int64), np.zeros((0, BANDS)))
