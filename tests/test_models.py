@@ -113,5 +113,29 @@ def test_term_vectors(spark):
 def test_text_and_time_pipeline(spark):
     rows = [("a b" if i % 2 else "c d", i % 24, float(i % 2)) for i in range(80)]
     df = spark.createDataFrame(rows, "sites string, hour int, y double")
-    model = M.text_time_classifier("sites", ["hour"], "y", 64).fit(df)
+    model = M.text_time_classifier("sites", ["hour"], "y", 2, 64).fit(df)
     assert M.metrics_classification(model.transform(df), "y", "prediction").first()["accuracy"] == 1.0
+
+
+def test_linear_scores(spark, rows):
+    lists = spark.createDataFrame([(1, ["a", "a", "x"]), (2, ["b"]), (3, [])], "id int, terms array<string>")
+    assert rows(M.linear_scores(lists, "id", ["a", "b"], [2.0, -1.0], -0.5)) == [(1, 1.0), (2, 0.0), (3, 0.0)]
+
+
+def test_categories_are_learned(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "c string, k int")
+    found = M.small_categories(df, ["c", "k"], 2)
+    assert found == {"c": ["a", "b"]}
+    assert rows(M.one_hot(df, found), "c_a", "c_b", "k") == [(0, 0, 3), (0, 1, 2), (1, 0, 1)]
+    tags = spark.createDataFrame([(1, "red big"), (2, None), (3, "")], "id int, t string")
+    assert M.tag_list(tags, "t") == ["big", "red"]
+    assert rows(M.multi_hot(tags, "id", "t", ["big", "red"])) == [(1, 1, 1), (2, 0, 0), (3, 0, 0)]
+    with pytest.raises(ValueError):
+        M.tag_list(tags, "t", most=1)
+
+
+def test_group_dependence(spark, data):
+    df = spark.createDataFrame([(float(i % 2), float((i + 1) % 2), float(10 * (i % 2))) for i in range(60)], "g_a double, g_b double, y double")
+    model = M.fit_forest(M.features(df, ["g_a", "g_b"]), "y", trees=3, share="all")
+    got = {r["column"]: r["mean_prediction"] for r in M.group_dependence(df, model, ["g_a", "g_b"], ["g_a", "g_b"]).collect()}
+    assert got["g_a"] > 9 and got["g_b"] < 1

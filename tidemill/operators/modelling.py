@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, HashingTF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import (
+    IDF, PCA, CountVectorizer, CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler,
+)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.recommendation import ALS
@@ -253,6 +255,17 @@ def partial_dependence(df: DataFrame, model, cols: Sequence[str], grid: Mapping[
     return scored.groupBy(*grid).agg(F.avg("prediction").alias("mean_prediction"))
 
 
+def group_dependence(df: DataFrame, model, cols: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """(column, mean_prediction) for a one-hot group: each of its columns set to 1 in turn, the others to 0.
+
+    The group is a short list of columns, exploded on each row.
+    """
+    picked = df.withColumn("column", F.explode(F.array(*[F.lit(c) for c in group])))
+    picked = picked.withColumns({c: (F.col("column") == c).cast("double") for c in group})
+    scored = model.transform(features(picked, cols))
+    return scored.groupBy("column").agg(F.avg("prediction").alias("mean_prediction"))
+
+
 def dependence_curves(df: DataFrame, model, key: str, cols: Sequence[str], column: str, points: Sequence[float], clusters: int = 3, seed: int = 42) -> DataFrame:
     """Cluster the per-row dependence curves: (cluster, n, curve)."""
     from pyspark.ml.clustering import KMeans
@@ -336,12 +349,30 @@ def interpolated(model, beta: float):
     return Vectors.dense((1 - beta) * mean + beta * w), model.intercept
 
 
-def text_time_classifier(text: str, times: Sequence[str], label: str, features_n: int = 1 << 14) -> Pipeline:
-    """Text branch and time branch side by side, joined into one classifier."""
+def linear_scores(lists: DataFrame, key: str, terms: Sequence[str], weights, intercept: float) -> DataFrame:
+    """(key, prediction): 0/1 by the sign of the summed weights of a text's distinct ``terms``.
+
+    The weights, one per vocabulary term, are bounded like the vocabulary.
+    """
+    spark = lists.sparkSession
+    table = spark.createDataFrame([(t, float(w)) for t, w in zip(terms, weights, strict=True)], "term string, w double")
+    each = lists.select(key, F.explode_outer(F.array_distinct("terms")).alias("term"))
+    scored = each.join(F.broadcast(table), "term", "left").groupBy(key).agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("s"))
+    return scored.select(key, (F.col("s") + intercept > 0).cast("double").alias("prediction"))
+
+
+def text_time_classifier(text: str, times: Sequence[str], label: str, hi: int = 5, max_features: int = 100_000) -> Pipeline:
+    """TF-IDF of 1- to ``hi``-grams and time features side by side, joined into one classifier."""
+    grams = [NGram(n=n, inputCol="_words", outputCol=f"_g{n}") for n in range(1, hi + 1)]
+    every = ", ".join(f"_g{n}" for n in range(1, hi + 1))
     return Pipeline(
         stages=[
             RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\s+"),
-            HashingTF(inputCol="_words", outputCol="_text", numFeatures=features_n),
+            *grams,
+            SQLTransformer(statement=f"SELECT *, concat({every}) AS _terms FROM __THIS__"),
+            CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=max_features),
+            IDF(inputCol="_counts", outputCol="_idf"),
+            Normalizer(inputCol="_idf", outputCol="_text"),
             VectorAssembler(inputCols=list(times), outputCol="_times"),
             VectorAssembler(inputCols=["_text", "_times"], outputCol="features"),
             LogisticRegression(labelCol=label, maxIter=30),

@@ -246,7 +246,7 @@ def feat_importance(t):
 @query("drop_col")
 def drop_col(t):
     train, valid = _price_rows(t)
-    return M.drop_column_importance(materialise(train), materialise(valid), "y", _X[:4], trees=5, depth=5)
+    return M.drop_column_importance(materialise(train), materialise(valid), "y", _X)
 
 
 @query("tree_spread")
@@ -263,10 +263,34 @@ def pdp(t):
     return M.partial_dependence(valid, model, _X, {"l_quantity": [1, 10, 20, 30, 40, 50], "l_discount": [0.0, 0.05, 0.1]})
 
 
+@query("pdp_one")
+def pdp_one(t):
+    train, valid = _price_rows(t)
+    model = M.fit_forest(M.features(train, _X), "y", trees=10)
+    return M.partial_dependence(valid, model, _X, {"ship_month": list(range(1, 13))})
+
+
+@query("pdp_group")
+def pdp_group(t):
+    train, valid = _price_rows(t)
+    flags = M.small_categories(train, ["l_returnflag"], 7)
+    group = [f"l_returnflag_{v}" for v in flags["l_returnflag"]]
+    model = M.fit_forest(M.features(M.one_hot(train, flags), [*_X, *group]), "y", trees=10)
+    return M.group_dependence(M.one_hot(valid, flags), model, [*_X, *group], group)
+
+
+@query("pdp_curves")
+def pdp_curves(t):
+    train, valid = _price_rows(t)
+    model = M.fit_forest(M.features(train, _X), "y", trees=10)
+    keyed = valid.withColumn("row", F.monotonically_increasing_id())
+    return M.dependence_curves(materialise(keyed), model, "row", _X, "l_quantity", [1.0, 10.0, 20.0, 30.0, 40.0, 50.0])
+
+
 @query("adversarial")
 def adversarial(t):
     train, valid = _price_rows(t)
-    return M.adversarial_columns(train, valid, _X, trees=5, depth=5)
+    return M.adversarial_columns(train, valid, _X)
 
 
 @query("lasso")
@@ -275,50 +299,64 @@ def lasso(t):
     return M.coefficients(train, M.fit_lasso(M.features(train, _X), "y"), _X)
 
 
+def _numbered_ratings(t):
+    """Ratings with users and items numbered from 0, as the factorisation needs them."""
+    r = materialise(_ratings(t))
+    users, items = M.dense_ids(r, "u", "user"), M.dense_ids(r, "i", "item")
+    return r.join(users, "u").join(items, "i").select("u", "i", F.col("user").cast("int"), F.col("item").cast("int"), F.col("r").cast("float"))
+
+
 @query("als_fit")
 def als_fit(t):
-    r = _ratings(t).select(F.col("u").cast("int"), F.col("i").cast("int"), F.col("r").cast("float"))
-    slot = F.pmod(F.xxhash64("u", "i"), F.lit(5))
-    model = M.fit_als(r.where(slot > 0), "u", "i", "r", rank=10)
-    scored = M.clipped(model.transform(r.where(slot == 0)), "prediction", 1.0, 50.0)
+    r = materialise(T.hash_split(_numbered_ratings(t).withColumn("pair", F.struct("u", "i")), "pair", 0.2))
+    model = M.fit_als(r.where("not is_valid"), "user", "item", "r")
+    scored = M.clipped(model.transform(r.where("is_valid")), "prediction", 1.0, 50.0)
     return M.metrics_regression(scored, "r", "prediction").select("rmse")
 
 
 @query("item_pca")
 def item_pca(t):
-    r = _ratings(t).select(F.col("u").cast("int"), F.col("i").cast("int"), F.col("r").cast("float"))
-    c = M.item_components(M.fit_als(r, "u", "i", "r", rank=8, iterations=3), 3)
-    return c.select("id", *[F.col("components")[j].alias(f"pc{j + 1}") for j in range(3)])
+    r = materialise(_numbered_ratings(t))
+    c = M.item_components(M.fit_als(r, "user", "item", "r"), 3)
+    known = r.select("i", "item").distinct()
+    named = c.join(known, c["id"] == known["item"]).select(F.col("i").alias("id"), "components")
+    return named.select("id", *[F.col("components")[j].alias(f"pc{j + 1}") for j in range(3)])
 
 
-def _term_sets(t, hi, max_features):
-    """N-gram lists of the labelled documents, the vocabulary of all documents, the labels."""
-    tokens = doc_tokens(t)
-    vocab = materialise(T.top_terms(T.corpus_terms(tokens, "doc_id", 1, hi), max_features, "df").select("term"))
+#: Terms of the text classifiers at most.
+_TERMS = 800_000
+
+
+def _term_sets(t, hi):
+    """N-gram lists of the labelled documents with label and side, and the vocabulary of the training side."""
     labels = T.md5_split(t.labels.select("doc_id", F.col("quality").cast("double").alias("y")), "doc_id", 0.25)
-    marked = tokens.join(labels.select("doc_id"), "doc_id", "left_semi")
-    return T.gram_lists(marked, "doc_id", 1, hi), vocab, labels
+    tokens = doc_tokens(t).join(labels, "doc_id")
+    lists = materialise(T.gram_lists(tokens, "doc_id", 1, hi).join(labels, "doc_id"))
+    seen = tokens.where("not is_valid").select("doc_id", "tokens")
+    vocab = M.term_list(T.top_terms(T.corpus_terms(seen, "doc_id", 1, hi), _TERMS, "df"))
+    return lists, vocab
 
 
 @query("text_logreg")
 def text_logreg(t):
-    lists, vocab, labels = _term_sets(t, 1, 5000)
-    rows = materialise(M.term_vectors(lists, M.term_list(vocab), binary=True).join(labels, "doc_id"))
+    lists, vocab = _term_sets(t, 3)
+    rows = M.term_vectors(lists, vocab, binary=True)
     model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
     return M.metrics_classification(model.transform(rows.where("is_valid")), "y", "prediction")
 
 
 @query("nb_logreg")
 def nb_logreg(t):
-    lists, vocab, labels = _term_sets(t, 2, 5000)
-    lists = materialise(lists)
-    held = lists.select("doc_id", F.explode(F.array_distinct("terms")).alias("term"), F.lit(1).cast("bigint").alias("n"))
-    counts = held.join(F.broadcast(vocab), "term", "left_semi")
-    ratio = T.nb_ratio(counts, labels.where("not is_valid"), "doc_id", "y")
-    weights = {r["term"]: r["r"] for r in ratio.collect()}  # one number per vocabulary term
-    rows = materialise(M.term_vectors(lists, M.term_list(vocab), True, weights).join(labels, "doc_id"))
-    model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
-    return M.metrics_classification(model.transform(rows.where("is_valid")), "y", "prediction")
+    """Trigrams weighted by their log-count ratio; the fitted weights are pulled towards their mean size."""
+    lists, vocab = _term_sets(t, 3)
+    train = lists.where("not is_valid")
+    held = train.select("doc_id", F.explode(F.array_distinct("terms")).alias("term"), F.lit(1).cast("bigint").alias("n"))
+    ratio = T.nb_ratio(held, train.select("doc_id", "y"), "doc_id", "y")
+    weights = {r["term"]: r["r"] for r in ratio.join(F.broadcast(t.spark.createDataFrame([(w,) for w in vocab], "term string")), "term", "left_semi").collect()}
+    rows = M.term_vectors(train, vocab, True, weights)
+    pulled, intercept = M.interpolated(M.fit_logistic(rows, "y", 0.1), 0.25)
+    scored = M.linear_scores(lists.where("is_valid"), "doc_id", vocab, [w * weights[v] for v, w in zip(vocab, pulled)], intercept)
+    return M.metrics_classification(scored.join(lists.select("doc_id", "y"), "doc_id"), "y", "prediction")
 
 
 @query("session_clf")
