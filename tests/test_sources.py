@@ -155,3 +155,13 @@ def test_date_range_reaches_the_scan(spark, tmp_path):
 def test_budget_edges(spark, budget, expect):
     df = spark.createDataFrame([(i, "w w") for i in range(4)], "id int, t string")
     assert files.token_budget(df, "t", "id", budget).count() == expect
+
+
+def test_loose_headers_with_line_breaks(spark, rows, tmp_path):
+    _write(tmp_path / "one.csv", 'ARN, txn date\n"a ""1""\nb",x\n\nc,\n')
+    _write(tmp_path / "two.csv", 'Txn Date,other,arn\ny,1,d\n')
+    _write(tmp_path / "none.csv", "nothing,here\n")
+    paths = [str(tmp_path / n) for n in ("one.csv", "two.csv", "none.csv")]
+    good, bad = files.read_loose(spark, paths, ["TXN DATE", "ARN"], width=5)
+    assert rows(good, "TXN DATE", "ARN") == [(None, "c"), ("x", 'a "1"\nb'), ("y", "d")]
+    assert [r[0].rsplit("/", 1)[1] for r in bad.collect()] == ["none.csv"]

@@ -167,11 +167,16 @@ def test_nms_matches_greedy(spark, seed):
     df = spark.createDataFrame(flat, "img string, id int, score double, x1 double, y1 double, x2 double, y2 double")
     df = df.union(df.where("id = 0").withColumn("img", F.lit("one")))
     data["one"] = [b for b in data["p"][:1]]
-    for group_rows in (5000, 5):
-        got = B.nms(df, "img", "id", max_boxes=3, limit=0.3, group_rows=group_rows).collect()
-        for image in ("p", "q"):
-            assert sorted(r["id"] for r in got if r["img"] == image) == _greedy(data[image], 3, 0.3)
-        assert {r["id"] for r in got if r["img"] == "one"} == {0}
+    got = B.nms(df, "img", "id", max_boxes=3, limit=0.3).collect()
+    for image in ("p", "q"):
+        assert sorted(r["id"] for r in got if r["img"] == image) == _greedy(data[image], 3, 0.3)
+    assert {r["id"] for r in got if r["img"] == "one"} == {0}
+
+
+def test_nms_boxes_that_share_an_id(spark, rows):
+    df = spark.createDataFrame([("p", 1, 0.9, 0.0, 0.0, 1.0, 1.0), ("p", 1, 0.8, 5.0, 5.0, 6.0, 6.0)], "img string, id int, score double, x1 double, y1 double, x2 double, y2 double")
+    assert rows(B.nms(df, "img", "id"), "id", "score") == [(1, 0.8), (1, 0.9)]
+    assert B.nms(df.limit(0), "img", "id").count() == 0
 
 
 def test_box_filter(spark, rows):

@@ -56,60 +56,24 @@ def box_filter(df: DataFrame, conf: Column, probs: Column, limit: float) -> Data
     return best.withColumn("class", F.array_position("_s", F.col("score")) - 1).where(F.col("score") >= limit).drop("_s")
 
 
-def nms(
-    df: DataFrame, image: str, box_id: str, score: str = "score", max_boxes: int = 10, limit: float = 0.5, group_rows: int = 5_000
-) -> DataFrame:
+def nms(df: DataFrame, image: str, box_id: str, score: str = "score", max_boxes: int = 10, limit: float = 0.5) -> DataFrame:
     """Greedy non-max suppression per image: best scores first, ties by box id.
 
-    The boxes of an image are sorted and folded in one row as long as there are at
-    most ``group_rows`` of them; larger images are worked off in rounds, so that no
-    image of unbounded size is ever gathered in one task.
+    Round by round the best remaining box of every image is kept (one map-side
+    combined aggregate), and boxes that overlap it by more than ``limit`` leave.
+    There are at most ``max_boxes`` rounds, each written once, which keeps the plan
+    short; images of any size take the same path and none is gathered in one task.
     """
     names = [image, box_id, score, *BOX]
-    boxes = df.select(*names)
-    sizes = boxes.groupBy(image).agg(F.count(F.lit(1)).alias("_n"))
-    large = materialise(sizes.where(F.col("_n") > group_rows))
-    if large.isEmpty():
-        return _nms_folded(boxes, names, max_boxes, limit)
-    marked = materialise(attach(boxes, large, [image], "_n"))
-    small = _nms_folded(marked.where(F.col("_n").isNull()), names, max_boxes, limit)
-    return small.unionByName(_nms_rounds(marked.where(F.col("_n").isNotNull()), names, max_boxes, limit))
-
-
-def _nms_folded(df: DataFrame, names: list[str], max_boxes: int, limit: float) -> DataFrame:
-    """Boxes of an image as one sorted array, folded into the list of kept boxes."""
-    image, box_id, score = names[:3]
-    item = F.struct(F.col(score).alias("s"), (-F.col(box_id)).alias("i"), F.struct(*names[1:]).alias("b"))
-    ordered = F.transform(F.sort_array(F.collect_list(item), asc=False), lambda x: x["b"])
-    lists = df.groupBy(image).agg(ordered.alias("_l"))
-
-    def corner(b: Column) -> dict[str, Column]:
-        return {c: b[c] for c in BOX}
-
-    def step(kept: Column, b: Column) -> Column:
-        covered = F.exists(kept, lambda k: F.coalesce(iou(corner(k), corner(b)), F.lit(0.0)) > limit)
-        return F.when((F.size(kept) >= max_boxes) | covered, kept).otherwise(F.concat(kept, F.array(b)))
-
-    none = F.array().cast(lists.schema["_l"].dataType)
-    return lists.select(image, F.inline(F.aggregate("_l", none, step))).select(*names)
-
-
-def _nms_rounds(df: DataFrame, names: list[str], max_boxes: int, limit: float) -> DataFrame:
-    """Round by round the best remaining box of every image is kept (one map-side
-    combined aggregate), and boxes that overlap it by more than ``limit`` leave.
-    There are ``max_boxes`` rounds, each written to keep the plan short."""
-    image, box_id, score = names[:3]
-    left = materialise(df.select(*names))
-    kept = []
+    # Boxes may share an id; a row number, fixed by the first write, tells them apart.
+    pick = F.max_by(F.struct("_row", box_id, score, *BOX), F.struct(F.col(score), -F.col(box_id), F.struct(*BOX), "_row"))
+    left, kept = materialise(df.select(*names, F.monotonically_increasing_id().alias("_row"))), []
     for _ in range(max_boxes):
-        pick = F.max_by(F.struct(box_id, score, *BOX), F.struct(F.col(score), -F.col(box_id)))
-        best = materialise(left.groupBy(image).agg(pick.alias("_b"), F.count(F.lit(1)).alias("_n")))
-        if best.isEmpty():
-            break
+        best = left.groupBy(image).agg(pick.alias("_b"), F.count(F.lit(1)).alias("_n"))
         kept.append(best.select(image, "_b.*"))
         both = attach(left, best, [image], "_n")
         apart = F.coalesce(iou(cols(), cols("_b.")), F.lit(0.0)) <= limit
-        left = materialise(both.where((F.col(box_id) != F.col(f"_b.{box_id}")) & apart).select(*names))
-    if not kept:
-        return left.limit(0)
+        left = materialise(both.where((F.col("_row") != F.col("_b._row")) & apart).select(*names, "_row"))
+        if left.isEmpty():
+            break
     return reduce(DataFrame.unionByName, kept).select(*names)

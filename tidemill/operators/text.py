@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,26 +15,27 @@ from tidemill.session import materialise
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 
 
-def placed(df: DataFrame, key: str, *cols: str) -> DataFrame:
+#: Text bytes of a partition whose tokens are worked on, at most.
+PLACED_BYTES = 128 << 20
+
+
+def placed(df: DataFrame, key: str, text: str, *cols: str) -> DataFrame:
     """Spread documents by key before their tokens are exploded.
 
     Whole texts are shuffled once; counting or regrouping per document then needs
     no shuffle of its many tokens, and long inputs are not stuck in one split. The
     stated width keeps AQE from merging partitions: texts are small before their
-    tokens are made, and the work is in the tokens.
+    tokens are made, and the work is in the tokens. It is the session's, or follows
+    the bytes of text where these need more.
     """
-    return df.select(key, *cols).repartition(_width(df), key)
-
-
-def _width(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(key, text, *cols).repartition(max(width, ceil(size / PLACED_BYTES)), key)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Short inputs that lie in fewer splits than there are cores are spread by key;
-    others stay where they are."""
-    few = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(_width(df), key) if few else df
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly by size, so that few large splits feed all cores; Spark chooses the number."""
+    return df.hint("rebalance")
 
 
 def tokenize(df: DataFrame, key: str, text: str, pattern: str = TOKEN_PATTERN) -> DataFrame:

@@ -734,8 +734,8 @@ def top_user_item(t):
     r = J.join_on(o, l, [("o_orderkey", "l_orderkey")]).select(
         F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i"), F.col("l_quantity").alias("q")
     )
-    tops = [J.top_groups(r, k, 15).select(k) for k in ("u", "i")]
-    return r.join(F.broadcast(tops[0]), "u", "left_semi").join(F.broadcast(tops[1]), "i", "left_semi")
+    items = J.top_groups(r, "i", 15).select("i")  # of all rows, not of the top users' only
+    return J.semi_top(r, "u", 15).join(F.broadcast(items), "i", "left_semi")
 
 
 @query(

@@ -31,7 +31,7 @@ def text_markers(t):
 
 @query("tokenize", f"select doc_id, len(k) as n_tokens, md5(array_to_string(k, ' ')) as tokens_md5 from (select doc_id, {TOK} as k from documents)")
 def tokenize(t):
-    k = T.tokenize(T.spread(t.documents.select("doc_id", "text"), "doc_id"), "doc_id", "text")
+    k = T.tokenize(T.spread(t.documents.select("doc_id", "text")), "doc_id", "text")
     return k.select("doc_id", F.size("tokens").alias("n_tokens"), F.md5(F.concat_ws(" ", "tokens")).alias("tokens_md5"))
 
 
@@ -195,7 +195,7 @@ def hash_split(t):
     f"select doc_id, len({TOK}) as n_tokens, len({TOK}) // 100 as bucket from documents",
 )
 def length_buckets(t):
-    texts = T.spread(t.documents.select("doc_id", "text"), "doc_id")
+    texts = T.spread(t.documents.select("doc_id", "text"))
     return T.length_buckets(T.tokenize(texts, "doc_id", "text"), "doc_id", 100)
 
 

@@ -143,12 +143,13 @@ def failure_classes(failures: DataFrame, raised: str = "ticket raised", opened:
 def notify_list(matched: DataFrame, refunds: DataFrame, settlements: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Contacts for settled refunds: one row per refund with customer and product.
 
-    Orders with unexplained repeats and orders with repeated refunds or settlements
-    are left out; ``kind`` tells orders with one refund from those with several.
+    Orders with repeated refunds or settlements, explained or not, are left out; ``kind`` tells orders with one refund from those with several.
     """
-    skip = unexplained_repeats(refunds, settlements).select("order_number")
-    skip = skip.union(repeat_counts(refunds).select("order_number")).union(repeat_counts(settlements).select("order_number"))
-    kept = matched.join(skip.distinct(), "order_number", "left_anti")
+    # Unexplained repeats are repeats, so one count by order, amount and side tells all orders to skip.
+    sides = [df.select(*PAY_KEY, F.lit(side).alias("side")) for side, df in enumerate((refunds, settlements))]
+    each = sides[0].unionByName(sides[1]).groupBy("order_number", "amount", "side").agg(F.count(F.lit(1)).alias("n"))
+    skip = each.where("n > 1").select("order_number").distinct()
+    kept = materialise(matched.join(skip, "order_number", "left_anti"))
     sizes = kept.groupBy("order_number").agg(F.count(F.lit(1)).alias("_n"))
     sized = attach(kept, sizes, ["order_number"], "_n").withColumn("kind", F.when(F.col("_n") > 1, "multiple").otherwise("single"))
     named = join_on(sized, orders, [("order_number", "contact_order")], "left")

@@ -81,16 +81,33 @@ def csv_cells(line: Column) -> Column:
     return F.transform(found, plain)
 
 
-def read_loose(spark: SparkSession, paths: Sequence[str], canonical: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _records(spark: SparkSession, paths: Sequence[str], width: int | None) -> DataFrame:
+    """(source_file, cells) of every CSV record that is not blank."""
+    name = F.col("_metadata.file_path").alias("source_file")
+    if width is None:
+        lines = spark.read.text(list(paths)).select(name, "value").where(F.trim("value") != "")
+        return lines.select("source_file", csv_cells(F.col("value")).alias("cells"))
+    columns = [f"c{i}" for i in range(width)]
+    reader = spark.read.schema(text_schema(columns)).option("multiLine", True).option("escape", '"')
+    records = reader.csv(list(paths)).select(name, F.array(*columns).alias("cells"))
+    return records.where(F.exists("cells", lambda c: c.isNotNull()))
+
+
+def read_loose(
+    spark: SparkSession, paths: Sequence[str], canonical: Sequence[str], width: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """CSV files whose headers differ in case and blanks, as one frame of text.
 
     All rows are read in one distributed scan without header handling. Each file's
     header record is recognised by its content and mapped to positions, so files
     may order their columns differently. Second result: files with no usable header.
+
+    Without ``width`` records are lines, of any number of cells, and large files are
+    split. With it, for files whose quoted cells hold line breaks, records go through
+    the CSV reader with up to ``width`` cells, a file a task.
     """
     wanted = {canonical_key(c): c for c in canonical}
-    raw = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("source_file"), "value")
-    cells = raw.withColumn("cells", csv_cells(F.col("value")))
+    cells = _records(spark, paths, width)
     keys = F.transform("cells", lambda c: F.lower(F.regexp_replace(c, r"\s+", "")))
     names = F.array(*[F.lit(k) for k in wanted])
     cells = cells.withColumn("keys", keys).withColumn("hits", F.size(F.array_intersect(names, "keys")))
@@ -98,7 +115,7 @@ def read_loose(spark: SparkSession, paths: Sequence[str], canonical: Sequence[st
     place = [F.max(F.when(is_header, F.array_position("keys", F.lit(k)))).alias(f"p{i}") for i, k in enumerate(wanted)]
     files = cells.groupBy("source_file").agg(F.count(F.lit(1)).alias("_n"), *place)
     known = files.where(F.col("p0").isNotNull())
-    body = attach(cells.where(~is_header & (F.trim("value") != "")), known, ["source_file"], "_n").where(F.col("p0").isNotNull())
+    body = attach(cells.where(~is_header), known, ["source_file"], "_n").where(F.col("p0").isNotNull())
     picked = [F.get(F.col("cells"), (F.col(f"p{i}") - 1).cast("int")).alias(c) for i, c in enumerate(canonical)]
     return body.select(*picked, "source_file"), files.where(F.col("p0").isNull()).select("source_file")
 
@@ -115,8 +132,10 @@ def read_labelled_text(spark: SparkSession, root: str) -> DataFrame:
     return raw.select(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("label"), path.alias("path"), F.col("value").alias("text"))
 
 
-def with_source_file(df: DataFrame, out: str = "file") -> DataFrame:
-    """Add the name of the file each row came from (call right after a read)."""
+def with_source_file(df: DataFrame, out: str = "file", folder: bool = False) -> DataFrame:
+    """Add the name of the file each row came from, or of its folder (call right after a read)."""
+    if folder:
+        return df.withColumn(out, F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
     return df.withColumn(out, F.col("_metadata.file_name"))
 
 
