@@ -3,7 +3,7 @@
 A phrase is a window of 13 consecutive words. Documents are dealt into buckets
 of about ``BUCKET_BYTES`` of text once; that exchange serves all passes.
 
-1. Winnowing picks a 5-gram (an anchor) in every window. Equal windows pick the
+1. Winnowing picks a 4-gram (an anchor) in every window. Equal windows pick the
    same one, so a window can only recur if its anchor does. Anchor hashes are
    counted over all buckets; a bucket sends a hash once, so that an anchor which
    every document has comes as often as there are buckets.
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from tidemill.llm.common import WordBatch, WordHashes, buckets_for, covered, gram_hashes, table
 
 WINDOW = 13
-GRAM = 5
+GRAM = 4
 #: Buckets of documents that a partition holds, about.
 BUCKETS_A_PARTITION = 8
 #: From so many occurrences on, an anchor's windows are sent each for itself.
@@ -46,7 +46,7 @@ AUTOMATON_WORDS = 400_000
 
 _HASHES = WordHashes()
 _ANCHORS = "h long, bucket int, n long, several boolean"
-_PASSAGES = "shard int, h long, bucket int, passage string, keys array<long>, rows array<int>, starts array<int>"
+_PASSAGES = "shard int, part short, bucket int, passage string, keys array<long>, rows array<int>, starts array<int>"
 _SPANS = "bucket int, row int, start int, stop int"
 
 
@@ -116,7 +116,7 @@ def _passages(shards: int):
         flat = [x for v in found.values() for x in v]
         lists = lambda values, kind: pa.ListArray.from_arrays(offsets, pa.array(values, kind))
         return pa.table({
-            "shard": (codes % np.uint64(shards)).astype(np.int32), "h": codes.view(np.int64),
+            "shard": (codes % np.uint64(shards)).astype(np.int32), "part": (codes >> np.uint64(50)).astype(np.int16),
             "bucket": pa.array([number] * len(found), pa.int32()), "passage": pa.array([p.decode() for _, p in found], pa.string()),
             "keys": lists([bucket.keys[t] for t, _ in flat], pa.int64()), "rows": lists([t for t, _ in flat], pa.int32()),
             "starts": lists([s for _, s in flat], pa.int32()),
@@ -128,9 +128,8 @@ def _passages(shards: int):
 def _locate(rows: pa.Table) -> pa.Table:
     """Spans of a shard's passages whose windows occur in an earlier document."""
     out = ([], [], [], [])
-    h = np.asarray(rows["h"]).view(np.uint64)
     parts = 1 + rows.nbytes // (AUTOMATON_WORDS * 8)
-    own = (h // np.uint64(1 << 20)) % np.uint64(parts)
+    own = np.asarray(rows["part"]) % parts
     for p in range(parts):
         _stream(rows.filter(pa.array(own == p)) if parts > 1 else rows, out)
     return pa.table({n: pa.array(v, pa.int32()) for n, v in zip(["bucket", "row", "start", "stop"], out)})
@@ -263,6 +262,19 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return out.withColumnRenamed("key", key)
 
 
+SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as k from documents),
+     windows as (select doc_id, i, array_to_string(k[i:i+12], ' ') as s from (select doc_id, k, unnest(range(1, len(k) - 11)) as i from w)),
+     firsts as (select s, min(doc_id) as first from windows group by s),
+     gone as (select distinct doc_id, unnest(range(i, i + 13)) as p from windows join firsts using (s) where first < doc_id),
+     words as (select doc_id, unnest(k) as word, unnest(range(1, len(k) + 1)) as p from w),
+     marked as (select words.*, gone.p is not null as removed from words left join gone using (doc_id, p)),
+     kept as (select doc_id, count(*) filter (where removed) as n_removed, string_agg(word, ' ' order by p) filter (where not removed) as text
+              from marked group by 1)
+select w.doc_id, len(k)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from w left join kept using (doc_id)"""
+
+
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
