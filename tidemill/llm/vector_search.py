@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import ragged, table
+from tidemill.llm.common import table
 from tidemill.session import materialise
 
 NEIGHBOURS = 20
@@ -28,11 +28,12 @@ PROJECTIONS = 64
 #: Share of the lines on which a vector must be in the window.
 COLLISIONS = 0.7
 #: Half the first window, on the unit sphere, and how much wider each next one is.
-FIRST = 0.6
+FIRST = 0.8
 WIDEN = 1.25
 #: A query's windows stop widening in a block when this share of its vectors, and this many, would be verified.
-VERIFY_SHARE = 0.25
+VERIFY_SHARE = 0.2
 VERIFY_LEAST = 1_500
+#: Rows of a block, about. Places in it are 16-bit numbers and counts 8-bit ones.
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 1_024
 
@@ -49,7 +50,9 @@ class Block:
         places = unit @ self.lines[:-1] + rest[:, None] * self.lines[-1]
         by_line = np.argsort(places, axis=0)
         self.sorted = np.ascontiguousarray(np.take_along_axis(places, by_line, axis=0).T)
-        self.order = np.ascontiguousarray(by_line.T.astype(np.int32)).ravel()
+        #: Place of every vector in each line's order; a window is a range of places.
+        self.place = np.empty((PROJECTIONS, len(ids)), np.int16)
+        np.put_along_axis(self.place, by_line.T, np.arange(len(ids), dtype=np.int16)[None, :], axis=1)
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Query id, vector id and exact product of each query's best ``k`` verified vectors."""
@@ -57,27 +60,25 @@ class Block:
         enough = min(n, max(VERIFY_LEAST, ceil(VERIFY_SHARE * n)) + k)
         least = ceil(COLLISIONS * PROJECTIONS)
         at = (queries / np.linalg.norm(queries, axis=1, keepdims=True)) @ self.lines[:-1]
-        line = np.arange(PROJECTIONS) * n
-        counts = np.zeros((len(ids), n), np.int16)
-        edge = np.stack([np.searchsorted(self.sorted[i], at[:, i]) for i in range(PROJECTIONS)], axis=1)
-        low, high = edge, edge.copy()
+        found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(ids)
         active, half = np.arange(len(ids)), FIRST
         while len(active):
-            new_low, new_high = low.copy(), high.copy()
-            for i in range(PROJECTIONS):
-                new_low[active, i] = np.searchsorted(self.sorted[i], at[active, i] - half, "left")
-                new_high[active, i] = np.searchsorted(self.sorted[i], at[active, i] + half, "right")
+            low = np.stack([np.searchsorted(self.sorted[i], at[active, i] - half, "left") for i in range(PROJECTIONS)], axis=1)
+            high = np.stack([np.searchsorted(self.sorted[i], at[active, i] + half, "right") for i in range(PROJECTIONS)], axis=1)
             still = []
-            for q in active.tolist():
-                starts = np.r_[line + new_low[q], line + high[q]]
-                lengths = np.r_[low[q] - new_low[q], new_high[q] - high[q]]
-                counts[q] += np.bincount(self.order[ragged(starts, lengths)], minlength=n).astype(np.int16)
-                if np.count_nonzero(counts[q] >= least) < enough:
+            for row, q in enumerate(active.tolist()):
+                # As unsigned numbers, places before the window are far beyond its width.
+                into = (self.place - low[row, :, None].astype(np.int16)).view(np.uint16)
+                inside = into < (high[row] - low[row]).astype(np.uint16)[:, None]
+                hits = np.flatnonzero(np.add.reduce(inside, axis=0, dtype=np.uint8) >= least)
+                if len(hits) < enough:
                     still.append(q)
-            low, high, active, half = new_low, new_high, np.array(still, np.int64), half * WIDEN
+                else:
+                    found[q] = hits
+            active, half = np.array(still, np.int64), half * WIDEN
         out: list[list[np.ndarray]] = [[], [], []]
         for q, own in enumerate(ids.tolist()):
-            seen = np.flatnonzero((counts[q] >= least) & (self.ids != own))
+            seen = found[q][self.ids[found[q]] != own]
             score = self.vectors[seen] @ queries[q]
             best = np.lexsort((self.ids[seen], -score))[:k] if len(seen) <= 4 * k else self._best(seen, score, k)
             out[0].append(np.full(len(best), own))
