@@ -35,7 +35,7 @@ def byte_letters() -> list[str]:
 class Encoder:
     """Texts to ids and back. Keeps the ids of pieces between ASCII spaces it has seen, up to a bound."""
 
-    KEPT = 600_000
+    KEPT = 250_000
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:

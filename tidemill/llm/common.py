@@ -57,7 +57,7 @@ def shuffles_dropped(spark: SparkSession):
 class WordHashes(dict):
     """64-bit hash of each word (bytes), computed once per word; emptied when large."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -161,10 +161,12 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
     def centres(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["h", "text"])
-        counts = np.stack([grams(t) for t in frame["text"]])
-        x = weighted(counts, idf)
+        x, bands = np.empty((len(frame), SLOTS), np.float32), np.empty(len(frame), np.int64)
+        for a in range(0, len(frame), 128):  # so that the sample is held once, as weights
+            counts = np.stack([grams(t) for t in frame["text"].iloc[a : a + 128]])
+            x[a : a + 128], bands[a : a + 128] = weighted(counts, idf), band(counts)
         found = cluster(x)
-        cuts = _cuts((x @ found.T).max(axis=1), band(counts))
+        cuts = _cuts((x @ found.T).max(axis=1), bands)
         return pd.DataFrame({"lang": [frame["lang"].iloc[0]], "centroids": [found.ravel().tolist()], "cuts": [cuts]})
 
     fitted = sample.groupBy("lang").applyInPandas(centres, "lang string, centroids array<float>, cuts array<double>").collect()

@@ -34,7 +34,7 @@ class Counter:
     their UTF-8 bytes.
     """
 
-    KEPT = 500_000
+    KEPT = 250_000
     PARTS = re.compile(rb" *[^ \n]+| +|\n")
 
     def __init__(self, path: str):
