@@ -23,7 +23,7 @@ SEED = 42
 #: The space of variants is worked off in so many parts, one after the other, to bound the disk.
 ROUNDS = 8
 #: Variants that one shard of a round holds, about.
-SHARD_VARIANTS = 1_000_000
+SHARD_VARIANTS = 2_000_000
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
