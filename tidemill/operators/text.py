@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.scale import attach, literal_rows
