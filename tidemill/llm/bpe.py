@@ -156,6 +156,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
                 flat, counts = encoder(path).encode(batch[text].to_pylist())
                 arrays = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, arrays], [*batch.schema.names, ids])
+        encoder(path).forget()  # the worker may serve another job next
 
     return docs.mapInArrow(run, schema)
 
@@ -171,6 +172,7 @@ def decode(docs: DataFrame, ids: str = "ids", text: str = "decoded", path: str |
                 part = batch.slice(a, 256)
                 texts = [encoder(path).decode(x or []) for x in part[ids].to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, text])
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 

@@ -105,12 +105,17 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def text_runs(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``size`` text bytes each, at least one row."""
+    """Slices of a batch with about ``size`` text bytes each, at least one row.
+
+    After the last one, memory that Arrow keeps for later goes back to the system:
+    workers live on between tasks, beside each other and the JVM.
+    """
     sizes = np.array(pc.fill_null(pc.binary_length(batch[column]), 0))
     group = (np.cumsum(sizes) - sizes) // size
     cuts = np.flatnonzero(np.r_[True, np.diff(group) > 0, True]) if len(sizes) else []
     for a, b in zip(cuts[:-1], cuts[1:]):
         yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 class WordBatch:

@@ -104,6 +104,7 @@ def count_tokens(docs: DataFrame, text: str = "text", name: str = "n_tokens", pa
             for batch in text_runs(whole, text):
                 counts = pa.array(counter(path).count(batch[text].to_pylist()), pa.int64())
                 yield pa.RecordBatch.from_arrays([*batch.columns, counts], [*batch.schema.names, name])
+        counter(path).seen.clear()  # the worker may serve another job next
 
     return docs.mapInArrow(run, schema)
 
