@@ -143,13 +143,11 @@ def edit_distance(a, b):
 
 
 def line_form(line):
-    import regex
-
-    return " ".join(regex.findall(r"[\p{L}\p{N}]+", line.lower()))
+    return " ".join(WORD8.findall(line.lower()))
 
 
 def line_print(form):
-    hashes = [xxhash.xxh64_intdigest(w, 42) for w in form.split(" ")]
+    hashes = [xxhash.xxh64_intdigest(w, 42) for w in set(form.split(" "))]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 

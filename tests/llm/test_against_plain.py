@@ -104,3 +104,40 @@ def test_evidence_cut():
     assert secret_scan.cut({}) == secret_scan.MOST_BITS + 1
     assert secret_scan.cut({-1: 50, 3: 10}) > secret_scan.MOST_BITS
     assert secret_scan.cut({-1: 1000, 40: 3, 5: 2}) == 40
+
+
+def test_edit_similarity(spark):
+    """Random edits of random forms: words changed, put in, taken out, moved, at either end or inside."""
+    import random
+
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 6)))
+    rows = []
+    for i in range(400):
+        x = [word() for _ in range(rnd.randint(1, 25))]
+        y = list(x)
+        for _ in range(rnd.randint(1, 5)):
+            at = rnd.randint(0, len(y))
+            kind = rnd.randint(0, 3)
+            if kind == 0 and at < len(y):
+                y[at] = word()
+            elif kind == 1:
+                y[at:at] = [word() for _ in range(rnd.randint(1, 3))]
+            elif kind == 2 and len(y) > 1:
+                del y[max(0, at - 1)]
+            elif kind == 3:
+                y = y[at:] + y[:at]
+        if x != y:
+            rows.append((i, -i, " ".join(x), " ".join(y)))
+    df = spark.createDataFrame(rows, "a int, b int, a_form string, b_form string")
+    for limit in (0.8, 0.6, 0.95):
+        got = {r["a"] for r in line_dedup.similar(df, limit).collect()}
+        want = {i for i, _, x, y in rows if brute.edit_distance(x, y) <= int(max(len(x), len(y)) * (1 - limit) + 1e-9)}
+        assert got == want
+
+
+def test_fingerprints(spark):
+    text = " ".join(f"w{i % 97}" for i in range(500))
+    df = spark.createDataFrame([(1, text), (2, "one two three"), (3, "one")], "doc_id long, text string")
+    got = {r["doc"]: r["fp"] & (1 << 64) - 1 for r in line_dedup.signed(df, "doc_id", "text").collect()}
+    assert got == {d: brute.line_print(t) for d, t in [tuple(r) for r in df.collect()]}

@@ -203,6 +203,23 @@ def n_hit() -> Column:
     return F.aggregate(F.zip_with("ends", "starts", lambda e, s: (e - s).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SQL = f"""
+with d as (select doc_id, {_WORDS} as k from documents),
+     b as (select item_id::varchar as item, k, least(10, len(k)) as n from (select item_id, {_WORDS} as k from benchmark where item_id is not null) where len(k) > 0),
+     sought as (select distinct item, n, array_to_string(k[i:i+n-1], ' ') as s from (select *, unnest(range(1, len(k) - n + 2)) as i from b)),
+     sizes as (select distinct n from b),
+     windows as (select doc_id, n, i, array_to_string(k[i:i+n-1], ' ') as s from (select doc_id, k, n, unnest(range(1, len(k) - n + 2)) as i from d, sizes)),
+     hits as (select doc_id, item, i, n from windows join sought using (n, s)),
+     places as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by 1),
+     items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list from (select distinct doc_id, item from hits) group by 1)
+select d.doc_id, len(k)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(list, '')) as items_sha256, n_hit is not null as contaminated
+from d left join places using (doc_id) left join items using (doc_id)"""
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemill.llm import decontaminate, substring_dedup
 from tidemill.llm.bpe import op2_bpe
 from tidemill.llm.decontaminate import op8_decontaminate
 from tidemill.llm.language_id import op3_language_id
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_secrets": op10_secrets,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_substring": substring_dedup.SQL, "op8_decontaminate": decontaminate.SQL}
