@@ -31,6 +31,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ["assign", "access", "hex", "random"]
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Maximal parts of one alphabet in a run that is none as a whole; = pads only at the end of the run.
+PARTS = [f"[A-Za-z0-9{signs}]{{20,}}(?:=+$)?" for signs in ("+/", "_-", "")]
 #: The symbols of the encodings in their order (RFC 4648).
 ALPHABETS = {
     "hex": "0123456789abcdef",
@@ -86,6 +88,17 @@ def encoding(hit: Column) -> Column:
     )
 
 
+def candidates(runs: Column | str) -> Column:
+    """The runs of one encoding, and of the other ones (a name or path with a secret, for instance) the parts."""
+
+    def inner(s: Column) -> Column:
+        shifted = lambda p: F.struct((s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), p["hit"].alias("hit"))
+        return F.array_distinct(F.concat(*[F.transform(spans_of(s["hit"], p), shifted) for p in PARTS]))
+
+    whole = lambda s: F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit")))
+    return F.flatten(F.transform(runs, lambda s: F.when(encoding(s["hit"]).isNotNull(), whole(s)).otherwise(inner(s))))
+
+
 def symbols(hit: Column, kind: Column) -> Column:
     """The candidate's characters as numbers from 0 in its alphabet."""
     body = F.rtrim(hit, F.lit("="))
@@ -156,7 +169,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     A null text is empty and has no spans. Each row is taken for itself, so
     repeated rows give repeated results; other columns are not read. Spans go
-    by start, then by kind; a random span that lies inside a base one is left out.
+    by start, then by kind; a random span that lies inside a base one or a longer random one is left out.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     found = docs.select(F.col(key), body.alias("body")).select(
@@ -167,7 +180,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         spans_of(F.col("body"), RUN).alias("runs"),
     )
     kept = materialise(
-        found.withColumn("random", tested("runs")).drop("runs")
+        found.withColumn("random", tested(candidates("runs"))).drop("runs")
     )
     # Shares of the classes among the characters that candidates are made of, over all texts.
     sums = kept.agg(*[F.coalesce(F.sum(f"all_{c}"), F.lit(0)).alias(c) for c in CLASSES]).first()
@@ -189,10 +202,12 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         encoded = (lambda s: s["encoding"]) if column == "random" else (lambda s: F.lit(None).cast("string"))
         return F.transform(column, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"), encoded(s).alias("encoding")))
 
+    graded = graded.withColumn("random", F.filter("random", lambda s: s["bits"] >= least))
     base = F.concat(*[as_spans(i, k) for i, k in enumerate(KINDS[:3])])
+    longer = lambda s, r: (r["start"] <= s["start"]) & (r["end"] >= s["end"]) & (r["end"] - r["start"] > s["end"] - s["start"])
     more = F.filter(
-        F.filter("random", lambda s: s["bits"] >= least),
-        lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])),
+        "random",
+        lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])) & ~F.exists("random", lambda r: longer(s, r)),
     )
     return (
         graded.withColumn("base", base).withColumn("random", more)
