@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.session import materialise
+from tidemill.session import discard, materialise
 
 HOT_ROWS = 4_000_000
 SALTS = 512
@@ -117,6 +117,7 @@ def ordered_scan(
             "_part", F.spark_partition_id()
         )
     )
+    discard(staged)
     local = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     running = ranged.withColumns({f"_r_{n}": F.sum(f"_t_{n}").over(local) for n in totals})
     sums = ranged.groupBy(*keys, "_part").agg(*[F.sum(f"_t_{n}").alias(f"_c_{n}") for n in totals])

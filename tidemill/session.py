@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -78,9 +79,40 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     out = scratch_dir(df.sparkSession, "rows")
     df.write.parquet(out)
-    return df.sparkSession.read.schema(df.schema).parquet(out)
+    back = df.sparkSession.read.schema(df.schema).parquet(out)
+    back._written = out
+    return back
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder, for written intermediates."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder under the shared checkpoint folder, for written intermediates.
+
+    What has not been discarded by then goes when the driver's interpreter ends.
+    """
+    out = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _left[out] = spark
+    return out
+
+
+_left: dict[str, SparkSession] = {}
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete copies made by ``materialise`` that no DataFrame still to be computed reads."""
+    for df in written:
+        if (folder := getattr(df, "_written", None)) and _left.pop(folder, None) is not None:
+            _delete(df.sparkSession, folder)
+
+
+@atexit.register
+def _discard_rest() -> None:
+    while _left:
+        folder, spark = _left.popitem()
+        if spark.sparkContext._jsc is not None:
+            _delete(spark, folder)
