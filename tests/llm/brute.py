@@ -4,6 +4,7 @@ import hashlib
 import re
 import struct
 import zlib
+from fractions import Fraction
 from math import log
 
 import xxhash
@@ -183,3 +184,90 @@ def lines(docs, radius=3, similarity=0.8):
             if (d, i) != root[node[f]]:
                 out[d][1].append((i, *root[node[f]]))
     return sorted((d, n, len(g), ",".join("%d:%d:%d" % x for x in sorted(g))) for d, (n, g) in out.items())
+
+
+def periodic_runs(w):
+    """(start, length, period) of each run of four or more smallest periods and six or more words."""
+    n, out = len(w), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            part = w[i : j + q]
+            if len(part) >= max(6, 4 * q) and not any(part[d:] == part[: len(part) - d] for d in range(1, q)):
+                out.append((i, len(part), q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def planted_words(doc_id, text):
+    w = SPACE.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+
+
+def runs(docs):
+    out = []
+    for d, t in docs:
+        w = planted_words(d, t)
+        found = periodic_runs(w)
+        best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if found else None
+        gone = {i for s, n, q in found for i in range(s + q, s + n)}
+        top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        lines = "".join("%d,%d,%d\n" % r for r in found)
+        out.append((d, len(found), *top, sha(lines), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
+    return sorted(out)
+
+
+def collocations(docs, least=100, longest=5, share=100, top=2000):
+    """docs: (lang, text). Every phrase counted, every longer one looked at."""
+    counts, totals = {}, {}
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text or "")):
+            w = re.findall("[^\x20\x09]+", piece)
+            totals[lang] = totals.get(lang, 0) + len(w)
+            for m in range(1, longest + 1):
+                for i in range(len(w) - m + 1):
+                    key = lang, tuple(w[i : i + m])
+                    counts[key] = counts.get(key, 0) + 1
+    candidates = {k: f for k, f in counts.items() if f >= least and len(k[1]) > 1}
+    around = {}
+    for (lang, w), f in candidates.items():
+        for i in range(len(w)):
+            for j in range(i + 2, len(w) + 1):
+                if j - i < len(w):
+                    around[lang, w[i:j]] = max(f, around.get((lang, w[i:j]), 0))
+    by_lang = {}
+    for (lang, w), a in candidates.items():
+        if (lang, w) in around and 100 * around[lang, w] >= share * a:
+            continue
+        n = totals[lang]
+        cuts = [(1000 * a * n // (counts[lang, w[:k]] * counts[lang, w[k:]]), k) for k in range(1, len(w))]
+        score, k = min(cuts)
+        by_lang.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), counts[lang, w[:k]], counts[lang, w[k:]], n))
+    return sorted(
+        (lang, i + 1, p.decode(), -a, left, right, n, -s) for lang, rows in by_lang.items() for i, (s, a, p, left, right, n) in enumerate(sorted(rows)[:top])
+    )
+
+
+def chats(turns):
+    """turns: (conv_id, turn, role, text) -> what the formatted conversation has to give back."""
+    by = {}
+    for t in sorted(turns, key=lambda t: tuple((x is not None, x) if x is not None else (False,) for x in t)):
+        by.setdefault(t[0], []).append((t[2] or "", t[3] or ""))
+    out = []
+    for conv, rows in by.items():
+        learned = "".join(t for r, t in rows if r == "assistant")
+        out.append((conv, len(rows), sha("".join(f"{r}\n{t}\n" for r, t in rows)), len(learned), sha(learned)))
+    return out
