@@ -4,15 +4,14 @@ The texts are dealt into blocks of about ``BLOCK_BYTES`` of text, as they are re
 The relation of level k has the place and the phrase of every occurrence of k words
 in a piece, sorted by block and place; each piece's end takes a place of its own, so
 that neighbours in a piece are neighbours in the numbering. It is kept as a written
-table with one row of arrays per block, beside the phrases that each block has and
-how often (the groups). Going from level k to k + 1:
+table with one row of arrays per block. Going from level k to k + 1:
 
-1. Group-count: the groups are summed over all blocks; phrases that come often
-   enough are numbered and written.
-2. Semi-join: their numbers go back to the blocks that have them, and occurrences of
-   other phrases go.
-3. Merge-join: what is left is joined with itself at the next place. Both ends of
-   a frequent phrase are frequent, so nothing is lost.
+1. Merge-join and group-count: a block's relation is joined with itself at the next
+   place; how often each pair comes is summed over all blocks. Pairs that come often
+   enough are the phrases of the next level, which are numbered and written. Both ends
+   of a frequent phrase are frequent, so nothing is lost.
+2. Semi-join: the numbers go back to the blocks that have the phrase, and only
+   occurrences of numbered phrases are written as the next relation.
 
 Counts of phrases are exact: words are compared as strings, phrases by the
 numbers of the two phrases they are made of.
@@ -36,16 +35,20 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Text bytes of a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
 #: Frequent phrases are broadcast to the groups up to this many (a few dozen bytes each); more take a shuffle join.
 BROADCAST_PHRASES = 500_000
 
 _END = b"."
 _TABLE = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
-#: A row is either a block's relation (steps from place to place, and the group of each) or one of its groups.
-_RELATION = [("block", pa.int64()), ("steps", pa.list_(pa.int32())), ("members", pa.list_(pa.int32())), ("member", pa.int32()), ("n", pa.int64())]
-_WORDS = pa.schema([*_RELATION, ("lang", pa.string()), ("word", pa.string())])
-_PHRASES = pa.schema([*_RELATION, ("head", pa.int64()), ("tail", pa.int64())])
+#: Steps from place to place, and which of the block's phrases is at each.
+_RELATION = [("block", pa.int64()), ("steps", pa.list_(pa.int32())), ("members", pa.list_(pa.int32()))]
+_WORDS = pa.schema([*_RELATION, ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string()))])
+_PHRASES = pa.schema([*_RELATION, ("ids", pa.list_(pa.int64()))])
+#: How often a block has a phrase, which has a number there.
+_GROUP = [("block", pa.int64()), ("member", pa.int32()), ("n", pa.int64())]
+_WORD_GROUPS = pa.schema([*_GROUP, ("lang", pa.string()), ("word", pa.string())])
+_PAIR_GROUPS = pa.schema([*_GROUP, ("head", pa.int64()), ("tail", pa.int64())])
 
 
 class _Numbers(dict):
@@ -60,23 +63,14 @@ class _Numbers(dict):
         return n
 
 
-def _lists(values: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.int32()))
-
-
-def _rows(block: int, places: np.ndarray, members: np.ndarray, counts: np.ndarray, **groups: pa.Array) -> Iterator[pa.RecordBatch]:
-    """The relation of a block and its groups, as rows of two kinds."""
-    steps = np.diff(places, prepend=0)
-    names = ["block", "steps", "members", "member", "n", *groups]
-    empty = [pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), *[pa.nulls(1, g.type) for g in groups.values()]]
-    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), _lists(steps), _lists(members), *empty], names)
-    none = pa.nulls(len(counts), pa.list_(pa.int32()))
-    own = [pa.array(np.full(len(counts), block)), none, none, pa.array(np.arange(len(counts), dtype=np.int32)), pa.array(counts)]
-    yield pa.RecordBatch.from_arrays([*own, *groups.values()], names)
+def _row(schema: pa.Schema, block: int, places: np.ndarray, *columns) -> pa.RecordBatch:
+    """A block's relation."""
+    lists = [pa.array([c], f.type) for c, f in zip((np.diff(places, prepend=0), *columns), list(schema)[1:])]
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *lists], schema=schema)
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The occurrences of single words, block by block."""
+    """The occurrences of single words, block by block, with the words that each block has."""
     from pyspark import TaskContext
 
     block = TaskContext.get().partitionId() << 32
@@ -90,38 +84,63 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 numbers = by_lang.setdefault(lang, _Numbers(words))
                 mine = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
                 langs += [lang] * (len(words) - len(langs))
-                ends = numbers.get(_END, -1)
-                inside = np.flatnonzero(mine != ends)
+                inside = np.flatnonzero(mine != numbers.get(_END, -1))
                 places.append(inside + at)
                 found.append(mine[inside])
                 at += len(tokens) + 1
-            place, member = np.concatenate(places), np.concatenate(found)
             # Ends of pieces had numbers too; close the gaps.
-            used, member = np.unique(member, return_inverse=True)
-            names = [words[i] for i in used.tolist()]
-            yield from _rows(
-                block, place, member, np.bincount(member, minlength=len(used)),
-                lang=pa.array([langs[i] for i in used.tolist()], pa.string()), word=pa.array([w.decode() for w in names], pa.string()),
-            )
+            used, members = np.unique(np.concatenate(found), return_inverse=True)
+            used = used.tolist()
+            yield _row(_WORDS, block, np.concatenate(places), members, [langs[i] for i in used], [words[i].decode() for i in used])
             block += 1
 
 
-def _extended(key: tuple[pa.Scalar, ...], relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """Semi-join a block's occurrences with its frequent phrases, then merge-join them with themselves at the next place."""
-    if not len(relation) or not len(frequent):
-        return _PHRASES.empty_table()
-    flat = lambda name: relation[name].chunk(0).flatten().to_numpy()
-    members = flat("members")
-    ids = np.full(int(members.max()) + 1, -1, np.int64)
-    ids[np.asarray(frequent["member"])] = np.asarray(frequent["id"])
-    left = np.flatnonzero(ids[members] >= 0)
-    places, members = np.cumsum(flat("steps"), dtype=np.int64)[left], members[left].astype(np.int64)
+def _word_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(len(batch)):
+            block, langs, words = (batch[c].slice(i, 1).flatten() for c in ("members", "langs", "words"))
+            counts = np.bincount(block.to_numpy(), minlength=len(words))
+            own = pa.array(np.full(len(words), batch["block"][i].as_py()))
+            yield pa.RecordBatch.from_arrays([own, pa.array(np.arange(len(words), dtype=np.int32)), pa.array(counts), langs, words], schema=_WORD_GROUPS)
+
+
+def _joined(steps: pa.Array, members: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A relation merge-joined with itself at the next place: the places of all pairs, which
+    distinct pair is at each, how often that comes, and its two phrases' numbers in the block."""
+    places, members = np.cumsum(steps.to_numpy(), dtype=np.int64), members.to_numpy().astype(np.int64)
     at = np.flatnonzero(np.diff(places) == 1)
-    if not len(at):
-        return _PHRASES.empty_table()
-    pairs, member, counts = np.unique(members[at] * len(ids) + members[at + 1], return_inverse=True, return_counts=True)
-    head, tail = np.divmod(pairs, len(ids))
-    return pa.Table.from_batches(_rows(key[0].as_py(), places[at], member, counts, head=pa.array(ids[head]), tail=pa.array(ids[tail])))
+    size = int(members.max(initial=0)) + 1
+    pairs, member, counts = np.unique(members[at] * size + members[at + 1], return_inverse=True, return_counts=True)
+    return places[at], member, counts, *np.divmod(pairs, size)
+
+
+def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(len(batch)):
+            steps, members, ids = (batch[c].slice(i, 1).flatten() for c in ("steps", "members", "ids"))
+            _, _, counts, head, tail = _joined(steps, members)
+            ids, own = ids.to_numpy(), np.full(len(counts), batch["block"][i].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own, np.arange(len(counts), dtype=np.int32), counts, ids[head], ids[tail])], schema=_PAIR_GROUPS)
+
+
+def _kept(words: bool):
+    """Semi-join of a block's occurrences, of words or of pairs, with its frequent ones."""
+
+    def keep(key: tuple[pa.Scalar, ...], relation: pa.Table, frequent: pa.Table) -> pa.Table:
+        if not len(relation) or not len(frequent):
+            return _PHRASES.empty_table()
+        steps, members = (relation[c].combine_chunks().flatten() for c in ("steps", "members"))
+        if words:
+            places, member = np.cumsum(steps.to_numpy(), dtype=np.int64), members.to_numpy()
+        else:
+            places, member = _joined(steps, members)[:2]
+        order = np.argsort(np.asarray(frequent["member"]))
+        place = np.full(int(member.max()) + 1, -1, np.int64)
+        place[np.asarray(frequent["member"])[order]] = np.arange(len(order))
+        left = np.flatnonzero(place[member] >= 0)
+        return pa.Table.from_batches([_row(_PHRASES, key[0].as_py(), places[left], place[member[left]], np.asarray(frequent["id"])[order])])
+
+    return keep
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -136,12 +155,12 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     plain = docs.where(F.col(text).isNotNull()).select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     with shuffles_dropped(spark):
         now = materialise(plain.mapInArrow(_words, from_arrow_schema(_WORDS)))
-        groups = now.where("member is not null")
-        totals = materialise(groups.groupBy("lang").agg(F.sum("n").alias("total")))
-        by, levels = ["lang", "word"], []
+        groups, by = now.mapInArrow(_word_groups, from_arrow_schema(_WORD_GROUPS)), ["lang", "word"]
+        counts = materialise(groups.groupBy(*by).agg(F.sum("n").alias("n")))
+        totals = materialise(counts.groupBy("lang").agg(F.sum("n").alias("total")))
+        known, levels = materialise(counts.where(F.col("n") >= least).withColumn("id", F.monotonically_increasing_id())), []
+        discard(counts)
         while True:
-            counts = groups.groupBy(*by).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-            known = materialise(counts.withColumn("id", F.monotonically_increasing_id()))
             if by == ["lang", "word"]:
                 found = known.select("id", "lang", F.array("word").alias("words"), F.array("n").alias("heads"), F.array("n").alias("tails"))
             else:
@@ -157,11 +176,13 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
                 break
             asked = known.select(*by, "id")
             back = groups.join(F.broadcast(asked) if few <= BROADCAST_PHRASES else asked, by).select(F.col("block").alias("to"), "member", "id")
-            relations = now.where("steps is not null").select("block", "steps", "members")
-            after = materialise(relations.groupBy("block").cogroup(back.groupBy("to")).applyInArrow(_extended, from_arrow_schema(_PHRASES)))
+            relations = now.select("block", "steps", "members").groupBy("block")
+            after = materialise(relations.cogroup(back.groupBy("to")).applyInArrow(_kept(words=by == ["lang", "word"]), from_arrow_schema(_PHRASES)))
             discard(now, known)
-            now, by = after, ["head", "tail"]
-            groups = now.where("member is not null")
+            now = after
+            groups, by = now.mapInArrow(_pair_groups, from_arrow_schema(_PAIR_GROUPS)), ["head", "tail"]
+            sums = groups.groupBy(*by).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+            known = materialise(sums.withColumn("id", F.monotonically_increasing_id()))
         discard(now, known)
         every = levels[0]
         for level in levels[1:]:
