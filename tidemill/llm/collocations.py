@@ -41,10 +41,10 @@ BROADCAST_PHRASES = 500_000
 
 _END = b"."
 _TABLE = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
-#: Steps from place to place, and which of the block's phrases is at each.
-_RELATION = [("block", pa.int64()), ("steps", pa.list_(pa.int32())), ("members", pa.list_(pa.int32()))]
-_WORDS = pa.schema([*_RELATION, ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string()))])
-_PHRASES = pa.schema([*_RELATION, ("ids", pa.list_(pa.int64()))])
+#: Steps from place to place, and which of the block's phrases is at each. Arrays are packed: Spark only carries them.
+_RELATION = [("block", pa.int64()), ("steps", pa.binary()), ("members", pa.binary())]
+_WORDS = pa.schema([*_RELATION, ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())), ("words", pa.binary())])
+_PHRASES = pa.schema([*_RELATION, ("ids", pa.binary())])
 #: How often a block has a phrase, which has a number there.
 _GROUP = [("block", pa.int64()), ("member", pa.int32()), ("n", pa.int64())]
 _WORD_GROUPS = pa.schema([*_GROUP, ("lang", pa.string()), ("word", pa.string())])
@@ -63,63 +63,85 @@ class _Numbers(dict):
         return n
 
 
-def _row(schema: pa.Schema, block: int, places: np.ndarray, *columns) -> pa.RecordBatch:
+def _packed(values: np.ndarray | bytes, kind: type = np.int32) -> bytes:
+    """Compressed bytes, with their number in front."""
+    data = values if isinstance(values, bytes) else np.ascontiguousarray(values, kind).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _bytes(cell: bytes) -> bytes:
+    return pa.decompress(cell[8:], int.from_bytes(cell[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _array(cell: bytes, kind: type = np.int32) -> np.ndarray:
+    return np.frombuffer(_bytes(cell), kind)
+
+
+def _row(schema: pa.Schema, block: int, places: np.ndarray, members: np.ndarray, *more) -> pa.RecordBatch:
     """A block's relation."""
-    lists = [pa.array([c], f.type) for c, f in zip((np.diff(places, prepend=0), *columns), list(schema)[1:])]
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *lists], schema=schema)
+    cells = [block, _packed(np.diff(places, prepend=0)), _packed(members), *more]
+    return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, schema)], schema=schema)
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The occurrences of single words, block by block, with the words that each block has."""
+    """The occurrences of single words, block by block, with the words that each block has of each language."""
     from pyspark import TaskContext
 
     block = TaskContext.get().partitionId() << 32
     for whole in batches:
         for batch in text_runs(whole, "text", BLOCK_BYTES):
-            words, langs, places, found = [], [], [], []
+            words, places, found = [], [], []
             by_lang: dict[str, _Numbers] = {}
             at = 0
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
                 tokens = text.encode().lower().translate(_TABLE).replace(b".", b" . ").split()
                 numbers = by_lang.setdefault(lang, _Numbers(words))
                 mine = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-                langs += [lang] * (len(words) - len(langs))
                 inside = np.flatnonzero(mine != numbers.get(_END, -1))
                 places.append(inside + at)
                 found.append(mine[inside])
                 at += len(tokens) + 1
-            # Ends of pieces had numbers too; close the gaps.
-            used, members = np.unique(np.concatenate(found), return_inverse=True)
-            used = used.tolist()
-            yield _row(_WORDS, block, np.concatenate(places), members, [langs[i] for i in used], [words[i].decode() for i in used])
+            for numbers in by_lang.values():
+                numbers.pop(_END, None)
+            order = np.fromiter((n for numbers in by_lang.values() for n in numbers.values()), np.int64)
+            member = np.empty(len(words), np.int64)
+            member[order] = np.arange(len(order))
+            vocabulary = b"\n".join([w for numbers in by_lang.values() for w in numbers])
+            yield _row(
+                _WORDS, block, np.concatenate(places), member[np.concatenate(found)],
+                list(by_lang), [len(numbers) for numbers in by_lang.values()], _packed(vocabulary),
+            )
             block += 1
 
 
 def _word_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i in range(len(batch)):
-            block, langs, words = (batch[c].slice(i, 1).flatten() for c in ("members", "langs", "words"))
-            counts = np.bincount(block.to_numpy(), minlength=len(words))
-            own = pa.array(np.full(len(words), batch["block"][i].as_py()))
-            yield pa.RecordBatch.from_arrays([own, pa.array(np.arange(len(words), dtype=np.int32)), pa.array(counts), langs, words], schema=_WORD_GROUPS)
-
-
-def _joined(steps: pa.Array, members: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        for row in batch.to_pylist():
+            size = sum(row["sizes"])
+            if not size:
+                continue
+            words = pa.array(_bytes(row["words"]).decode().split("\n"), pa.string())
+            langs = pa.array(np.repeat(np.array(row["langs"], object), row["sizes"]), pa.string())
+            counts = np.bincount(_array(row["members"]), minlength=size)
+            own = [pa.array(x) for x in (np.full(size, row["block"]), np.arange(size, dtype=np.int32), counts)]
+            yield pa.RecordBatch.from_arrays([*own, langs, words], schema=_WORD_GROUPS)
+
+
+def _joined(steps: bytes, members: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A relation merge-joined with itself at the next place: the places of all pairs, which
     distinct pair is at each, how often that comes, and its two phrases' numbers in the block."""
-    places, members = np.cumsum(steps.to_numpy(), dtype=np.int64), members.to_numpy().astype(np.int64)
+    places, member = np.cumsum(_array(steps), dtype=np.int64), _array(members).astype(np.int64)
     at = np.flatnonzero(np.diff(places) == 1)
-    size = int(members.max(initial=0)) + 1
-    pairs, member, counts = np.unique(members[at] * size + members[at + 1], return_inverse=True, return_counts=True)
-    return places[at], member, counts, *np.divmod(pairs, size)
+    size = int(member.max(initial=0)) + 1
+    pairs, joined, counts = np.unique(member[at] * size + member[at + 1], return_inverse=True, return_counts=True)
+    return places[at], joined, counts, *np.divmod(pairs, size)
 
 
 def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i in range(len(batch)):
-            steps, members, ids = (batch[c].slice(i, 1).flatten() for c in ("steps", "members", "ids"))
-            _, _, counts, head, tail = _joined(steps, members)
-            ids, own = ids.to_numpy(), np.full(len(counts), batch["block"][i].as_py())
+        for row in batch.to_pylist():
+            _, _, counts, head, tail = _joined(row["steps"], row["members"])
+            ids, own = _array(row["ids"], np.int64), np.full(len(counts), row["block"])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own, np.arange(len(counts), dtype=np.int32), counts, ids[head], ids[tail])], schema=_PAIR_GROUPS)
 
 
@@ -129,16 +151,17 @@ def _kept(words: bool):
     def keep(key: tuple[pa.Scalar, ...], relation: pa.Table, frequent: pa.Table) -> pa.Table:
         if not len(relation) or not len(frequent):
             return _PHRASES.empty_table()
-        steps, members = (relation[c].combine_chunks().flatten() for c in ("steps", "members"))
+        steps, members = relation["steps"][0].as_py(), relation["members"][0].as_py()
         if words:
-            places, member = np.cumsum(steps.to_numpy(), dtype=np.int64), members.to_numpy()
+            places, member = np.cumsum(_array(steps), dtype=np.int64), _array(members)
         else:
             places, member = _joined(steps, members)[:2]
         order = np.argsort(np.asarray(frequent["member"]))
         place = np.full(int(member.max()) + 1, -1, np.int64)
         place[np.asarray(frequent["member"])[order]] = np.arange(len(order))
         left = np.flatnonzero(place[member] >= 0)
-        return pa.Table.from_batches([_row(_PHRASES, key[0].as_py(), places[left], place[member[left]], np.asarray(frequent["id"])[order])])
+        ids = _packed(np.asarray(frequent["id"])[order], np.int64)
+        return pa.Table.from_batches([_row(_PHRASES, key[0].as_py(), places[left], place[member[left]], ids)])
 
     return keep
 
