@@ -35,10 +35,11 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Text bytes of a block.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Frequent phrases are broadcast to the groups up to this many (a few dozen bytes each); more take a shuffle join.
 BROADCAST_PHRASES = 500_000
 
+_ZSTD = pa.Codec("zstd", compression_level=3)
 _END = b"."
 _TABLE = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
 #: Steps from place to place, and which of the block's phrases is at each. Arrays are packed: Spark only carries them.
@@ -64,17 +65,21 @@ class _Numbers(dict):
 
 
 def _packed(values: np.ndarray | bytes, kind: type = np.int32) -> bytes:
-    """Compressed bytes, with their number in front."""
-    data = values if isinstance(values, bytes) else np.ascontiguousarray(values, kind).tobytes()
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+    """Compressed bytes, with their number in front; of an array, all lowest bytes come first, then the next ones."""
+    if isinstance(values, bytes):
+        data = values
+    else:
+        data = np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes()
+    return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True)
 
 
 def _bytes(cell: bytes) -> bytes:
-    return pa.decompress(cell[8:], int.from_bytes(cell[:8], "little"), codec="zstd", asbytes=True)
+    return _ZSTD.decompress(cell[8:], int.from_bytes(cell[:8], "little"), asbytes=True)
 
 
 def _array(cell: bytes, kind: type = np.int32) -> np.ndarray:
-    return np.frombuffer(_bytes(cell), kind)
+    planes = np.frombuffer(_bytes(cell), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _row(schema: pa.Schema, block: int, places: np.ndarray, members: np.ndarray, *more) -> pa.RecordBatch:
