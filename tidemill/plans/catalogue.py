@@ -6,7 +6,7 @@ import importlib
 
 from tidemill.plans.registry import QUERIES, SQL
 
-MODULES = ("q_warehouse", "q_roundtrip", "q_relational", "q_analytics", "q_text", "q_models")
+MODULES = ("q_warehouse", "q_roundtrip", "q_relational", "q_analytics", "q_text", "q_models", "q_judged")
 for _name in MODULES:
     importlib.import_module(f"tidemill.plans.{_name}")
 

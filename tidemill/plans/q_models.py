@@ -337,17 +337,22 @@ def _term_sets(t, hi):
     return lists, vocab
 
 
-@query("text_logreg")
-def text_logreg(t):
+def text_scored(t):
+    """Training rows and scored validation rows of logistic regression on 0/1 word n-grams."""
     lists, vocab = _term_sets(t, 3)
     rows = M.term_vectors(lists, vocab, binary=True)
-    model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
-    return M.metrics_classification(model.transform(rows.where("is_valid")), "y", "prediction")
+    train = rows.where("not is_valid")
+    return train, M.fit_logistic(train, "y", 0.1).transform(rows.where("is_valid"))
 
 
-@query("nb_logreg")
-def nb_logreg(t):
-    """Trigrams weighted by their log-count ratio; the fitted weights are pulled towards their mean size."""
+@query("text_logreg")
+def text_logreg(t):
+    return M.metrics_classification(text_scored(t)[1], "y", "prediction")
+
+
+def nb_scored(t):
+    """Training rows and scored validation rows of trigrams weighted by their log-count ratio;
+    the fitted weights are pulled towards their mean size."""
     lists, vocab = _term_sets(t, 3)
     train = lists.where("not is_valid")
     held = train.select("doc_id", F.explode(F.array_distinct("terms")).alias("term"), F.lit(1).cast("bigint").alias("n"))
@@ -356,7 +361,12 @@ def nb_logreg(t):
     rows = M.term_vectors(train, vocab, True, weights)
     pulled, intercept = M.interpolated(M.fit_logistic(rows, "y", 0.1), 0.25)
     scored = M.linear_scores(lists.where("is_valid"), "doc_id", vocab, [w * weights[v] for v, w in zip(vocab, pulled)], intercept)
-    return M.metrics_classification(scored.join(lists.select("doc_id", "y"), "doc_id"), "y", "prediction")
+    return train, scored.join(lists.select("doc_id", "y"), "doc_id")
+
+
+@query("nb_logreg")
+def nb_logreg(t):
+    return M.metrics_classification(nb_scored(t)[1], "y", "prediction")
 
 
 @query("session_clf")
