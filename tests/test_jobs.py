@@ -91,10 +91,10 @@ def test_ingest_stream_is_idempotent(spark, rows, tmp_path):
     run = lambda: jobs.ingest_stream(jobs.file_stream(spark, src, "id int, v string"), out, cp, ["id"], None).awaitTermination()
     run()
     run()
-    assert rows(spark.read.parquet(out)) == [(1, "a")]
+    assert rows(spark.read.parquet(out), "id", "v") == [(1, "a")]
     spark.createDataFrame([(1, "z"), (2, "b")], "id int, v string").write.mode("append").parquet(src)
     run()
-    assert rows(spark.read.parquet(out)) == [(1, "a"), (2, "b")]
+    assert rows(spark.read.parquet(out), "id", "v") == [(1, "a"), (2, "b")]
 
 
 def test_upsert_batches_replay(spark, rows, tmp_path):
@@ -114,14 +114,46 @@ def test_bounded_ingest(spark, rows, tmp_path):
     assert spark.read.parquet(out).count() == 1
 
 
-def test_store_reads_touched_buckets_only(spark, rows, tmp_path):
+def test_late_rows_are_loaded_once(spark, rows, tmp_path):
+    """A file two months late: its new rows come in, its copies of old and of recent rows do not; also when a batch runs again."""
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    day = lambda n: dt.datetime(2020, 1, 1) + dt.timedelta(n)
+    run = lambda: jobs.ingest_stream(jobs.file_stream(spark, src, "id int, ts timestamp"), out, cp, ["id"], "ts", "30 days").awaitTermination()
+    files = [
+        [(1, day(0)), (2, day(1)), (2, day(1))],
+        [(3, day(100)), (4, day(101)), (1, day(0))],  # the copy of 1 is late
+        [(5, day(40)), (2, day(1)), (6, None), (4, day(101)), (7, day(102))],  # 5 is two months late
+        [(5, day(40)), (6, None), (3, day(99)), (8, day(5))],
+    ]
+    want = [{1, 2}, {1, 2, 3, 4}, {1, 2, 3, 4, 5, 6, 7}, {1, 2, 3, 4, 5, 6, 7, 8}]
+    for part, ids in zip(files, want):
+        spark.createDataFrame(part, "id int, ts timestamp").coalesce(1).write.mode("append").parquet(src)
+        run()
+        assert rows(spark.read.parquet(out), "id") == [(i,) for i in sorted(ids)]
+    run()
+    assert spark.read.parquet(out).count() == 8
+    again = spark.createDataFrame(files[3], "id int, ts timestamp")
+    jobs.store.append_timed(jobs.store.hashed(again, ["id"]), 3, out, ["id"], "ts", "30 days")
+    assert rows(spark.read.parquet(out), "id") == [(i,) for i in range(1, 9)]
+
+
+@pytest.mark.parametrize("listed", [2_000, 5])
+def test_store_reads_touched_buckets_only(spark, rows, tmp_path, monkeypatch, listed):
+    """Large batches are cut finer; a batch of few keys reads few of their files, and finds its repeated key."""
+    monkeypatch.setattr(jobs.store, "BUCKET_ROWS", 500)
+    monkeypatch.setattr(jobs.store, "LISTED", listed)
     out = str(tmp_path / "u")
-    for batch in range(3):
-        jobs.upsert_batch(spark.range(batch * 10, batch * 10 + 20).withColumn("t", F.lit(batch)), batch, out, ["id"], [F.desc("t")])
-    assert rows(spark.read.parquet(out).select("id")) == [(i,) for i in range(40)]
-    kept = jobs._stored(spark, out, 9, [3], spark.range(0).withColumn("t", F.lit(0)))
-    plan = kept._jdf.queryExecution().toString()
-    assert "PartitionFilters" in plan and 0 < kept.count() < 10
+    newest = [F.desc("t")]
+    jobs.upsert_batch(spark.range(20_000).withColumn("t", F.lit(0)), 0, out, ["id"], newest)
+    jobs.upsert_batch(spark.range(19_990, 20_400).withColumn("t", F.lit(1)), 1, out, ["id"], newest)
+    few = jobs.store.hashed(spark.range(20_398, 20_404).withColumn("t", F.lit(2)), ["id"])
+    kept = jobs.store.stored(spark, out, 2, few)
+    files = lambda df: df._jdf.queryExecution().sparkPlan().collectLeaves().head().selectedPartitions().totalNumberOfFiles()
+    assert files(kept) >= 65 and files(jobs.store.around(kept, few)) <= (8 if listed > 5 else 70)
+    assert {r["depth"] for r in kept.select("depth").distinct().collect()} == {0, 6}
+    jobs.upsert_batch(few.drop("_k"), 2, out, ["id"], newest)
+    assert rows(spark.read.parquet(out).select("id")) == [(i,) for i in range(20_404)]
+    assert rows(spark.read.parquet(out).where("t = 2").select("id")) == [(i,) for i in range(20_400, 20_404)]
 
 
 def test_star_stream_keeps_latest_user_and_all_tables(spark, rows, tmp_path):

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions import vectors as V
 from tidemill.operators.modelling import fit_als
 from tidemill.operators.scale import attach
 from tidemill.session import discard, materialise
@@ -18,8 +18,8 @@ from tidemill.session import discard, materialise
 class BiasFactors:
     """rating = mean + user bias + item bias + user factors . item factors, within [lo, hi].
 
-    ``users`` and ``items`` hold a bias and the number of ratings it comes from. A user or
-    item that was not rated in training has no bias and no factors.
+    ``users`` and ``items`` hold a bias, factors (``_p``, ``_q``; null if there are none) and the
+    number of ratings both come from. A user or item that was not rated in training has neither.
     """
 
     user: str
@@ -29,17 +29,12 @@ class BiasFactors:
     hi: float
     users: DataFrame
     items: DataFrame
-    factors: ALSModel | None
 
     def parts(self, rows: DataFrame) -> DataFrame:
         """The rows with ``_bu``, ``_bi`` and ``_f``, the three parts that add up to the mean."""
         out = attach(attach(rows, self.users, [self.user], "_n").drop("_n"), self.items, [self.item], "_n").drop("_n")
-        out = out.fillna(0.0, ["_bu", "_bi"])
-        if self.factors is None:
-            return out.withColumn("_f", F.lit(0.0))
-        # A factor that is not there gives NaN.
-        scored = self.factors.setColdStartStrategy("nan").setPredictionCol("_f").transform(out)
-        return scored.withColumn("_f", F.nanvl(F.col("_f").cast("double"), F.lit(0.0)))
+        product = F.when(F.col("_p").isNotNull() & F.col("_q").isNotNull(), V.dot(V.doubles(F.col("_p")), V.doubles(F.col("_q"))))
+        return out.fillna(0.0, ["_bu", "_bi"]).withColumn("_f", F.coalesce(product, F.lit(0.0))).drop("_p", "_q")
 
     def predict(self, rows: DataFrame, out: str = "predicted") -> DataFrame:
         raw = F.lit(self.mean) + F.col("_bu") + F.col("_bi") + F.col("_f")
@@ -70,15 +65,17 @@ def fit_bias_factors(
         users = materialise(_biases(now, user, left - F.col("_bi"), bias_penalty, "_bu"))
         with_user = attach(now.drop("_bi"), users, [user], "_n").drop("_n")
         items = materialise(_biases(with_user, item, left - F.col("_bu"), bias_penalty, "_bi"))
-        factors = None
+        own = [users.withColumn("_p", F.lit(None).cast("array<float>")), items.withColumn("_q", F.lit(None).cast("array<float>"))]
         if rank:
             both = attach(with_user, items, [item], "_n").drop("_n")
             residuals = materialise(both.select(user, item, (F.col("_y") - F.lit(mean) - F.col("_bu") - F.col("_bi")).cast("float").alias("_r")))
-            factors = fit_als(residuals, user, item, "_r", rank, iterations, penalty, seed)
+            fit = fit_als(residuals, user, item, "_r", rank, iterations, penalty, seed)
+            named = lambda f, key, out: f.select(F.col("id").alias(key), F.col("features").alias(out))
+            own = [users.join(named(fit.userFactors, user, "_p"), user, "left"), items.join(named(fit.itemFactors, item, "_q"), item, "left")]
             discard(residuals)
-        before, model = model, BiasFactors(user, item, mean, lo, hi, users, items, factors)
+        before, model = model, BiasFactors(user, item, mean, lo, hi, materialise(own[0]), materialise(own[1]))
         after = materialise(model.parts(now.drop("_bi", "_f")).select(user, item, "_y", "_bi", "_f"))
-        discard(now, *((before.users, before.items) if before else ()))
+        discard(now, users, items, *((before.users, before.items) if before else ()))
         now = after
     discard(now)
     return model

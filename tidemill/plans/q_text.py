@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from tidemill.functions import strings
 from tidemill.functions import vectors as V
 from tidemill.operators import boxes as B
+from tidemill.operators import approximate as X
 from tidemill.operators import nearest as N
 from tidemill.operators import text as T
 from tidemill.operators.aggregates import argmax_group
 from tidemill.plans.registry import query
-from tidemill.session import materialise
+from tidemill.session import materialise, scratch_dir
 
 TOK = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')"
 WS = r"list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
@@ -337,6 +338,21 @@ def knn_l2(t):
     return N.knn(t.embeddings, t.embeddings, 5, "l2", exclude_self=True).withColumn("distance", F.round("distance", 6))
 
 
+@query(
+    "knn_approx",
+    """select count(*) filter (where vec_id % 10 = 0) as n_queries, count(*) as n_base, 10 * count(*) filter (where vec_id % 10 = 0) as n_found,
+              true as found_nine_tenths from embeddings""",
+)
+def knn_approx(t):
+    """Search in a stored index, with as many probes as a trial asks for, held against exact search."""
+    base, asked = t.embeddings, t.embeddings.where("vec_id % 10 = 0")
+    index = X.build_index(base, scratch_dir(t.spark, "index"), "cosine")
+    found = materialise(X.search(index, asked, 10, X.choose_probes(index, base, asked, 10)))
+    good = X.recall(found, N.knn(asked, base, 10, "cosine")) >= 0.9
+    sizes = base.agg(F.count_if(F.col("vec_id") % 10 == 0).alias("n_queries"), F.count(F.lit(1)).alias("n_base"))
+    return sizes.join(found.agg(F.count(F.lit(1)).alias("n_found"))).withColumn("found_nine_tenths", F.lit(good))
+
+
 @query(
     "knn_mean_query",
     """with q as (select label, list_transform(list_zip(arg_min(embedding, vec_id), arg_max(embedding, vec_id)),

@@ -518,6 +518,35 @@ def stream_upsert(t):
     return t.spark.read.parquet(out).select("user_id", "event_id", "value")
 
 
+def _deliveries(t, name: str, parts, run):
+    """Write each part of the events into one folder and let ``run`` take what is new."""
+    out = scratch_dir(t.spark, name)
+    for part in parts:
+        part.write.mode("append").parquet(out + "-src")
+        run(jobs.file_stream(t.spark, out + "-src", t.events.schema), out).awaitTermination()
+    return t.spark.read.parquet(out)
+
+
+@query("stream_late", "select event_id, user_id, event_type, value from events")
+def stream_late(t):
+    """The newest events come first; then all of them, most of them late, the first ones again."""
+    parts = [t.events.where("ts >= timestamp_ntz '2024-01-20 00:00:00'"), t.events]
+    got = _deliveries(t, "late", parts, lambda rows, out: jobs.ingest_stream(rows, out, out + "-cp", ["event_id"], "ts", "5 days"))
+    return got.select("event_id", "user_id", "event_type", "value")
+
+
+@query(
+    "stream_upsert_twice",
+    """select user_id, event_id, value from (
+         select *, row_number() over (partition by user_id order by event_id % 7 <> 0, ts desc, event_id desc) as rn from events) where rn = 1""",
+)
+def stream_upsert_twice(t):
+    """Two deliveries with the same users: what is stored stays, new users come in."""
+    parts = [t.events.where("event_id % 7 = 0"), t.events.where("event_id % 7 <> 0")]
+    got = _deliveries(t, "twice", parts, lambda rows, out: jobs.upsert_stream(rows, out, out + "-cp", ["user_id"], _newest()))
+    return got.select("user_id", "event_id", "value")
+
+
 @query(
     "stream_star",
     f"""with {_STAR} select 'songplays' as table_name, count(*) as n from fact union all select 'users', count(distinct userid) from ev

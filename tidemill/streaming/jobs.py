@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.scale import top_per_key
 from tidemill.plans import star
-from tidemill.session import materialise
+from tidemill.session import discard, materialise
+from tidemill.streaming import store
 
 
 def file_stream(spark: SparkSession, src: str, schema, fmt: str = "parquet", pattern: str | None = None) -> DataFrame:
@@ -22,30 +21,28 @@ def file_stream(spark: SparkSession, src: str, schema, fmt: str = "parquet", pat
     return reader.load(src)
 
 
-#: Parts of a key store; a batch reads only those that its keys fall into.
-BUCKETS = 64
-
-
 def ingest_stream(
     rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str], event_time: str | None, bound: str = "30 days"
 ) -> StreamingQuery:
-    """Append rows of new files once; repeated keys are dropped.
+    """Append rows of new files once; rows whose keys are stored are left out.
 
-    The checkpoint remembers the files already read. Keys are remembered within
-    ``bound`` of event time, which bounds the state; with ``event_time`` None,
-    which has to be said, they are remembered for ever.
+    The checkpoint remembers the files already read. Copies of a row are looked for within
+    ``bound`` of event time, and, for rows that come later than that, by their keys in the
+    whole table, so that a late file is loaded once too. With ``event_time`` None, which
+    has to be said, all rows are looked for by their keys. A batch that runs again
+    replaces what it wrote.
     """
-    if event_time:
-        kind = rows.schema[event_time].dataType
-        rows = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
-        rows = rows.withWatermark(event_time, bound).dropDuplicatesWithinWatermark(list(keys))
-        rows = rows.withColumn(event_time, F.col(event_time).cast(kind))
-    else:
-        rows = rows.dropDuplicates(list(keys))
-    return (
-        rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+
+    def each(df: DataFrame, batch_id: int) -> None:
+        first = [F.col(c) for c in ([event_time] if event_time else []) + [c for c in df.columns if c != event_time]]
+        batch = materialise(store.hashed(top_per_key(df, list(keys), first), keys))
+        if event_time:
+            store.append_timed(batch, batch_id, out, keys, event_time, bound)
+        else:
+            store.append_unseen(batch, batch_id, out, keys)
+        discard(batch)
+
+    return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -53,32 +50,11 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-
-
-def _stored(spark: SparkSession, path: str, batch_id: int, touched: Sequence[int], like: DataFrame) -> DataFrame:
-    """Rows of earlier batches in the given buckets; a replayed batch does not see its own output."""
-    wide = T.StructType([*like.schema.fields, T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())])
-    try:
-        kept = spark.read.schema(wide).parquet(path).where((F.col("batch") < batch_id) & F.col("bucket").isin(list(touched)))
-        return kept.drop("batch", "bucket")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return like.limit(0)
-
-
 def upsert_batch(df: DataFrame, batch_id: int, out: str, keys: Sequence[str], newest: Sequence[Column]) -> None:
-    """Append keys not stored before; within the batch the newest row wins.
-
-    The store is partitioned by batch and by a hash of the key.
-    """
-    batch = materialise(top_per_key(df, list(keys), newest).withColumn("bucket", _bucket(keys)))
-    touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]  # BUCKETS at most
-    old = _stored(df.sparkSession, out, batch_id, touched, df).select(*keys)
-    fresh = batch.join(old, list(keys), "left_anti").select(*df.columns, "bucket")
-    fresh.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/batch={batch_id}")
+    """Append keys not stored before; within the batch the newest row wins."""
+    batch = materialise(store.hashed(top_per_key(df, list(keys), newest), keys))
+    store.append_unseen(batch, batch_id, out, keys)
+    discard(batch)
 
 
 def upsert_stream(rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str], newest: Sequence[Column]) -> StreamingQuery:
