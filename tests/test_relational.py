@@ -44,7 +44,9 @@ def test_join_rounded_and_lookup(spark, rows):
     assert rows(got, "d") == [(0.0,)]
 
 
-def test_common_neighbours_with_hub(spark, rows):
+@pytest.mark.parametrize("light", [J.LIGHT, 2, 0])
+def test_common_neighbours_with_hub(spark, rows, monkeypatch, light):
+    monkeypatch.setattr(J, "LIGHT", light)
     hub = [("h", f"n{i}") for i in range(40)]
     edges = spark.createDataFrame(hub + [("a", "n1"), ("a", "n2"), ("a", "z")], "src string, dst string")
     pairs = spark.createDataFrame([("h", "a"), ("a", "h"), ("h", "x"), ("n1", "n2")], "a string, b string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +64,24 @@ def pivot_sum(df: DataFrame, row: str, col: str, val: Column, values: Sequence |
     return df.groupBy(row).pivot(col, list(values) if values else None).agg(F.sum(val))
 
 
+def pivot_totals(df: DataFrame, levels: Sequence[str], col: str, val: Column, names: Mapping) -> DataFrame:
+    """Sums of ``val`` per value of ``col`` (``names`` gives each value its column) and their total, for the
+    groups of all ``levels``, of all but the last, and so on to the whole, which are told by ``level``, the
+    number of columns they are grouped by; ``place`` ranks the groups of a level by their total
+    (null where there is nothing to sum).
+
+    Sums per cell are taken first, so the grouping sets expand cells and not rows.
+    """
+    levels = list(levels)
+    cells = df.where(F.col(col).isin(list(names))).groupBy(*levels, col).agg(F.sum(val).alias("_s"))
+    sums = [F.sum(F.when(F.col(col) == v, F.col("_s"))).alias(n) for v, n in names.items()]
+    depth = sum((1 - F.grouping(c).cast("int") for c in levels), F.lit(0))
+    out = materialise(cells.rollup(*levels).agg(depth.alias("level"), *sums, F.sum("_s").alias("total")))
+    run = ordered_scan(out.groupBy("level", "total").agg(_count()), [F.desc("total")], {"_upto": F.col("n")}, ["level"])
+    places = run.select("level", "total", (F.col("_upto") - F.col("n") + 1).alias("place"), "n")
+    return attach(out, places, ["level", "total"], "n").drop("n")
+
+
 def constant_groups(df: DataFrame, key: str, col: str) -> DataFrame:
     """Keys with exactly one distinct value; min = max needs no distinct pass."""
     lo_hi = df.groupBy(key).agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
@@ -201,24 +219,28 @@ def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(F.corr(a, b).alias("r"))
 
 
-def average_ranks(df: DataFrame, col: str) -> DataFrame:
-    """(value, rank, n): mean rank of each distinct value."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(_count())
-    run = ordered_scan(counts, [F.col("value")], {"_upto": F.col("n")})
-    return run.select("value", (F.col("_upto") - (F.col("n") - 1) / 2).alias("rank"), "n")
+def average_ranks(counts: DataFrame, col: str) -> DataFrame:
+    """(col, value, rank, n): mean rank of each value of each column, from counts (col, value, n)."""
+    run = ordered_scan(counts, [F.col("value")], {"_upto": F.col("n")}, [col])
+    return run.select(col, "value", (F.col("_upto") - (F.col("n") - 1) / 2).alias("rank"), "n")
 
 
 def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(a, b, rho) for every column pair: correlation of average ranks.
 
-    Value pairs are counted before ranks are attached, so repeated pairs travel once.
+    Combinations of values are counted first, so repeated ones travel once. All columns are ranked
+    together, in long form and one range scan, so there are as many shuffles for
+    two columns as for two hundred. The columns share a numeric type, or are
+    compared in the one that Spark gives an array of them.
     """
-    rows = df.dropna(subset=list(cols)).groupBy(*cols).agg(_count("_w"))
-    for c in cols:
-        stats = average_ranks(df.dropna(subset=list(cols)), c).select(
-            F.col("value").alias(c), F.col("rank").alias(f"_rank_{c}"), F.col("n").alias("_n")
-        )
-        rows = attach(rows, stats, [c], "_n").drop("_n")
+    cols = list(cols)
+    counted = df.dropna(subset=cols).groupBy(*cols).agg(_count("_w"))
+    rows = materialise(counted.select(F.monotonically_increasing_id().alias("_id"), "_w", F.array(*cols).alias("_values")))
+    long = rows.select("_id", "_w", F.posexplode("_values").alias("_c", "value"))
+    ranks = average_ranks(long.groupBy("_c", "value").agg(F.sum("_w").alias("n")), "_c")
+    ranked_rows = attach(long, ranks, ["_c", "value"], "n")
+    wide = [F.max(F.when(F.col("_c") == i, F.col("rank"))).alias(f"_rank_{c}") for i, c in enumerate(cols)]
+    rows = ranked_rows.groupBy("_id").agg(F.first("_w").alias("_w"), *wide)
     w = F.col("_w")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
     total = F.sum(w)

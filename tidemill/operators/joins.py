@@ -123,11 +123,18 @@ def block_grid(df: DataFrame, block: str, a: str, b: str, measure: Column, out:
     return left.join(right, block).join(sums, [block, a, b], "left").fillna(0, [out])
 
 
+#: Neighbours of a node that are gathered into one list, at most (8 bytes each).
+LIGHT = 4096
+
+
 def common_neighbours(edges: DataFrame, pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Number of shared neighbours of each given pair (columns ``a``, ``b``).
 
-    Edges are undirected. Only the given pairs are scored, and each is expanded
-    over its lower-degree end, so one hub does not multiply the work.
+    Edges are undirected. Only the given pairs are scored. The neighbours of nodes with up to
+    ``LIGHT`` of them are kept as lists: the list of the end with fewer goes with the
+    pair to the other end, where both lists are intersected; no neighbour is a row.
+    Pairs with a heavier end, whose lists are not gathered, are expanded over the end with
+    fewer neighbours, so one hub does not multiply the work.
     """
     both = (
         edges.select(F.col(src).alias("node"), F.col(dst).alias("peer"))
@@ -144,11 +151,17 @@ def common_neighbours(edges: DataFrame, pairs: DataFrame, src: str = "src", dst:
         )
         sized = attach(sized, stats, [end], "_n").drop("_n")
     swap = F.coalesce("deg_b", F.lit(0)) < F.coalesce("deg_a", F.lit(0))
+    most = F.greatest("deg_a", "deg_b")  # of the one that is known, if one has no edges
     small = sized.select(
         "a", "b", F.when(swap, F.col("b")).otherwise(F.col("a")).alias("node"),
-        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("other"),
+        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("other"), (F.coalesce(most, F.lit(0)) <= LIGHT).alias("light"),
     )
-    walked = small.join(both, "node").select("a", "b", F.col("other").alias("node"), "peer")
+    light = both.join(degree.where(F.col("deg") <= LIGHT).select("node"), "node").groupBy("node").agg(F.collect_list("peer").alias("peers"))
+    mine = light.select("node", F.col("peers").alias("mine"))
+    theirs = light.select(F.col("node").alias("other"), F.col("peers").alias("theirs"))
+    met = small.where("light").join(mine, "node").join(theirs, "other")
+    few = met.select("a", "b", F.size(F.array_intersect("mine", "theirs")).cast("bigint").alias("common"))
+    walked = small.where("not light").join(both, "node").select("a", "b", F.col("other").alias("node"), "peer")
     hits = walked.join(both, ["node", "peer"], "left_semi")
-    counts = hits.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    counts = few.unionByName(hits.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")))
     return p.join(counts, ["a", "b"], "left").fillna(0, ["common"])

@@ -119,6 +119,43 @@ def category_revenue(t):
     return p.select(F.col("p_type").alias("category"), *[F.col(str(m)).cast("double").alias(name) for m, name in summer.items()])
 
 
+@query(
+    "category_totals",
+    """with f as (select p_brand, p_type, month(o_orderdate) as m, cast(l_extendedprice as decimal(18,2)) as price
+                  from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
+                  where year(o_orderdate) = 1999 and month(o_orderdate) between 6 and 8),
+            g as (select p_brand, p_type, 2 - grouping(p_brand) - grouping(p_type) as level, sum(case when m = 6 then price end) as june,
+                         sum(case when m = 7 then price end) as july, sum(case when m = 8 then price end) as august, sum(price) as total
+                  from f group by rollup (p_brand, p_type))
+       select p_brand as brand, p_type as category, level::bigint as level, june::double as june, july::double as july, august::double as august,
+              total::double as total, rank() over (partition by level order by total desc) as place from g""",
+)
+def category_totals(t):
+    """Brands and their categories by summer revenue, with the sums of each brand and of all; place 1 is the best of its level."""
+    o = t.orders.where(F.year("o_orderdate") == 1999).select("o_orderkey", F.month("o_orderdate").alias("m"))
+    l = t.lineitem.select("l_orderkey", "l_partkey", cents("l_extendedprice").alias("price"))
+    p = t.part.select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_type").alias("category"))
+    df = join_on(join_on(l, o, [("l_orderkey", "o_orderkey")]), p, [("l_partkey", "p_partkey")])
+    got = A.pivot_totals(df, ["brand", "category"], "m", F.col("price"), {6: "june", 7: "july", 8: "august"})
+    money = {c: F.col(c).cast("double") for c in ("june", "july", "august", "total")}
+    return got.withColumns({**money, "level": F.col("level").cast("bigint")})
+
+
+@query(
+    "best_category",
+    """select category, revenue from (select p_type as category, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as revenue
+         from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
+         where o_orderdate >= date '1999-06-01' and o_orderdate < date '1999-09-01' group by 1) qualify rank() over (order by revenue desc) = 1""",
+)
+def best_category(t):
+    """The category with the greatest revenue from June to August."""
+    o = t.orders.where("year(o_orderdate) = 1999").select("o_orderkey", F.month("o_orderdate").alias("m"))
+    l = t.lineitem.select("l_orderkey", "l_partkey", cents("l_extendedprice").alias("price"))
+    df = join_on(join_on(l, o, [("l_orderkey", "o_orderkey")]), t.part.select("p_partkey", "p_type"), [("l_partkey", "p_partkey")])
+    got = A.pivot_totals(df, ["p_type"], "m", F.col("price"), {6: "june", 7: "july", 8: "august"})
+    return got.where("level = 1 and place = 1").select(F.col("p_type").alias("category"), F.col("total").cast("double").alias("revenue"))
+
+
 @query(
     "constant_price",
     "select l_orderkey from lineitem group by 1 having count(distinct l_discount) = 1",

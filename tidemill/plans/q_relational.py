@@ -802,6 +802,22 @@ def sales_grid(t):
     return J.block_grid(f, "month", "shop", "item", F.sum("l_quantity"), "target")
 
 
+@query(
+    "item_grid",
+    """with f as (select strftime(l_shipdate, '%Y-%m') as m, l_suppkey as shop, l_partkey as item, l_quantity as q from lineitem
+                  where l_shipdate >= date '1998-09-01' and l_shipdate < date '1998-11-01'),
+            s as (select m, shop, item, sum(q) as target from f group by 1, 2, 3),
+            a as (select distinct m, shop from s), b as (select distinct m, item from s)
+       select a.m as month, a.shop, b.item, coalesce(s.target, 0) as target from a join b on a.m = b.m
+       left join s on s.m = a.m and s.shop = a.shop and s.item = b.item""",
+)
+def item_grid(t):
+    """Every shop and item of two months, with what was sold."""
+    l = t.lineitem.where("l_shipdate >= date '1998-09-01' and l_shipdate < date '1998-11-01'")
+    f = l.select(F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.col("l_suppkey").alias("shop"), F.col("l_partkey").alias("item"), "l_quantity")
+    return J.block_grid(f, "month", "shop", "item", F.sum("l_quantity"), "target")
+
+
 @query(
     "pair_leak",
     """with e as (select distinct o_custkey * 3 as n, l_partkey * 3 + 1 as p from orders join lineitem on o_orderkey = l_orderkey

@@ -136,10 +136,10 @@ def source_column(t):
 
 @query("parallel_lines", "select row_number() over (order by c_custkey) - 1 as line, c_name as a, c_mktsegment as b from customer")
 def parallel_lines(t):
-    """Two files read side by side, line by line."""
+    """Two sides in many files each, cut at different places, read side by side, line by line."""
     out = [scratch_dir(t.spark, n) for n in ("left", "right")]
-    for path, col in zip(out, ("c_name", "c_mktsegment")):
-        t.customer.orderBy("c_custkey").coalesce(1).select(col).write.text(path)
+    for path, col, parts in zip(out, ("c_name", "c_mktsegment"), (5, 8)):
+        t.customer.repartitionByRange(parts, "c_custkey").sortWithinPartitions("c_custkey").select(col).write.text(path)
     return files.zip_lines(t.spark, *out)
 
 

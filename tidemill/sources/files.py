@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.operators.scale import attach, ordered_scan, ranked
+from tidemill.operators.scale import attach, ordered_scan
+from tidemill.session import materialise
 
 
 def _reader(spark: SparkSession, recursive: bool, pattern: str | None):
@@ -140,11 +141,19 @@ def with_source_file(df: DataFrame, out: str = "file", folder: bool = False) ->
 
 
 def number_lines(spark: SparkSession, path: str, out: str) -> DataFrame:
-    """(line, text) of one text file, lines numbered from 0 in file order: by the
-    split a line lies in, then by its place in the split."""
-    at = [F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")]
-    lines = spark.read.text(path).select(*at, F.col("value").alias(out))
-    return ranked(lines, [F.col("_block"), F.col("_row")], "line").select((F.col("line") - 1).alias("line"), out)
+    """(line, text) of a text file or a folder of parts, lines numbered from 0 in the order of
+    the files' names and of the lines in them.
+
+    Files are read in blocks. A block's lines pass a task one after the other, so a line's place in
+    it is known as it is read; the lines of earlier blocks are added by prefix sums over one
+    row per block. No line is sorted or sent anywhere.
+    """
+    at = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")]
+    lines = materialise(spark.read.text(path).select(*at, F.col("value").alias(out)))
+    blocks = lines.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = ordered_scan(blocks, [F.col("_file"), F.col("_block")], {"_upto": F.col("_n")})
+    offsets = before.select("_file", "_block", (F.col("_upto") - F.col("_n") - F.col("_first")).alias("_shift"))
+    return lines.join(offsets, ["_file", "_block"]).select((F.col("_row") + F.col("_shift")).alias("line"), out)
 
 
 def zip_lines(spark: SparkSession, a: str, b: str) -> DataFrame:
