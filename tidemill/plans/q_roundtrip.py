@@ -27,7 +27,7 @@ def _as_text(t):
 def scan_json_tree(t):
     """JSON objects in a folder tree, by glob (S01): the tree of one status is left out."""
     root = scratch_dir(t.spark, "tree")
-    for name, kept in (("a/b/open", "o_orderstatus = 'O'"), ("a/c/done", "o_orderstatus = 'F'"), ("x/y/part", "o_orderstatus = 'P'")):
+    for name, kept in (("a/b/open", "o_orderstatus = 'O'"), ("a/c/done", "o_orderstatus not in ('O', 'P')"), ("x/y/part", "o_orderstatus = 'P'")):
         _orders(t).where(kept).write.json(f"{root}/{name}")
     return files.read_json(t.spark, f"{root}/a/*/*/*.json", _ORDER_SCHEMA)
 
@@ -73,7 +73,7 @@ def scan_recursive(t):
     root = scratch_dir(t.spark, "deep")
     keys = t.orders.select("o_orderkey", "o_orderstatus")
     keys.where("o_orderstatus = 'O'").drop("o_orderstatus").write.json(f"{root}/one")
-    keys.where("o_orderstatus = 'F'").drop("o_orderstatus").write.json(f"{root}/two/three/four")
+    keys.where("o_orderstatus not in ('O', 'P')").drop("o_orderstatus").write.json(f"{root}/two/three/four")
     keys.where("o_orderstatus = 'P'").drop("o_orderstatus").write.csv(f"{root}/two/other")
     return files.read_json(t.spark, root, "o_orderkey bigint", recursive=True, pattern="*.json")
 
