@@ -4,9 +4,13 @@ import hashlib
 import re
 import struct
 import zlib
+from collections import Counter
 from fractions import Fraction
 from math import log
 
+import duckdb
+import pyarrow as pa
+import regex
 import xxhash
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -144,39 +148,44 @@ def edit_distance(a, b):
 
 
 def line_form(line):
-    return " ".join(WORD8.findall(line.lower()))
-
-
-def line_print(form):
-    hashes = [xxhash.xxh64_intdigest(w, 42) for w in set(form.split(" "))]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def lines(docs, radius=3, similarity=0.8):
-    """doc_id, lines with words, lines that go, and these with their group's first occurrence."""
+    return " ".join(regex.findall(r"[\p{L}\p{N}]+", line.lower()))
+
+
+def alike(forms, similarity=0.8):
+    """All pairs of forms of that edit similarity: every pair is looked at, by the database's own distance.
+
+    It counts bytes, so characters become single bytes first. Two forms whose letter counts differ by
+    more than twice the allowed distance in all cannot be within it.
+    """
+    forms = sorted(forms)
+    chars = sorted({c for f in forms for c in f})
+    if len(chars) > 120:
+        far = lambda a, b: edit_distance(a, b) > int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+        return [(a, b) for i, b in enumerate(forms) for a in forms[:i] if not far(a, b)]
+    small = {c: chr(i + 1) for i, c in enumerate(chars)}
+    coded = ["".join(map(small.__getitem__, f)) for f in forms]
+    often = [c for c, _ in Counter("".join(coded)).most_common(24)]
+    rows = pa.table({"id": range(len(coded)), "f": coded, "n": [len(f) for f in coded], **{f"c{k}": [f.count(c) for f in coded] for k, c in enumerate(often)}})
+    con = duckdb.connect()
+    con.register("rows", rows)
+    allowed = f"floor(greatest(a.n, b.n) * {1 - similarity} + 1e-9)"
+    apart = " + ".join(f"abs(a.c{k} - b.c{k})" for k in range(len(often))) or "0"
+    found = con.execute(
+        f"select a.id, b.id from rows a join rows b on a.id < b.id and b.n - a.n <= {allowed} and a.n - b.n <= {allowed} "
+        f"where {apart} <= 2 * {allowed} and levenshtein(a.f, b.f) <= {allowed}"
+    ).fetchall()
+    return [(forms[a], forms[b]) for a, b in found]
+
+
+def lines(docs, similarity=0.8):
+    """doc_id, lines with words, lines that go, and these with their group's first occurrence; groups by edit similarity alone."""
     at = {}
     for d, t in docs:
         for i, line in enumerate(t.split("\n") if t else []):
             if form := line_form(line):
                 at.setdefault(form, set()).add((d, i))
     node = {f: min(places) for f, places in at.items()}
-    prints = {}
-    for f in node:
-        prints.setdefault(line_print(f), []).append(f)
-
-    def alike(a, b):
-        most = max(len(a), len(b))
-        return edit_distance(a, b) <= int(most * (1 - similarity) + 1e-9)
-
-    links, rep = [], {p: min(fs, key=node.get) for p, fs in prints.items()}
-    for p, fs in prints.items():
-        links += [(node[rep[p]], node[f]) for f in fs if f != rep[p] and alike(rep[p], f)]
-    keys = list(rep)
-    for i, p in enumerate(keys):
-        for q in keys[:i]:
-            if (p ^ q).bit_count() <= radius and alike(rep[p], rep[q]):
-                links.append((node[rep[p]], node[rep[q]]))
-    root = groups(node.values(), links)
+    root = groups(node.values(), [(node[a], node[b]) for a, b in alike(node, similarity)])
     out = {d: [0, []] for d, _ in docs}
     for f, places in at.items():
         for d, i in places:

@@ -134,10 +134,3 @@ def test_edit_similarity(spark):
         got = {r["a"] for r in line_dedup.similar(df, limit).collect()}
         want = {i for i, _, x, y in rows if brute.edit_distance(x, y) <= int(max(len(x), len(y)) * (1 - limit) + 1e-9)}
         assert got == want
-
-
-def test_fingerprints(spark):
-    text = " ".join(f"w{i % 97}" for i in range(500))
-    df = spark.createDataFrame([(1, text), (2, "one two three"), (3, "one")], "doc_id long, text string")
-    got = {r["doc"]: r["fp"] & (1 << 64) - 1 for r in line_dedup.signed(df, "doc_id", "text").collect()}
-    assert got == {d: brute.line_print(t) for d, t in [tuple(r) for r in df.collect()]}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import shuffles_dropped
-from tidemill.session import materialise
+from tidemill.session import discard, materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
             large = materialise(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct())
             low = large.groupBy("u").agg(F.min("v").alias("m"))
             near = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-            now = materialise(near.unionByName(low.withColumnRenamed("m", "v")).distinct())
+            step, now = now, materialise(near.unionByName(low.withColumnRenamed("m", "v")).distinct())
+            discard(step, large)
             before, last = last, state(now)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
