@@ -47,8 +47,13 @@ def test_logistic_and_interpolation(data):
     df = data.withColumn("label", (F.col("y") > 0).cast("double"))
     model = M.fit_logistic(df, "label", 1.0)
     assert M.metrics_classification(model.transform(df), "label", "prediction").first()["accuracy"] > 0.9
-    same, _ = M.interpolated(model, 1.0)
-    assert same.toArray() == pytest.approx(model.coefficients.toArray())
+    rows = df.withColumn("total", F.col("a") + F.col("b") + F.col("c"))
+    same = M.interpolated_scores(rows, model, 1.0, "pulled")
+    assert same.where("pulled != prediction").count() == 0
+    w, b = model.coefficients.toArray(), model.intercept
+    pulled = 0.75 * abs(w).mean() + 0.25 * w
+    got = M.interpolated_scores(rows, model, 0.25, "pulled").collect()
+    assert [r["pulled"] for r in got] == [float(r["features"].toArray() @ pulled + b > 0) for r in got]
 
 
 def test_als_beats_nothing(spark):
@@ -102,12 +107,15 @@ def test_measures_of_an_empty_class_are_null(spark):
     assert M.metrics_regression(df, "y", "s").first()["r2"] is None
 
 
-def test_term_vectors(spark):
-    df = spark.createDataFrame([(1, ["a", "b", "a", "zzz"]), (2, [])], "id int, terms array<string>")
-    got = {r["id"]: r["features"].toArray().tolist() for r in M.term_vectors(df, ["a", "b"]).collect()}
-    assert got == {1: [2.0, 1.0], 2: [0.0, 0.0]}
-    weighted = M.term_vectors(df, ["a", "b"], binary=True, weights={"b": -3.0})
-    assert {r["id"]: r["features"].toArray().tolist() for r in weighted.collect()} == {1: [0.0, -3.0], 2: [0.0, 0.0]}
+@pytest.mark.parametrize("hot", [4_000_000, 0])
+def test_term_vectors(spark, monkeypatch, hot):
+    monkeypatch.setattr(M.attach, "__defaults__", (hot,))
+    df = spark.createDataFrame([(1, ["a", "b", "a", "zzz"]), (2, []), (3, ["zzz"])], "id int, terms array<string>")
+    vocab = M.numbered_terms(spark.createDataFrame([("b", 1, -3.0), ("a", 1, None)], "term string, df long, w double"))
+    dense = lambda rows: {r["id"]: (r["features"].toArray().tolist(), r["total"]) for r in rows.collect()}
+    none = ([0.0, 0.0], 0.0)
+    assert dense(M.term_vectors(df, vocab, "id")) == {1: ([2.0, 1.0], 3.0), 2: none, 3: none}
+    assert dense(M.term_vectors(df, vocab, "id", binary=True, weight="w")) == {1: ([0.0, -3.0], -3.0), 2: none, 3: none}
 
 
 def test_text_and_time_pipeline(spark):
@@ -117,11 +125,6 @@ def test_text_and_time_pipeline(spark):
     assert M.metrics_classification(model.transform(df), "y", "prediction").first()["accuracy"] == 1.0
 
 
-def test_linear_scores(spark, rows):
-    lists = spark.createDataFrame([(1, ["a", "a", "x"]), (2, ["b"]), (3, [])], "id int, terms array<string>")
-    assert rows(M.linear_scores(lists, "id", ["a", "b"], [2.0, -1.0], -0.5)) == [(1, 1.0), (2, 0.0), (3, 0.0)]
-
-
 def test_categories_are_learned(spark, rows):
     df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "c string, k int")
     found = M.small_categories(df, ["c", "k"], 2)

@@ -6,20 +6,20 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (
-    IDF, PCA, CountVectorizer, CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler,
-)
+from pyspark.ml.feature import IDF, PCA, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemill.operators.aggregates import percentiles, value_counts
 from tidemill.operators.scale import attach, literal_rows, ranked, with_group_stats
+from tidemill.session import materialise
 
 # ---- encoders ------------------------------------------------------------------
 
@@ -318,20 +318,31 @@ def item_components(model, k: int = 3) -> DataFrame:
     return PCA(k=k, inputCol="features", outputCol="pca").fit(f).transform(f).select("id", vector_to_array("pca").alias("components"))
 
 
-def term_list(terms: DataFrame) -> list[str]:
-    """A vocabulary in order, on the driver; its size is bounded by max_features."""
-    return sorted(r["term"] for r in terms.select("term").collect())
+def numbered_terms(terms: DataFrame) -> DataFrame:
+    """The vocabulary with dense numbers from 0 (``index``), by a distributed numbering in order of the terms."""
+    return ranked(terms, [F.col("term")], "index").withColumn("index", (F.col("index") - 1).cast("int"))
 
 
-def term_vectors(lists: DataFrame, vocab: Sequence[str], binary: bool = False, weights: Mapping[str, float] | None = None) -> DataFrame:
-    """Sparse ``features`` per document from its array of ``terms``: counts (or 0/1)
-    of the vocabulary, times a weight per term if given. No shuffle, no Python."""
-    counter = CountVectorizerModel.from_vocabulary(list(vocab), inputCol="terms", outputCol="_counts", binary=binary)
-    counted = counter.transform(lists).drop("terms")
-    if weights is None:
-        return counted.withColumnRenamed("_counts", "features")
-    scale = Vectors.dense([float(weights.get(w, 0.0)) for w in vocab])
-    return ElementwiseProduct(scalingVec=scale, inputCol="_counts", outputCol="features").transform(counted).drop("_counts")
+def term_vectors(lists: DataFrame, vocab: DataFrame, key: str, binary: bool = False, weight: str | None = None) -> DataFrame:
+    """Sparse ``features`` per document from its array of ``terms``: counts (or 0/1) of the vocabulary
+    (term, index, df), times a weight per term if it has that column; and ``total``, their sum.
+
+    Terms are joined to the vocabulary, which is never gathered: only a document's own terms
+    come together. Vectors are put together as Spark stores them, written, and read back as vectors.
+    """
+    held = F.explode("terms").alias("term")
+    counts = lists.select(key, held).groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("_c"))
+    known = attach(counts, vocab.select("term", "index", "df", *([weight] if weight else [])), ["term"], "df").where(F.col("index").isNotNull())
+    value = (F.lit(1.0) if binary else F.col("_c")) * (F.coalesce(weight, F.lit(0.0)) if weight else F.lit(1.0))
+    own = known.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("index", value.alias("value")))).alias("_t"))
+    size = vocab.agg(F.count(F.lit(1)).cast("int").alias("_size"))
+    found = F.coalesce("_t", F.array().cast("array<struct<index:int,value:double>>"))
+    packed = F.struct(F.lit(0).cast("tinyint").alias("type"), F.col("_size").alias("size"), found["index"].alias("indices"), found["value"].alias("values"))
+    total = F.aggregate(found["value"], F.lit(0.0), lambda x, y: x + y)
+    rows = lists.drop("terms").join(own, key, "left").join(F.broadcast(size))
+    written = materialise(rows.select(*[c for c in lists.columns if c != "terms"], packed.alias("features"), total.alias("total")))
+    fields = [StructField("features", VectorUDT()) if f.name == "features" else f for f in written.schema.fields]
+    return lists.sparkSession.read.schema(StructType(fields)).parquet(written._written)
 
 
 def fit_logistic(train: DataFrame, label: str, c: float, intercept: bool = True, iterations: int = 50):
@@ -342,23 +353,15 @@ def fit_logistic(train: DataFrame, label: str, c: float, intercept: bool = True,
     ).fit(train)
 
 
-def interpolated(model, beta: float):
-    """Weights pulled towards their mean size: (1 - beta) * mean|w| + beta * w."""
-    w = model.coefficients.toArray()
-    mean = abs(w).mean()
-    return Vectors.dense((1 - beta) * mean + beta * w), model.intercept
-
-
-def linear_scores(lists: DataFrame, key: str, terms: Sequence[str], weights, intercept: float) -> DataFrame:
-    """(key, prediction): 0/1 by the sign of the summed weights of a text's distinct ``terms``.
+def interpolated_scores(rows: DataFrame, model, beta: float, out: str = "prediction") -> DataFrame:
+    """0/1 predictions with the model's weights pulled towards their mean size: (1 - beta) * mean|w| + beta * w.
 
-    The weights, one per vocabulary term, are bounded like the vocabulary.
+    Both parts of a row's score follow from the model's own and from the ``total`` of its vector.
     """
-    spark = lists.sparkSession
-    table = spark.createDataFrame([(t, float(w)) for t, w in zip(terms, weights, strict=True)], "term string, w double")
-    each = lists.select(key, F.explode_outer(F.array_distinct("terms")).alias("term"))
-    scored = each.join(F.broadcast(table), "term", "left").groupBy(key).agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("s"))
-    return scored.select(key, (F.col("s") + intercept > 0).cast("double").alias("prediction"))
+    size = float(abs(model.coefficients.toArray()).mean())
+    own = vector_to_array("rawPrediction")[1] - F.lit(model.intercept)
+    score = (1 - beta) * size * F.col("total") + beta * own + F.lit(model.intercept)
+    return model.transform(rows).withColumn(out, (score > 0).cast("double"))
 
 
 def text_time_classifier(text: str, times: Sequence[str], label: str, hi: int = 5, max_features: int = 100_000) -> Pipeline:

@@ -333,14 +333,14 @@ def _term_sets(t, hi):
     tokens = doc_tokens(t).join(labels, "doc_id")
     lists = materialise(T.gram_lists(tokens, "doc_id", 1, hi).join(labels, "doc_id"))
     seen = tokens.where("not is_valid").select("doc_id", "tokens")
-    vocab = M.term_list(T.top_terms(T.corpus_terms(seen, "doc_id", 1, hi), _TERMS, "df"))
+    vocab = materialise(M.numbered_terms(T.top_terms(T.corpus_terms(seen, "doc_id", 1, hi), _TERMS, "df")))
     return lists, vocab
 
 
 def text_scored(t):
     """Training rows and scored validation rows of logistic regression on 0/1 word n-grams."""
     lists, vocab = _term_sets(t, 3)
-    rows = M.term_vectors(lists, vocab, binary=True)
+    rows = M.term_vectors(lists, vocab, "doc_id", binary=True)
     train = rows.where("not is_valid")
     return train, M.fit_logistic(train, "y", 0.1).transform(rows.where("is_valid"))
 
@@ -357,11 +357,10 @@ def nb_scored(t):
     train = lists.where("not is_valid")
     held = train.select("doc_id", F.explode(F.array_distinct("terms")).alias("term"), F.lit(1).cast("bigint").alias("n"))
     ratio = T.nb_ratio(held, train.select("doc_id", "y"), "doc_id", "y")
-    weights = {r["term"]: r["r"] for r in ratio.join(F.broadcast(t.spark.createDataFrame([(w,) for w in vocab], "term string")), "term", "left_semi").collect()}
-    rows = M.term_vectors(train, vocab, True, weights)
-    pulled, intercept = M.interpolated(M.fit_logistic(rows, "y", 0.1), 0.25)
-    scored = M.linear_scores(lists.where("is_valid"), "doc_id", vocab, [w * weights[v] for v, w in zip(vocab, pulled)], intercept)
-    return train, scored.join(lists.select("doc_id", "y"), "doc_id")
+    weighted = vocab.join(ratio.select("term", "r"), "term", "left")
+    rows = M.term_vectors(lists, weighted, "doc_id", True, "r")
+    model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
+    return rows.where("not is_valid"), M.interpolated_scores(rows.where("is_valid"), model, 0.25, "pulled").drop("prediction").withColumnRenamed("pulled", "prediction")
 
 
 @query("nb_logreg")
