@@ -104,6 +104,68 @@ def test_language_rejects_what_is_far(spark, table):
     assert language_id.predict(table([]), model).count() == 0
 
 
+@needs_tables
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_language_rejects_at_every_length(spark, sf):
+    """Random letters and an unknown language in Latin letters go, short or long; real texts and pieces of them stay."""
+    import random
+
+    rnd, docs = random.Random(4), spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    model = language_id.fit(docs)
+    swahili = "watoto wanacheza nje ya nyumba na mama anapika chakula cha jioni kwa ajili ya familia nzima huku baba akisoma gazeti karibu na dirisha kubwa".split()
+    texts = [r["text"] for r in docs.select("text").collect()]
+    assert np.mean(model.predict(texts)[2]) <= 0.02
+    for size in (60, 160, 700):
+        junk = [" ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(size))[:size] for _ in range(100)]
+        unknown = [" ".join(rnd.choice(swahili) for _ in range(size))[:size] for _ in range(100)]
+        pieces = [t[a : a + size] for t in texts if len(t) > size for a in [rnd.randint(0, len(t) - size)]]
+        assert np.mean(model.predict(junk)[2]) >= 0.98 and np.mean(model.predict(unknown)[2]) >= 0.98
+        assert np.mean(model.predict(pieces)[2]) <= 0.03  # some lie in junk or license lines
+
+
+@needs_tables
+def test_language_plain_version(spark):
+    """Slots, weights and cosines against a plain TF-IDF; every text goes to the language of its nearest centroid."""
+    from math import log
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model, rows = language_id.fit(docs), docs.collect()
+
+    def counts(text):
+        raw, out = b" " + b" ".join("".join(c if not c.isascii() or c.isalpha() else " " for c in text.lower()).encode().split()) + b" ", {}
+        for n in (2, 3, 4):
+            for i in range(len(raw) - n + 1):
+                slot = ((int.from_bytes(raw[i : i + n], "big") + n) * 2654435761 % (1 << 32)) >> 19
+                out[slot] = out.get(slot, 0) + 1
+        return out
+
+    all_counts = [counts(r["text"]) for r in rows]
+    df = {}
+    for c in all_counts:
+        for slot in c:
+            df[slot] = df.get(slot, 0) + 1
+    got = model.predict([r["text"] for r in rows])
+    for i, c in list(enumerate(all_counts))[::10]:
+        v = {slot: (1 + log(n)) * (log((1 + len(rows)) / (1 + df[slot])) + 1) for slot, n in c.items()}
+        size = sum(x * x for x in v.values()) ** 0.5
+        cosines = [sum(x / size * float(centre[slot]) for slot, x in v.items()) for centre in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert got[0][i] == model.languages[model.owner[best]] and abs(got[1][i] - cosines[best]) < 1e-4
+    assert np.mean([lang == r["lang"] for lang, r in zip(got[0], rows)]) > 0.98
+
+
+def test_taken_names_are_refused(table):
+    from tidemill.llm import bpe, sharding, token_counts
+
+    docs = table([(1, "a")])
+    for call in (
+        lambda: language_id.predict(docs, language_id.fit(docs), names=("lang", "score", "x")), lambda: sharding.assign(docs, ["doc_id"], [1.0]),
+        lambda: token_counts.count_tokens(docs, name="Source"), lambda: bpe.encode(docs, ids="lang"),
+    ):
+        with pytest.raises(ValueError):
+            call()
+
+
 def test_nothing_learned(spark, table):
     model = language_id.fit(table([]))
     got = {r["doc_id"]: r for r in language_id.predict(table([(1, "some words"), (2, None)]), model).collect()}

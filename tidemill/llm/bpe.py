@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemill.llm.bpe_rounds import MergeTable
-from tidemill.llm.common import ragged, table, text_runs
+from tidemill.llm.common import ragged, refuse, table, text_runs
 
 VOCABULARY = "word_bpe_49k.json"
 #: Below this code point, Python and the library agree on letters, case and normal forms (tested on each).
@@ -145,8 +145,9 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
     """Add the token ids of each text as an array of int.
 
     The whole text is encoded; a null text is an empty one and has no tokens.
-    Every row is kept as it is, repeated ones too; ``ids`` must not be taken.
+    Every row is kept as it is, repeated ones too; ``ids`` is refused if it is taken.
     """
+    refuse([ids], docs.columns)
     path = path or public_tokenizers.path(VOCABULARY)
     schema = T.StructType([*docs.schema, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
@@ -163,6 +164,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
 
 def decode(docs: DataFrame, ids: str = "ids", text: str = "decoded", path: str | None = None) -> DataFrame:
     """Add the text that the ids stand for; null ids give an empty text."""
+    refuse([text], docs.columns)
     path = path or public_tokenizers.path(VOCABULARY)
     schema = T.StructType([*docs.schema, T.StructField(text, T.StringType(), False)])
 

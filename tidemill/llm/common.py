@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from functools import cached_property
 from math import ceil
@@ -29,6 +29,12 @@ def free(name: str, taken: list[str]) -> str:
     return name
 
 
+def refuse(names: Iterable[str], taken: Iterable[str]) -> None:
+    """Raise if a column of one of these names exists (Spark tells no case apart)."""
+    if clash := {n.lower() for n in names} & {t.lower() for t in taken}:
+        raise ValueError(f"columns {sorted(clash)} exist")
+
+
 def buckets_for(docs: DataFrame, text: str, size: int = BUCKET_BYTES) -> int:
     """How many buckets of about ``size`` text bytes the documents make."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0]

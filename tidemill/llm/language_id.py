@@ -6,7 +6,8 @@ frequency, at length 1. Every language has ``CLUSTERS`` centroids, from spherica
 k-means over a bounded sample of its labelled texts; document frequencies are
 counted over all labelled texts. A text gets the language of the centroid with
 the highest cosine. It is rejected if that is below what texts of its length in
-that language have: ``SLACK`` times the median of the language's own sample in the band.
+that language have: ``SLACK`` times the median of pieces of that length, which are cut
+from the language's own sample; so there is a cut at every length, however long the texts are.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import table, text_runs
+from tidemill.llm.common import refuse, table, text_runs
 
 SLOTS = 1 << 13
 SIZES = (2, 3, 4)
@@ -29,9 +30,9 @@ CLUSTERS = 4
 #: Labelled texts a language's centroids are fitted on, at most, chosen by a hash.
 SAMPLE = 2_000
 BANDS = 24
-#: A band of lengths has a cut of its own from so many sampled texts on.
-BAND_TEXTS = 20
-SLACK = 0.35
+#: Sampled texts a language that pieces are cut from, at most, and pieces of a band that make a cut, at least.
+CUT_TEXTS, BAND_PIECES = 300, 5
+SLACK = 0.4
 UNKNOWN = "und"
 _CHUNK = 1 << 20
 #: ASCII that is no letter becomes a space; other bytes stay.
@@ -113,17 +114,30 @@ class Model:
         return langs, score, out
 
 
-def _cuts(own: np.ndarray, bands: np.ndarray) -> list[float]:
-    """Cut of each band from the sample's cosines; a band of few texts takes the next shorter one's, or 0."""
-    out, last = [], 0.0
+def _cuts(texts: list[str], idf: np.ndarray, centroids: np.ndarray) -> list[float]:
+    """Cut of each band of lengths, from pieces of that length out of the middles of the texts; NaN where too few are as long."""
+    out = []
     for b in range(BANDS):
-        mine = own[bands == b]
-        if len(mine) >= BAND_TEXTS:
-            last = float(SLACK * np.median(mine))
-        out.append(last)
+        size = max(1, round(2 ** (b + 0.5) / len(SIZES)))  # about one n-gram of each size a character
+        middles = [(t, (len(t) - size) // 2) for t in texts if len(t) >= size]
+        pieces = [t[a : a + size] for t, a in middles if any(map(str.isalpha, t[a : a + size]))]
+        found = [float((weighted(grams(p)[None], idf) @ centroids.T).max()) for p in pieces]
+        out.append(SLACK * float(np.median(found)) if len(found) >= BAND_PIECES else np.nan)
     return out
 
 
+def _filled(cuts: np.ndarray) -> np.ndarray:
+    """Cuts by language and band, where NaN becomes the other languages' median in the band, or else the nearest band's."""
+    for b in range(cuts.shape[1]):
+        known = cuts[:, b][~np.isnan(cuts[:, b])]
+        if len(known):
+            cuts[:, b] = np.where(np.isnan(cuts[:, b]), np.median(known), cuts[:, b])
+    full = np.flatnonzero(~np.isnan(cuts[0])) if len(cuts) else []
+    if not len(full):
+        return np.zeros_like(cuts)
+    return cuts[:, [int(full[np.argmin(abs(full - b))]) for b in range(cuts.shape[1])]]
+
+
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Learn from all rows with a text and a language; rows without either are left out.
 
@@ -161,32 +175,33 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
     def centres(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["h", "text"])
-        x, bands = np.empty((len(frame), SLOTS), np.float32), np.empty(len(frame), np.int64)
+        x = np.empty((len(frame), SLOTS), np.float32)
         for a in range(0, len(frame), 128):  # so that the sample is held once, as weights
             counts = np.stack([grams(t) for t in frame["text"].iloc[a : a + 128]])
-            x[a : a + 128], bands[a : a + 128] = weighted(counts, idf), band(counts)
+            x[a : a + 128] = weighted(counts, idf)
         found = cluster(x)
-        cuts = _cuts((x @ found.T).max(axis=1), bands)
+        cuts = _cuts(frame["text"].iloc[:CUT_TEXTS].tolist(), idf, found)
         return pd.DataFrame({"lang": [frame["lang"].iloc[0]], "centroids": [found.ravel().tolist()], "cuts": [cuts]})
 
     fitted = sample.groupBy("lang").applyInPandas(centres, "lang string, centroids array<float>, cuts array<double>").collect()
     fitted = sorted(fitted, key=lambda r: r["lang"])
     blocks = [np.array(r["centroids"], np.float32).reshape(-1, SLOTS) for r in fitted]
     owner = np.repeat(np.arange(len(blocks)), [len(b) for b in blocks])
-    return Model([r["lang"] for r in fitted], idf, np.concatenate(blocks), owner, np.array([r["cuts"] for r in fitted]))
+    return Model([r["lang"] for r in fitted], idf, np.concatenate(blocks), owner, _filled(np.array([r["cuts"] for r in fitted], float)))
 
 
 _ADDED = {"lang_pred": (T.StringType(), pa.string()), "score": (T.DoubleType(), pa.float64()), "rejected": (T.BooleanType(), pa.bool_())}
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str] = tuple(_ADDED)) -> DataFrame:
-    """Add language, score (cosine, 0 to 1) and whether the text is rejected; ``names`` must not be taken.
+    """Add language, score (cosine, 0 to 1) and whether the text is rejected; names that are taken are refused.
 
     A text that is null or has no letter is `und`, with score 0, and rejected. If
     nothing was learned, every text is `und` with score 0, and only those without
     a letter are rejected. Of equal cosines the first language in
     the alphabet wins. Every row is kept, repeated ones too.
     """
+    refuse(names, docs.columns)
     kinds = list(_ADDED.values())
     schema = T.StructType([*docs.schema, *[T.StructField(n, k, False) for n, (k, _) in zip(names, kinds)]])
     shared = docs.sparkSession.sparkContext.broadcast(model)

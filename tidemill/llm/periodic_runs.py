@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import covered, table, text_runs
+from tidemill.llm.common import covered, refuse, table, text_runs
 
 #: A run has at least so many words, and so many periods.
 SHORTEST, EXPONENT = 6, 4
@@ -165,8 +165,7 @@ def find_runs(docs: DataFrame, text: str = "text", names: tuple[str, str, str] =
     and empty texts have no words. Rows are worked on alone, repeated ones too;
     all columns stay, and a name that is taken is refused.
     """
-    if clash := {n.lower() for n in names} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns {sorted(clash)} exist")
+    refuse(names, docs.columns)
     run = T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "period")])
     schema = T.StructType([*docs.schema, T.StructField(names[0], T.ArrayType(run)), T.StructField(names[1], run), T.StructField(names[2], T.StringType())])
     arrow = pa.struct([(n, pa.int64()) for n in ("start", "length", "period")])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import table
+from tidemill.llm.common import refuse, table
 from tidemill.operators.scale import ranked
 
 SHARDS = 24
@@ -40,8 +40,9 @@ def assign(rows: DataFrame, keys: Sequence[str], weights: Sequence[float], shard
 
     Places follow the order of the key, then of the other columns, so that they
     are the same in every run; equal rows are interchangeable. They are counted
-    over ranges of (shard, key), so no task needs a whole shard.
+    over ranges of (shard, key), so no task needs a whole shard. Names that are taken are refused.
     """
+    refuse([shard, slot], rows.columns)
     put = rows.withColumn(shard, rendezvous([F.col(k) for k in keys], weights))
     order = [F.col(c) for c in [*keys, *(c for c in rows.columns if c not in keys)]]
     return ranked(put, order, slot, [shard]).withColumn(slot, F.col(slot) - 1)

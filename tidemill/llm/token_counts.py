@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.bpe_rounds import MergeTable
-from tidemill.llm.common import table, text_runs
+from tidemill.llm.common import refuse, table, text_runs
 
 VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -94,8 +94,9 @@ def counter(path: str) -> Counter:
 def count_tokens(docs: DataFrame, text: str = "text", name: str = "n_tokens", path: str | None = None) -> DataFrame:
     """Add the number of tokens of each whole text; a null text is empty and has none.
 
-    Every row is kept as it is, repeated ones too; ``name`` must not be taken.
+    Every row is kept as it is, repeated ones too; ``name`` is refused if it is taken.
     """
+    refuse([name], docs.columns)
     path = path or public_tokenizers.path(VOCABULARY)
     schema = T.StructType([*docs.schema, T.StructField(name, T.LongType(), False)])
 
