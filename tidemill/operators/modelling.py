@@ -357,11 +357,12 @@ def interpolated_scores(rows: DataFrame, model, beta: float, out: str = "predict
     """0/1 predictions with the model's weights pulled towards their mean size: (1 - beta) * mean|w| + beta * w.
 
     Both parts of a row's score follow from the model's own and from the ``total`` of its vector.
+    The score itself is in a column named after ``out``.
     """
     size = float(abs(model.coefficients.toArray()).mean())
     own = vector_to_array("rawPrediction")[1] - F.lit(model.intercept)
     score = (1 - beta) * size * F.col("total") + beta * own + F.lit(model.intercept)
-    return model.transform(rows).withColumn(out, (score > 0).cast("double"))
+    return model.transform(rows).withColumn(f"{out}_score", score).withColumn(out, (F.col(f"{out}_score") > 0).cast("double"))
 
 
 def text_time_classifier(text: str, times: Sequence[str], label: str, hi: int = 5, max_features: int = 100_000) -> Pipeline:

@@ -338,21 +338,20 @@ def _term_sets(t, hi):
 
 
 def text_scored(t):
-    """Training rows and scored validation rows of logistic regression on 0/1 word n-grams."""
+    """All rows scored by logistic regression on 0/1 word n-grams, fitted to the training rows."""
     lists, vocab = _term_sets(t, 3)
     rows = M.term_vectors(lists, vocab, "doc_id", binary=True)
-    train = rows.where("not is_valid")
-    return train, M.fit_logistic(train, "y", 0.1).transform(rows.where("is_valid"))
+    return M.fit_logistic(rows.where("not is_valid"), "y", 0.1).transform(rows)
 
 
 @query("text_logreg")
 def text_logreg(t):
-    return M.metrics_classification(text_scored(t)[1], "y", "prediction")
+    return M.metrics_classification(text_scored(t).where("is_valid"), "y", "prediction")
 
 
 def nb_scored(t):
-    """Training rows and scored validation rows of trigrams weighted by their log-count ratio;
-    the fitted weights are pulled towards their mean size."""
+    """All rows scored by trigrams weighted by their log-count ratio; the weights fitted to the
+    training rows are pulled towards their mean size."""
     lists, vocab = _term_sets(t, 3)
     train = lists.where("not is_valid")
     held = train.select("doc_id", F.explode(F.array_distinct("terms")).alias("term"), F.lit(1).cast("bigint").alias("n"))
@@ -360,12 +359,12 @@ def nb_scored(t):
     weighted = vocab.join(ratio.select("term", "r"), "term", "left")
     rows = M.term_vectors(lists, weighted, "doc_id", True, "r")
     model = M.fit_logistic(rows.where("not is_valid"), "y", 0.1)
-    return rows.where("not is_valid"), M.interpolated_scores(rows.where("is_valid"), model, 0.25, "pulled").drop("prediction").withColumnRenamed("pulled", "prediction")
+    return M.interpolated_scores(rows, model, 0.25, "pulled").drop("prediction").withColumnRenamed("pulled", "prediction")
 
 
 @query("nb_logreg")
 def nb_logreg(t):
-    return M.metrics_classification(nb_scored(t)[1], "y", "prediction")
+    return M.metrics_classification(nb_scored(t).where("is_valid"), "y", "prediction")
 
 
 @query("session_clf")
