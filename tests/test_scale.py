@@ -85,3 +85,20 @@ def test_number_of_ranges(spark, monkeypatch):
     monkeypatch.setattr(scale, "RANGE_LEAST", 10)
     monkeypatch.setattr(scale, "RANGE_MOST", 100)
     assert [scale.ranges_for(spark.range(n)) for n in (0, 25, 350, 1000)] == [1, 3, 4, 10]
+
+
+def test_written_copies_go(spark):
+    """A copy that is discarded leaves no folder; a scan keeps only what its result reads."""
+    import os
+
+    from tidemill import session
+
+    folder = session.checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    copy = session.materialise(spark.range(10))
+    assert len(set(os.listdir(folder)) - before) == 1
+    session.discard(copy)
+    session.discard(copy)  # a second time does nothing
+    assert set(os.listdir(folder)) == before
+    run = scale.ordered_scan(spark.range(100), [F.col("id")], {"n": F.lit(1).cast("long")})
+    assert run.count() == 100 and len(set(os.listdir(folder)) - before) == 1
