@@ -1,6 +1,7 @@
 """Plain versions of the operators, straight from their definitions, for small inputs."""
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -280,3 +281,72 @@ def chats(turns):
         learned = "".join(t for r, t in rows if r == "assistant")
         out.append((conv, len(rows), sha("".join(f"{r}\n{t}\n" for r, t in rows)), len(learned), sha(learned)))
     return out
+
+
+SYMBOLS = {
+    "hex": "0123456789abcdef",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+}
+
+
+def encoded_as(hit):
+    body = hit.rstrip("=")
+    if not re.search("[0-9]", body):
+        return None
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", body):
+        return "hex"
+    if re.fullmatch("[A-Z2-7]+", body):
+        return "base32"
+    return "base64" if re.search("[a-z]", body) and re.search("[A-Z]", body) and re.fullmatch("[A-Za-z0-9+/]+|[A-Za-z0-9_-]+", body) else None
+
+
+def chance(hit, kind):
+    """The smallest of the three tests' p-values times three: chi-squared (cube root), runs about the middle, lag one."""
+    body = hit.rstrip("=")
+    x = [SYMBOLS[kind].index(c) for c in (body.lower() if kind == "hex" else body.replace("-", "+").replace("_", "/"))]
+    n, base = len(x), len(SYMBOLS[kind])
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi, spread = sum(c * c for c in Counter(x).values()) * base / n - n, 2 / (9 * (base - 1))
+    ps = [tail(((chi / (base - 1)) ** (1 / 3) - 1 + spread) / math.sqrt(spread))]
+    side = [2 * v >= base for v in x]
+    high = sum(side)
+    both = 2 * high * (n - high)
+    changes = sum(a != b for a, b in zip(side, side[1:]))
+    ps.append(2 * tail(abs(changes - both / n) / math.sqrt(max(both * (both - n) / (n * n * (n - 1)), 1e-9))) if both else 0.0)
+    mean = sum(x) / n
+    square = sum((v - mean) ** 2 for v in x)
+    lag = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:]))
+    ps.append(2 * tail(abs(lag / square + 1 / n) * math.sqrt(n)) if square else 0.0)
+    return min(1.0, 3 * min(ps))
+
+
+def random_spans(docs):
+    """doc_id and the random spans (start, end) that lie in no base span and no longer random one, every pair compared."""
+    classes = {"[a-z]": 26, "[A-Z]": 26, "[0-9]": 10, "[+/_=-]": 5}
+    seen = {c: sum(len(re.findall(c, t or "")) for _, t in docs) + n for c, n in classes.items()}
+    every = sum(seen.values())
+    per = {"hex": 4, "base32": 5, "base64": 6}
+    found = []
+    for row, (d, t) in enumerate(docs):
+        spots = set()
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", t or ""):
+            parts = [m.span()] if encoded_as(m[0]) else [
+                (m.start() + p.start(), m.start() + p.end()) for signs in ("+/", "_-", "") for p in re.finditer(f"[A-Za-z0-9{signs}]{{20,}}(?:=+$)?", m[0])]
+            spots.update(p for p in parts if encoded_as(t[slice(*p)]))
+        for a, b in sorted(spots):
+            kind = encoded_as(t[a:b])
+            if chance(t[a:b], kind) >= 0.001:
+                plain = sum(len(re.findall(c, t[a:b])) * math.log2(seen[c] / every / n) for c, n in classes.items())
+                found.append((row, a, b, math.floor(min(-per[kind] * (b - a) - plain, 2000))))
+            else:
+                found.append((row, a, b, -1))
+    least = next((bits for bits in sorted({f[3] for f in found if f[3] >= 0})
+                  if 2.0 ** min(bits, 1000) * sum(f[3] >= bits for f in found) >= len(found) / 0.01), 2001)
+    out = []
+    for row, (d, t) in enumerate(docs):
+        base = [tuple(map(int, x.split(":")[1:])) for x in secrets([(d, t)])[0][5].split(",") if x]
+        mine = [f[1:3] for f in found if f[0] == row and f[3] >= least]
+        inside = lambda s, o: o[0] <= s[0] and s[1] <= o[1]
+        out.append((d, [s for s in mine if not any(inside(s, b) for b in base) and not any(inside(s, o) and s != o for o in mine)]))
+    return out

@@ -45,26 +45,54 @@ RATE = 0.01
 #: Evidence is counted in whole bits up to this; more makes no difference.
 MOST_BITS = 2000
 
-_SPANS = "struct<at:int,spans:array<struct<start:int,end:int,hit:string>>>"
+#: Running sums and maxima are worked out in blocks of this many numbers.
+BLOCK = 256
 
 
-def spans_of(text: Column, pattern: str) -> Column:
-    """Start, end and text of all matches, leftmost first, in code points."""
-    parts = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit")
-    )
+def running(numbers: Column, join) -> Column:
+    """``join`` of each number with all before it. Work grows with the numbers, as arrays of one block at most are copied."""
+    none = F.array().cast("array<int>")
+    last = lambda x: F.get(x, F.size(x) - 1)
 
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["gap"])
-        end = start + F.length(part["hit"])
-        span = F.struct(start.alias("start"), end.alias("end"), part["hit"].alias("hit"))
-        return F.when(part["hit"].isNull(), acc).otherwise(
-            F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")).cast(_SPANS)
-        )
+    def within(block: Column) -> Column:
+        step = lambda done, v: F.concat(done, F.array(F.when(F.size(done) == 0, v).otherwise(join(last(done), v))))
+        return F.aggregate(block, none, step)
 
-    none = F.struct(F.lit(0).alias("at"), F.array().alias("spans")).cast(_SPANS)
-    found = F.aggregate(parts, none, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(none["spans"])
+    # Steps of a one-element array: each works its fields out once, however often the next one reads them.
+    steps = F.array(F.struct(numbers.alias("x")))
+    steps = F.transform(steps, lambda s: F.struct(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.size(s["x"]), F.lit(1)), F.lit(BLOCK)), lambda at: within(F.slice(s["x"], at, BLOCK))).alias("blocks")))
+    steps = F.transform(steps, lambda s: F.struct(s["blocks"].alias("blocks"), within(F.transform(s["blocks"], last)).alias("ends")))
+    joined = lambda s: F.transform(
+        s["blocks"], lambda block, i: F.when(i == 0, block).otherwise(F.transform(block, lambda v: join(F.get(s["ends"], i - 1), v))))
+    return F.flatten(F.transform(steps, joined)[0])
+
+
+def spans_of(text: Column, pattern: str) -> Column:
+    """Start, end and text of all matches, leftmost first, in code points."""
+    span = lambda hit, end: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit"))
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    steps = F.array(F.struct(F.split(text, pattern, -1).alias("gaps"), hits.alias("hits")))
+    steps = F.transform(steps, lambda s: F.struct(
+        s["hits"].alias("hits"),
+        running(F.zip_with(F.slice(s["gaps"], F.lit(1), F.size(s["hits"])), s["hits"], lambda gap, hit: F.length(gap) + F.length(hit)), lambda a, b: a + b).alias("ends"),
+    ))
+    found = F.transform(steps, lambda s: F.zip_with(s["hits"], s["ends"], span))[0]
+    none = F.array().cast("array<struct<start:int,end:int,hit:string>>")
+    return F.when(text.rlike(pattern), found).otherwise(none)
+
+
+def outside(base: Column, random: Column) -> Column:
+    """The random spans, by start, that lie in no base span and in no longer random one.
+
+    By start, then the longest first, then base ones, a span lies in another one if an end before it reaches its own.
+    """
+    placed = lambda x, late: F.transform(x, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("upto"), F.lit(late).alias("late"), s.alias("span")))
+    plain = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("string").alias("encoding"), F.lit(None).cast("bigint").alias("bits")))
+    steps = F.array(F.struct(F.array_sort(F.concat(placed(plain, 0), placed(random, 1))).alias("all")))
+    steps = F.transform(steps, lambda s: F.struct(s["all"].alias("all"), running(F.transform(s["all"], lambda v: v["span"]["end"]), F.greatest).alias("reach")))
+    out = lambda s: F.filter(s["all"], lambda v, i: (v["late"] == 1) & ((i == 0) | (F.get(s["reach"], i - 1) < v["span"]["end"])))
+    return F.transform(F.transform(steps, out)[0], lambda v: v["span"])
 
 
 def upper_tail(z: Column) -> Column:
@@ -93,7 +121,9 @@ def candidates(runs: Column | str) -> Column:
 
     def inner(s: Column) -> Column:
         shifted = lambda p: F.struct((s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), p["hit"].alias("hit"))
-        return F.array_distinct(F.concat(*[F.transform(spans_of(s["hit"], p), shifted) for p in PARTS]))
+        parts = F.array(F.array_sort(F.concat(*[F.transform(spans_of(s["hit"], p), shifted) for p in PARTS])))
+        # Equal parts lie side by side; array_distinct would compare all structs with each other.
+        return F.transform(parts, lambda x: F.filter(x, lambda v, i: (i == 0) | (F.get(x, i - 1) != v)))[0]
 
     whole = lambda s: F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit")))
     return F.flatten(F.transform(runs, lambda s: F.when(encoding(s["hit"]).isNotNull(), whole(s)).otherwise(inner(s))))
@@ -204,13 +234,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     graded = graded.withColumn("random", F.filter("random", lambda s: s["bits"] >= least))
     base = F.concat(*[as_spans(i, k) for i, k in enumerate(KINDS[:3])])
-    longer = lambda s, r: (r["start"] <= s["start"]) & (r["end"] >= s["end"]) & (r["end"] - r["start"] > s["end"] - s["start"])
-    more = F.filter(
-        "random",
-        lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])) & ~F.exists("random", lambda r: longer(s, r)),
-    )
     return (
-        graded.withColumn("base", base).withColumn("random", more)
+        graded.withColumn("base", base).withColumn("random", outside(F.col("base"), F.col("random")))
         .select(key, F.array_sort(F.concat("base", as_spans(3, "random"))).alias("spans"))
     )
 
