@@ -134,3 +134,20 @@ def test_edit_similarity(spark):
         got = {r["a"] for r in line_dedup.similar(df, limit).collect()}
         want = {i for i, _, x, y in rows if brute.edit_distance(x, y) <= int(max(len(x), len(y)) * (1 - limit) + 1e-9)}
         assert got == want
+
+
+def test_template_of_all_items(spark, table, rows):
+    """Items that share a template, documents with all or some of it, repeated rows; in one slice and in many."""
+    template = "please read the passage below and choose the one best answer from the list given here".split()
+    tails = [" ".join(f"w{i * 7 + j}" for j in range(i % 9)) for i in range(300)]
+    items = [(f"i{i}", " ".join(template) + " " + t) for i, t in enumerate(tails)] + [("s1", "one two three"), ("s2", "One, two three")]
+    texts = [" ".join(template), "so " + " ".join(template[3:13]), " ".join(template[:9]), items[17][1] + " and more", "one two three four", None, ""]
+    texts += [" ".join(template[4:]) + " " + tails[8], " ".join(template[:12]) + " x " + " ".join(template[1:])]
+    docs = list(enumerate(texts))
+    expected = brute.benchmark(docs, items)
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    assert max(len(places) for places in decontaminate.Benchmark(items).anchors.values()) <= decontaminate.CROWD
+    for size in (decontaminate.SLICE_BYTES, 6000):
+        found = decontaminate.find(table(docs + docs[:3]), benchmark, slice_bytes=size)
+        got = sorted((r["doc_id"], r["n_words"], sum(b - a for a, b in zip(r["starts"], r["ends"])), len(r["items"]), brute.sha(",".join(r["items"]))) for r in found.collect())
+        assert got == sorted(r[:5] for r in [*expected, *expected[:3]])

@@ -19,6 +19,8 @@ WINDOW = 10
 GRAM = 5
 #: Text bytes of benchmark items that are broadcast at a time; larger benchmarks take several passes.
 SLICE_BYTES = 32 << 20
+#: Places of a 5-gram in the items up to which each is walked for itself.
+CROWD = 16
 #: Every byte that is no word byte becomes a space, and A-Z becomes a-z.
 FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
@@ -36,17 +38,22 @@ class Benchmark:
     that a document shares with an item selects the same 5-gram at the same
     place in both, so that looking up the document's kept hashes misses none.
     Hits are extended word by word to both sides, on the words themselves; a
-    shared run of 10 words or more is made of windows. Items of fewer words are
-    one window each and are looked up whole, by the hash of as many words.
+    shared run of 10 words or more is made of windows. A 5-gram that more than
+    ``CROWD`` places of the items have (of a prompt template, for instance) is not
+    walked place by place: the windows that select it are looked up whole, which
+    costs the same however many items share them. Items of fewer words are one
+    window each and are looked up whole, too. Equal items are one.
     """
 
     def __init__(self, items: list[tuple[str, str]]):
-        words = [(i, words_of(t)) for i, t in items]
+        equal: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+        for i, t in items:
+            equal[tuple(words_of(t))].add(i)
         self.hashes = WordHashes()
-        self.ids = [i for i, w in words]
-        self.words = [w for _, w in words]
+        self.ids, self.words = list(equal.values()), list(equal)
         self.anchors: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        self.short: dict[int, dict[bytes, int]] = defaultdict(dict)
+        short: dict[int, list[int]] = defaultdict(list)
         for item, mine in enumerate(self.words):
             batch = WordBatch([mine], self.hashes)
             if len(mine) >= WINDOW:
@@ -54,16 +61,42 @@ class Benchmark:
                 for place, h in sorted(set(zip(at.tolist(), kept.tolist()))):
                     self.anchors[h].append((item, place))
             elif mine:
-                self.short[len(mine)][int(batch.grams(len(mine))[1][0])].append(item)
+                self.short[len(mine)][b" ".join(mine)] = item
+                short[len(mine)].append(int(batch.grams(len(mine))[1][0]))
+        self.short_keys = {n: np.unique(np.array(of, np.uint64)) for n, of in short.items()}
+        crowded = {h: places for h, places in self.anchors.items() if len(places) > CROWD}
+        for h in crowded:
+            del self.anchors[h]
         self.keys = np.array(sorted(self.anchors), np.uint64)
-        self.short_keys = {n: np.array(sorted(of), np.uint64) for n, of in self.short.items()}
+        self.crowded_keys = np.array(sorted(crowded), np.uint64)
+        self._index(sorted({item for places in crowded.values() for item, _ in places}))
+
+    def _index(self, items: list[int]) -> None:
+        """The windows of crowded 5-grams, each with the number of a group of items; equal groups are one."""
+        of: dict[bytes, list[int]] = defaultdict(list)
+        for item in items:
+            mine = self.words[item]
+            at, _, kept = WordBatch([mine], self.hashes).windows(WINDOW, GRAM)
+            for window in {b" ".join(mine[i : i + WINDOW]) for i in at[np.isin(kept, self.crowded_keys)].tolist()}:
+                of[window].append(item)
+        numbers: dict[tuple[int, ...], int] = {}
+        self.windows = {window: numbers.setdefault(tuple(group), len(numbers)) for window, group in of.items()}
+        self.groups = list(numbers)
 
     def search(self, texts: list[str | None]) -> list[tuple[int, list[int], list[int], list[str]]]:
         """Of each text: number of words, starts and ends of the words hit, items found."""
         batch = WordBatch([words_of(t) for t in texts], self.hashes)
         spans: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        items: dict[int, set[str]] = defaultdict(set)
-        _, at, kept = batch.windows(WINDOW, GRAM)
+        items: dict[int, set[int]] = defaultdict(set)
+        groups: dict[int, set[int]] = defaultdict(set)
+        window, at, kept = batch.windows(WINDOW, GRAM)
+        for place in window[np.isin(kept, self.crowded_keys)].tolist():
+            group = self.windows.get(b" ".join(batch.words[place : place + WINDOW]))
+            if group is not None:
+                text = int(batch.text[place])
+                start = place - int(batch.starts[text])
+                spans[text].append((start, start + WINDOW))
+                groups[text].add(group)
         hit = np.isin(kept, self.keys)
         reach: dict[tuple[int, int, int], int] = {}  # up to where an alignment of text and item is done
         for place, h in sorted(set(zip(at[hit].tolist(), kept[hit].tolist()))):
@@ -82,34 +115,36 @@ class Benchmark:
                 reach[text, item, place - there] = c
                 if c - a >= WINDOW:
                     spans[text].append((a - first, c - first))
-                    items[text].add(self.ids[item])
+                    items[text].add(item)
         for n, keys in self.short_keys.items():
             at, grams = batch.grams(n)
             for i in np.flatnonzero(np.isin(grams, keys)).tolist():
                 place, text = int(at[i]), int(batch.text[at[i]])
-                for item in self.short[n][int(grams[i])]:
-                    if batch.words[place : place + n] == self.words[item]:
-                        start = place - int(batch.starts[text])
-                        spans[text].append((start, start + n))
-                        items[text].add(self.ids[item])
+                item = self.short[n].get(b" ".join(batch.words[place : place + n]))
+                if item is not None:
+                    start = place - int(batch.starts[text])
+                    spans[text].append((start, start + n))
+                    items[text].add(item)
         out = []
         for text, n in enumerate(batch.lengths.tolist()):
             found = np.array(spans.get(text, []), np.int64).reshape(-1, 2)
             edge = np.diff(np.r_[0, covered(n, found[:, 0], found[:, 1]).astype(np.int8), 0])
-            out.append((n, np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), sorted(items.get(text, ()))))
+            mine = items.get(text, set()).union(*(self.groups[g] for g in groups.get(text, ())))
+            names = set().union(*(self.ids[item] for item in mine))
+            out.append((n, np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), sorted(names)))
         return out
 
 
-def slices_of(benchmark: DataFrame, item: str, item_text: str, slice_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The benchmark's (id, text) in lists of about ``slice_bytes`` of text, one list at least."""
+def slices_of(benchmark: DataFrame, item: str, item_text: str, slice_bytes: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
+    """Number of slices, and the benchmark's (id, text) in lists of about ``slice_bytes`` of text, one list at least."""
     items = benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(
         F.col(item).cast("string").alias("id"), F.col(item_text).alias("text")
     ).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     slices = max(1, ceil(size / slice_bytes))
     dealt = items.withColumn("slice", F.pmod(F.xxhash64("id", "text"), F.lit(slices)))
-    for i in range(slices):
-        yield sorted((r["id"], r["text"]) for r in dealt.where(F.col("slice") == i).select("id", "text").collect())
+    one = lambda i: sorted((r["id"], r["text"]) for r in dealt.where(F.col("slice") == i).select("id", "text").collect())
+    return slices, map(one, range(slices))
 
 
 def clean(
@@ -117,7 +152,7 @@ def clean(
     item: str = "item_id", item_text: str = "text", slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """The documents without a hit, with all their columns. A pass for each slice of the benchmark, as in ``find``."""
-    for i, items in enumerate(slices_of(benchmark, item, item_text, slice_bytes)):
+    for i, items in enumerate(slices_of(benchmark, item, item_text, slice_bytes)[1]):
         docs = _without(materialise(docs) if i else docs, text, items)
     return docs
 
@@ -142,7 +177,7 @@ _FOUND = "n_words long, starts array<int>, ends array<int>, items array<string>"
 def _pass(docs: DataFrame, key: str, text: str, items: list[tuple[str, str]]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
     built: list[Benchmark] = []
-    schema = T.StructType([docs.schema[key], T.StructField("_mark", T.LongType()), *T.StructType.fromDDL(_FOUND)])
+    schema = T.StructType([docs.schema[key], docs.schema["_mark"], *T.StructType.fromDDL(_FOUND)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not built:
@@ -156,7 +191,7 @@ def _pass(docs: DataFrame, key: str, text: str, items: list[tuple[str, str]]) ->
                     schema.names,
                 )
 
-    return docs.select(key, F.xxhash64(text).alias("_mark"), text).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def find(
@@ -171,20 +206,23 @@ def find(
     have no words, and such items no windows; items with a null id are left out.
     Items that share an id count as one. Each document row is taken for itself.
     The benchmark is broadcast in slices of ``slice_bytes`` of text (one item at
-    least), a pass over the documents for each; with more than one, results are
-    put together by key and text, and repeated rows come out once.
+    least), a pass over the documents for each; with more than one, keys and texts are
+    written once with a number for each row, by which results are put together. So
+    one row comes out for each that goes in, for any number of slices.
     """
-    found, slices = None, 0
-    for items in slices_of(benchmark, item, item_text, slice_bytes):
-        part = _pass(docs, key, text, items)
-        if slices:
-            part = materialise(part.where(F.size("items") > 0))
-        found, slices = part if found is None else found.unionByName(part), slices + 1
+    slices, each = slices_of(benchmark, item, item_text, slice_bytes)
+    rows = docs.select(key, F.monotonically_increasing_id().alias("_mark"), text)
     if slices == 1:
-        return found.drop("_mark")
+        return _pass(rows, key, text, next(each)).drop("_mark")
+    rows, found = materialise(rows), None
+    for items in each:
+        part = _pass(rows, key, text, items)
+        if found is not None:
+            part = materialise(part.where(F.size("items") > 0))
+        found = part if found is None else found.unionByName(part)
     runs = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))))
-    merged = found.groupBy(key, "_mark").agg(
-        F.max("n_words").alias("n_words"), runs.alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    merged = found.groupBy("_mark").agg(
+        F.first(key).alias(key), F.max("n_words").alias("n_words"), runs.alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
     # Runs of different slices may touch or overlap; a run starts anew where it passes all ends before it.
     empty = F.array().cast("array<struct<starts:int,ends:int>>")
