@@ -114,6 +114,8 @@ def test_unescape(spark):
     texts = [
         "a&amp;lt;b &lt;x&gt; &#65;&#x42;&#X1F600; &#128; &#x97; &#0; &#xD800; &#99999999999; &#1114112; &unknown; &NotEqualTilde; & &; &&amp; end&middot;\n&copy;\nz",
         "no refs", None, "", "&eacute;&#233;", "&hellip;x&",
+        # The old names and numbers without a semicolon, the longest of several, names that begin with an old one, no characters.
+        "&copy 1 &amp&lt2 &notit; &not; &notin; &ampamp; &AMPx &#65B &#x41g &#x; &#; &hellip x", "&#1;&#11;&#127;a&#xFDD0;&#xFFFE;&#x1FFFF&#13;b",
     ]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(strings.unescape(F.col("t"))).collect()]

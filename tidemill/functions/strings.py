@@ -45,28 +45,42 @@ def _name_map(names: dict[str, str]) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Decode character references: all HTML names that end in a semicolon, decimal and
-    hexadecimal numbers. Numbers of no character (surrogates, above U+10FFFF) become U+FFFD,
-    unknown names stay. A reference is decoded once: `&amp;lt;` gives `&lt;`.
+    """Decode character references: all HTML names, decimal and hexadecimal numbers.
+
+    The old names and numbers count without a semicolon too, the longest such name that the text
+    goes on with. Numbers of no character (surrogates, above U+10FFFF) become U+FFFD, those of
+    control characters and noncharacters vanish, unknown names stay. A reference is decoded
+    once: `&amp;lt;` gives `&lt;`.
 
     The text is cut before each reference, and each piece looks at its own head only.
     """
-    names = _name_map({k: v for k, v in html5.items() if k.endswith(";")})
+    closed = {k: v for k, v in html5.items() if k.endswith(";")}
+    old = {k: v for k, v in html5.items() if not k.endswith(";")}
     odd = F.create_map(*[F.lit(x) for pair in code_points().items() for x in pair])
-    shape = r"(?s)^&(#[xX][0-9a-fA-F]+;|#[0-9]+;|[A-Za-z][A-Za-z0-9]*;)(.*)$"
+    numeric = r"(?s)^&#([xX][0-9a-fA-F]+|[0-9]+);?(.*)$"
+    name = r"(?s)^&([A-Za-z][A-Za-z0-9]*;)(.*)$"
+    old_name = f"(?s)^&({'|'.join(sorted(old, key=len, reverse=True))})(.*)$"
 
-    def decode(piece: Column) -> Column:
-        ref, rest = F.regexp_extract(piece, shape, 1), F.regexp_extract(piece, shape, 2)
-        digits = F.regexp_replace(ref, "^#[xX]?0*|;$", "")
-        hexed = ref.rlike("^#[xX]")
+    def number(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, numeric, 1)
+        digits = F.regexp_replace(ref, "^[xX]?0*", "")
         size = F.length(digits)
-        number = F.when(size <= 8, F.when(hexed, F.conv(digits, 16, 10)).otherwise(digits)).cast("bigint")
-        number = F.coalesce(F.when(size == 0, F.lit(0)).otherwise(number), F.lit(0x110000))
-        gone = (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.conv(number.cast("string"), 10, 16), 8, "0")), "UTF-32")
-        numeric = F.when(gone, "\ufffd").otherwise(F.coalesce(F.try_element_at(odd, number.cast("int")), char))
-        named = F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref))
-        return F.when(~piece.rlike(shape), piece).otherwise(F.concat(F.when(ref.startswith("#"), numeric).otherwise(named), rest))
+        n = F.when(size <= 8, F.when(ref.rlike("^[xX]"), F.conv(digits, 16, 10)).otherwise(digits)).cast("bigint")
+        n = F.coalesce(F.when(size == 0, F.lit(0)).otherwise(n), F.lit(0x110000))
+        none = (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        silent = n.between(1, 8) | (n == 0xB) | n.between(0xE, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+        char = F.decode(F.unhex(F.lpad(F.conv(n.cast("string"), 10, 16), 8, "0")), "UTF-32")
+        return F.when(none, "\ufffd").when(silent, "").otherwise(F.coalesce(F.try_element_at(odd, n.cast("int")), char))
+
+    def decode(piece: Column) -> Column:
+        named = F.try_element_at(_name_map(closed), F.regexp_extract(piece, name, 1))
+        old_named = F.try_element_at(_name_map(old), F.regexp_extract(piece, old_name, 1))
+        return (
+            F.when(piece.rlike(numeric), F.concat(number(piece), F.regexp_extract(piece, numeric, 2)))
+            .when(named.isNotNull(), F.concat(named, F.regexp_extract(piece, name, 2)))
+            .when(old_named.isNotNull(), F.concat(old_named, F.regexp_extract(piece, old_name, 2)))
+            .otherwise(piece)
+        )
 
     decoded = F.array_join(F.transform(F.split(c, "(?=&)", -1), decode), "")
     return F.when(c.rlike("&[#A-Za-z]"), decoded).otherwise(c)

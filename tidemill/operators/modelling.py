@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -74,12 +75,17 @@ def one_hot(df: DataFrame, values: Mapping[str, Sequence]) -> DataFrame:
 
 
 def category_columns(df: DataFrame, share: float = 1 / 50) -> DataFrame:
-    """(column, n_distinct, is_category): few distinct values against the row count."""
-    cols = df.columns
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]))
-    seen = df.select(pairs.alias("p")).groupBy("p.column", "p.value").agg(F.count(F.lit(1)).alias("n"))
-    per = seen.groupBy("column").agg(F.count("value").alias("n_distinct"), F.sum("n").alias("_rows"))
-    return per.select("column", "n_distinct", (F.col("n_distinct") < F.col("_rows") * share).alias("is_category"))
+    """(column, n_distinct, is_category): few distinct values against the row count.
+
+    Each column is counted for itself, so its scan reads that column alone and its values are
+    combined map-side before the shuffle, in their own type. Nulls are no value.
+    """
+    counts = [
+        df.agg(F.lit(c).alias("column"), F.count_distinct(F.col(c)).alias("n_distinct"), F.count(F.lit(1)).alias("_rows"))
+        for c in df.columns
+    ]
+    every = reduce(DataFrame.unionByName, counts)
+    return every.select("column", "n_distinct", (F.col("n_distinct") < F.col("_rows") * share).alias("is_category"))
 
 
 def tag_list(df: DataFrame, tags: str, sep: str = " ", most: int = 1_000) -> list[str]:
