@@ -1,10 +1,14 @@
 """What steps leave on the disk and hold in a task, on rows of the tests' own."""
 
 import random
+import re
 
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators import joins as J
 from tidemill.operators import modelling as M
+from tidemill.operators import nearest as N
 
 
 def shuffles(spark):
@@ -19,3 +23,48 @@ def test_factorisation_drops_its_shuffles(spark):
     model = M.fit_als(df, "u", "i", "r", rank=3, iterations=9)
     assert shuffles(spark) - before < 9
     assert model.userFactors.count() == 30
+
+
+def test_grid_is_not_shuffled(spark, rows, monkeypatch):
+    """Nulls in every key, sums of null and NaN, and more keys than travel together."""
+    monkeypatch.setattr(J, "GRID_SLOT", 4)
+    data = [(m, f"s{s}", f"i{i}", float(s + i)) for m in (1, 2) for s in range(6) for i in range(9) if (s * i + m) % 4 == 0]
+    data += [(None, "s1", "i1", 5.0), (1, None, "i1", 6.0), (1, "s1", None, 7.0), (2, "s0", "i77", None), (2, "s1", "i78", float("nan"))]
+    df = spark.createDataFrame(data, "m int, a string, b string, v double")
+    got = J.block_grid(df, "m", "a", "b", F.sum("v"), "n")
+    sums = df.groupBy("m", "a", "b").agg(F.sum("v").alias("n"))
+    grid = sums.select("m", "a").distinct().join(sums.select("m", "b").distinct(), "m")
+    assert rows(got) == rows(grid.join(sums, ["m", "a", "b"], "left").fillna(0, ["n"]))
+    many = spark.range(300).select(F.lit(1).alias("m"), F.col("id").alias("a"), F.col("id").alias("b"), F.col("id").alias("v"))
+    grid = J.block_grid(many, "m", "a", "b", F.sum("v"), "n")
+    assert not re.search(r"hashpartitioning\(m#\d+, a#\d+L?, b#", grid._jdf.queryExecution().executedPlan().toString())
+    assert grid.agg(F.sum("n"), F.count("*")).first()[:] == (44850, 90000)
+
+
+def test_vectors_of_a_repeated_key(spark):
+    """0/1 vectors hold a term once, also of a key that comes twice; before, its terms were counted by key and term."""
+    lists = spark.createDataFrame([(1, ["a", "b", "a"]), (1, ["b", "c"]), (2, ["z"]), (3, [])], "k long, terms array<string>")
+    vocab = spark.createDataFrame([("a", 0, 2), ("b", 1, 2), ("c", 2, 1)], "term string, index int, df long")
+    before = shuffles(spark)
+    got = sorted((r["k"], tuple(r["features"].indices), tuple(r["features"].values), r["total"]) for r in M.term_vectors(lists, vocab, "k", binary=True).collect())
+    assert got == [(1, (0, 1, 2), (1.0, 1.0, 1.0), 3.0)] * 2 + [(2, (), (), 0.0), (3, (), (), 0.0)]
+    assert shuffles(spark) <= before  # the files went with the job
+
+
+def test_routes_are_given_back_in_pieces(spark, monkeypatch):
+    """A query that reaches all cells has a row with its vector for each; a task gives few of them back at a time."""
+    monkeypatch.setattr(N, "ROUTED", 64)
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(12)]) for i in range(400)], "vec_id long, embedding array<double>")
+    sizes = []
+    real = DataFrame.mapInPandas
+
+    def watched(self, func, schema, *args, **kw):
+        if "cell int" in str(schema) and "to_pivot" not in str(schema):
+            pdf = self.toPandas()
+            sizes.extend(len(out) for out in func(iter([pdf])))
+        return real(self, func, schema, *args, **kw)
+
+    monkeypatch.setattr(DataFrame, "mapInPandas", watched)
+    got = N.knn(df, df, 3, cells=20, exclude_self=True)
+    assert got.count() == 1200 and max(sizes) <= 64 and sum(sizes) > 400
