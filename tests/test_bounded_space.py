@@ -3,12 +3,16 @@
 import random
 import re
 
+import numpy as np
+import pytest
 from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators import aggregates as A
 from tidemill.operators import joins as J
 from tidemill.operators import modelling as M
 from tidemill.operators import nearest as N
+from tidemill.plans import star
 
 
 def shuffles(spark):
@@ -68,3 +72,45 @@ def test_routes_are_given_back_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(DataFrame, "mapInPandas", watched)
     got = N.knn(df, df, 3, cells=20, exclude_self=True)
     assert got.count() == 1200 and max(sizes) <= 64 and sum(sizes) > 400
+
+
+def _below_first_combining(df):
+    """The plan under the aggregate that works first, up to the next aggregate or the leaves."""
+    return df._jdf.queryExecution().executedPlan().toString().rsplit("HashAggregate(", 1)[1]
+
+
+def test_plays_are_shuffled_before_they_are_combined(spark, rows):
+    """Before, the task that read or joined the rows held all different plays of its input."""
+    play = "timestamp_millis(0) ts0, 'NextSong' page, 5 sessionid, 'f' firstname, 'free' level, 'x' location, 'u' useragent, 1.0D length"
+    events = spark.range(60).selectExpr("cast(id % 20 as bigint) ts", "cast(id % 4 as bigint) userid", "if(id % 3 = 0, null, 's1') song", "'a1' artist", *play.split(", "))
+    songs = spark.sql("select 1L song_id, 1L artist_id, 's1' title, 'a1' artist_name, 1.0D duration")
+    got = star.songplays(events, songs)
+    assert re.search(r"Exchange hashpartitioning\(.*, REBALANCE_PARTITIONS_BY_COL", _below_first_combining(got))
+    plain = got.select("start_time", "userid", "song_id").distinct()
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(playid") == 1
+    assert got.count() == got.distinct().count() == plain.count() == 40
+
+
+def test_ranks_travel_long(spark, rows):
+    """Before, a task that held the rows of a frequent value kept a wide row for each of their ids."""
+    data = [(i % 3, (i * 7) % 11, i % 5) for i in range(60)] + [(None, 1, 1)]
+    df = spark.createDataFrame(data, "a int, b int, c int")
+    asked = []
+    real = DataFrame.repartition
+
+    def seen(self, *cols):
+        asked.append((cols, self.columns))
+        return real(self, *cols)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(DataFrame, "repartition", seen)
+        got = {(r["a"], r["b"]): r["rho"] for r in A.spearman(df, ["a", "b", "c"]).collect()}
+    assert (("_id",), ["_id", "_w", "_c", "rank"]) in asked
+    full = data[:-1]
+
+    def rank(col):
+        values = sorted(r[col] for r in full)
+        return [values.index(r[col]) + (values.count(r[col]) + 1) / 2 for r in full]
+
+    for (i, x), (j, y) in ((a, b) for a in enumerate("abc") for b in enumerate("abc") if a < b):
+        assert got[x, y] == pytest.approx(np.corrcoef(rank(i), rank(j))[0, 1])

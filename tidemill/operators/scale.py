@@ -3,6 +3,7 @@
 ``attach``       put one row of statistics per key onto every row of that key.
 ``ordered_scan`` running totals along an order, for one key or for the table.
 ``top_per_key``  best k rows per key.
+``distinct_rows`` distinct rows of a frame whose rows are mostly distinct already.
 
 None of them needs a whole key, or a whole table, in one task.
 """
@@ -165,3 +166,13 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     key before the shuffle, so a hot key sends only a few rows."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows of a wide frame of which few repeat.
+
+    Combining ahead of the shuffle would hold every different row of its task, and a task that reads
+    well packed files has as many as a split makes. So rows are shuffled first, by all
+    columns, and combined in parts that Spark cuts by size.
+    """
+    return df.hint("rebalance", *df.columns).distinct()

@@ -12,6 +12,7 @@ from tidemill.operators.joins import join_rounded
 from tidemill.operators.loads import union_all
 from tidemill.operators.quality import check_nonempty, check_unique, combine
 from tidemill.operators.relational import keep_codes
+from tidemill.operators.scale import distinct_rows
 from tidemill.session import materialise
 from tidemill.sources.sinks import write_table
 
@@ -22,7 +23,7 @@ def songplays(events: DataFrame, songs: DataFrame, duration_scale: int | None =
     known = songs.select("song_id", "artist_id", "title", "artist_name", "duration")
     joined = join_rounded(plays, known, [("song", "title"), ("artist", "artist_name")], ("length", "duration"), duration_scale, "left")
     key = dates.play_key(F.col("sessionid"), F.col("start_time")).alias("playid")
-    return joined.select(key, "start_time", "userid", "level", "song_id", "artist_id", "sessionid", "location", "useragent").distinct()
+    return distinct_rows(joined.select(key, "start_time", "userid", "level", "song_id", "artist_id", "sessionid", "location", "useragent"))
 
 
 def users(events: DataFrame) -> DataFrame:
