@@ -240,7 +240,8 @@ def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ranks = average_ranks(long.groupBy("_c", "value").agg(F.sum("_w").alias("n")), "_c")
     ranked_rows = attach(long, ranks, ["_c", "value"], "n")
     wide = [F.max(F.when(F.col("_c") == i, F.col("rank"))).alias(f"_rank_{c}") for i, c in enumerate(cols)]
-    rows = ranked_rows.groupBy("_id").agg(F.first("_w").alias("_w"), *wide)
+    # Shuffled while long: a task holds rows of few values, so each id once, and combining there would keep them all.
+    rows = ranked_rows.select("_id", "_w", "_c", "rank").repartition("_id").groupBy("_id").agg(F.first("_w").alias("_w"), *wide)
     w = F.col("_w")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
     total = F.sum(w)
