@@ -9,6 +9,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators import aggregates as A
+from tidemill.operators import boxes as B
 from tidemill.operators import joins as J
 from tidemill.operators import modelling as M
 from tidemill.operators import nearest as N
@@ -114,3 +115,21 @@ def test_ranks_travel_long(spark, rows):
 
     for (i, x), (j, y) in ((a, b) for a in enumerate("abc") for b in enumerate("abc") if a < b):
         assert got[x, y] == pytest.approx(np.corrcoef(rank(i), rank(j))[0, 1])
+
+
+def test_boxes_of_an_image_travel_once(spark, rows, monkeypatch):
+    """Images of few boxes take one write, however many rounds they would need; full ones, and boxes without an image, give the same by rounds."""
+    rnd = random.Random(5)
+    box = lambda: [float(x) for x in (rnd.randint(0, 9), rnd.randint(0, 9), rnd.randint(10, 30), rnd.randint(10, 30))]
+    data = [(g if g < 12 else None, rnd.randint(0, 20), rnd.choice([0.1, 0.5, 0.9, None]), *box()) for g in range(13) for _ in range(2 + 3 * g)]
+    df = spark.createDataFrame(data + data[:9], "img int, id int, score double, x1 double, y1 double, x2 double, y2 double")
+    writes, real = [], B.materialise
+    monkeypatch.setattr(B, "materialise", lambda d: writes.append(d) or real(d))
+    once = rows(B.nms(df.where("img is not null"), "img", "id", max_boxes=4, limit=0.4))
+    assert len(writes) <= 3 and len(once) > 24
+    got = {}
+    for most in (0, 14, 1000):
+        monkeypatch.setattr(B, "ROW_BOXES", most)
+        got[most] = rows(B.nms(df, "img", "id", max_boxes=4, limit=0.4))
+    assert got[0] == got[14] == got[1000] and [r for r in got[0] if r[0] is not None] == once
+    assert sum(r[0] is None for r in got[0]) == 1

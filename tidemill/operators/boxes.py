@@ -56,24 +56,53 @@ def box_filter(df: DataFrame, conf: Column, probs: Column, limit: float) -> Data
     return best.withColumn("class", F.array_position("_s", F.col("score")) - 1).where(F.col("score") >= limit).drop("_s")
 
 
+#: Boxes of an image that are worked through in one row; images of more go round by round.
+ROW_BOXES = 1_000
+
+
 def nms(df: DataFrame, image: str, box_id: str, score: str = "score", max_boxes: int = 10, limit: float = 0.5) -> DataFrame:
     """Greedy non-max suppression per image: best scores first, ties by box id.
 
-    Round by round the best remaining box of every image is kept (one map-side
-    combined aggregate), and boxes that overlap it by more than ``limit`` leave.
-    There are at most ``max_boxes`` rounds, each written once, which keeps the plan
-    short; images of any size take the same path and none is gathered in one task.
+    The boxes of an image with up to ``ROW_BOXES`` are shuffled once and gathered in a row, where they
+    are passed in order. Of fuller images, rows / ``ROW_BOXES`` at most, none is gathered in one
+    task: round by round the best remaining box of each is kept (one map-side combined aggregate),
+    and boxes that overlap it by more than ``limit`` leave. There are at most ``max_boxes`` rounds,
+    each written once, which keeps the plan short. Boxes without an image are handled like those of
+    a full one; their best is kept.
     """
     names = [image, box_id, score, *BOX]
     # Boxes may share an id; a row number, fixed by the first write, tells them apart.
+    every = materialise(df.select(*names, F.monotonically_increasing_id().alias("_row")))
+    full = materialise(every.groupBy(image).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ROW_BOXES).select(image))
+    in_rows = every.drop("_row").where(F.col(image).isNotNull()).join(F.broadcast(full), image, "left_anti")
+    kept = [_nms_in_rows(in_rows, image, box_id, score, max_boxes, limit)]
+
     pick = F.max_by(F.struct("_row", box_id, score, *BOX), F.struct(F.col(score), -F.col(box_id), F.struct(*BOX), "_row"))
-    left, kept = materialise(df.select(*names, F.monotonically_increasing_id().alias("_row"))), []
+    left = every.where(F.col(image).isNull()).unionByName(every.join(F.broadcast(full), image, "left_semi").select(*every.columns))
+    left = materialise(left)
     for _ in range(max_boxes):
+        if left.isEmpty():
+            break
         best = left.groupBy(image).agg(pick.alias("_b"), F.count(F.lit(1)).alias("_n"))
         kept.append(best.select(image, "_b.*"))
         both = attach(left, best, [image], "_n")
         apart = F.coalesce(iou(cols(), cols("_b.")), F.lit(0.0)) <= limit
         left = materialise(both.where((F.col("_row") != F.col("_b._row")) & apart).select(*names, "_row"))
-        if left.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, kept).select(*names)
+    return reduce(DataFrame.unionByName, [k.select(*names) for k in kept])
+
+
+def _nms_in_rows(df: DataFrame, image: str, box_id: str, score: str, max_boxes: int, limit: float) -> DataFrame:
+    """The boxes kept of images of few boxes: one shuffle, then a pass over each image's sorted boxes."""
+    box = F.struct(F.col(score).alias("s"), (-F.col(box_id)).alias("_i"), F.struct(*BOX).alias("b"), F.col(box_id).alias("i"))
+    corner = lambda k: {c: k["b"][c] for c in BOX}
+    overlaps = lambda k, o: F.coalesce(iou(corner(o), corner(k)), F.lit(0.0)) > limit
+
+    def next_box(taken: Column, o: Column) -> Column:
+        out = (F.size(taken) >= max_boxes) | F.exists(taken, lambda k: overlaps(k, o))
+        return F.when(out, taken).otherwise(F.concat(taken, F.array(o)))
+
+    # Gathered behind the shuffle: a list per image and task ahead of it would combine little.
+    lists = df.repartition(image).groupBy(image).agg(F.sort_array(F.collect_list(box), asc=False).alias("_o"))
+    rest = F.slice("_o", F.lit(2), F.size("_o"))
+    taken = lists.select(image, F.explode(F.aggregate(rest, F.slice("_o", 1, 1), next_box)).alias("_k"))
+    return taken.select(image, F.col("_k.i").alias(box_id), F.col("_k.s").alias(score), *[F.col(f"_k.b.{c}").alias(c) for c in BOX])
