@@ -133,3 +133,19 @@ def test_boxes_of_an_image_travel_once(spark, rows, monkeypatch):
         got[most] = rows(B.nms(df, "img", "id", max_boxes=4, limit=0.4))
     assert got[0] == got[14] == got[1000] and [r for r in got[0] if r[0] is not None] == once
     assert sum(r[0] is None for r in got[0]) == 1
+
+
+def test_forest_rows_are_dealt(spark, rows, monkeypatch):
+    """Rows of one packed split reach a forest in several tasks; rows that are few, or spread well, stay where they are."""
+    packed = spark.range(4000).select("id", F.rand(3).alias("a"), (F.col("id") % 7).cast("double").alias("y")).coalesce(1)
+    assert M.dealt(packed) is packed
+    monkeypatch.setattr(M, "FOREST_ROWS", 250)
+    fitted = []
+    for kind in (M.RandomForestRegressor, M.RandomForestClassifier):
+        monkeypatch.setattr(kind, "fit", lambda self, df: fitted.append(df))
+    M.fit_forest(packed, "y")
+    M.fit_forest_classifier(packed, "y")
+    assert [df.rdd.getNumPartitions() for df in fitted] == [16, 16] and rows(fitted[0]) == rows(packed)
+    assert max(fitted[0].rdd.glom().map(len).collect()) < 500
+    even = spark.range(0, 8000, 1, 8)
+    assert M.dealt(even) is even and M.dealt(even.limit(0)).count() == 0
