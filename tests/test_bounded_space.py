@@ -9,6 +9,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators import aggregates as A
+from tidemill.operators import approximate as X
 from tidemill.operators import boxes as B
 from tidemill.operators import joins as J
 from tidemill.operators import modelling as M
@@ -149,3 +150,22 @@ def test_forest_rows_are_dealt(spark, rows, monkeypatch):
     assert max(fitted[0].rdd.glom().map(len).collect()) < 500
     even = spark.range(0, 8000, 1, 8)
     assert M.dealt(even) is even and M.dealt(even.limit(0)).count() == 0
+
+
+def test_index_writes_vectors_once(spark, monkeypatch, tmp_path):
+    """Only the index itself holds the vectors; before, they were written once more, and joined to the sizes of all buckets."""
+    monkeypatch.setattr(X, "BLOCK_ROWS", 20)
+    rnd = random.Random(6)
+    df = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(4)] if i % 9 else [1.0, 0.0, 0.0, 0.0]) for i in range(400)], "vec_id long, embedding array<double>")
+    written, real = [], X.materialise
+    monkeypatch.setattr(X, "materialise", lambda d: written.append(d.columns) or real(d))
+    index = X.build_index(df, str(tmp_path / "i"), tables=2, fill=100)
+    assert not any("v" in c for c in written)
+    found = index.rows.collect()
+    assert sorted((r["table"], r["id"]) for r in found) == [(t, i) for t in range(2) for i in range(400)]
+    size, blocks = {}, {}
+    for r in found:
+        at = (r["table"], r["bucket"])
+        size[at] = size.get(at, 0) + 1
+        blocks.setdefault(at, set()).add(r["block"])
+    assert max(size.values()) > 40 and all(blocks[at] == set(range(-(-n // 20))) for at, n in size.items() if n > 40)
