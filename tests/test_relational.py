@@ -53,6 +53,15 @@ def test_common_neighbours_with_hub(spark, rows, monkeypatch, light):
     assert rows(J.common_neighbours(edges, pairs)) == [("a", "h", 2), ("h", "a", 2), ("h", "x", 0), ("n1", "n2", 2)]
 
 
+def test_common_neighbours_works_edges_out_once(spark, rows):
+    """Edges and pairs are read from written copies, however many steps need them."""
+    edges = spark.createDataFrame([("a", "n"), ("b", "n"), ("b", "m")], "src string, dst string")
+    got = J.common_neighbours(edges, spark.createDataFrame([("a", "b"), ("a", "m")], "a string, b string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "Union" not in plan
+    assert rows(got) == [("a", "b", 1), ("a", "m", 0)]
+
+
 def test_block_grid(spark, rows):
     df = spark.createDataFrame([(1, "s", "i", 2), (1, "t", "j", 3)], "m int, a string, b string, v int")
     assert rows(J.block_grid(df, "m", "a", "b", F.sum("v"), "n")) == [(1, "s", "i", 2), (1, "s", "j", 0), (1, "t", "i", 0), (1, "t", "j", 3)]

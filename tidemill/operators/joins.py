@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.scale import attach
-from tidemill.session import materialise
+from tidemill.session import materialise, shuffles_dropped
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -149,14 +149,18 @@ def common_neighbours(edges: DataFrame, pairs: DataFrame, src: str = "src", dst:
     pair to the other end, where both lists are intersected; no neighbour is a row.
     Pairs with a heavier end, whose lists are not gathered, are expanded over the end with
     fewer neighbours, so one hub does not multiply the work.
+
+    Distinct edges, degrees and pairs are written once, as several steps read each.
     """
-    both = (
-        edges.select(F.col(src).alias("node"), F.col(dst).alias("peer"))
-        .union(edges.select(F.col(dst), F.col(src)))
-        .distinct()
-    )
-    degree = both.groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
-    p = pairs.select("a", "b").distinct()
+    with shuffles_dropped(edges.sparkSession):
+        both = materialise(
+            edges.select(F.col(src).alias("node"), F.col(dst).alias("peer"))
+            .union(edges.select(F.col(dst), F.col(src)))
+            .distinct()
+        )
+        degree = materialise(both.groupBy("node").agg(F.count(F.lit(1)).alias("deg")))
+        p = materialise(pairs.select("a", "b").distinct())
+    hubs = not degree.where(F.col("deg") > LIGHT).isEmpty()
     sized = p
     for end in ("a", "b"):
         uses = p.groupBy(end).agg(F.count(F.lit(1)).alias("_n"))
@@ -170,12 +174,15 @@ def common_neighbours(edges: DataFrame, pairs: DataFrame, src: str = "src", dst:
         "a", "b", F.when(swap, F.col("b")).otherwise(F.col("a")).alias("node"),
         F.when(swap, F.col("a")).otherwise(F.col("b")).alias("other"), (F.coalesce(most, F.lit(0)) <= LIGHT).alias("light"),
     )
-    light = both.join(degree.where(F.col("deg") <= LIGHT).select("node"), "node").groupBy("node").agg(F.collect_list("peer").alias("peers"))
+    listed = both.join(degree.where(F.col("deg") <= LIGHT).select("node"), "node") if hubs else both.where(F.col("node").isNotNull())
+    light = listed.groupBy("node").agg(F.collect_list("peer").alias("peers"))
     mine = light.select("node", F.col("peers").alias("mine"))
     theirs = light.select(F.col("node").alias("other"), F.col("peers").alias("theirs"))
     met = small.where("light").join(mine, "node").join(theirs, "other")
     few = met.select("a", "b", F.size(F.array_intersect("mine", "theirs")).cast("bigint").alias("common"))
-    walked = small.where("not light").join(both, "node").select("a", "b", F.col("other").alias("node"), "peer")
-    hits = walked.join(both, ["node", "peer"], "left_semi")
-    counts = few.unionByName(hits.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")))
+    counts = few
+    if hubs:
+        walked = small.where("not light").join(both, "node").select("a", "b", F.col("other").alias("node"), "peer")
+        hits = walked.join(both, ["node", "peer"], "left_semi")
+        counts = few.unionByName(hits.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")))
     return p.join(counts, ["a", "b"], "left").fillna(0, ["common"])

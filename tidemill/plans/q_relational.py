@@ -12,6 +12,7 @@ from tidemill.operators import loads as U
 from tidemill.operators import relational as P
 from tidemill.operators.scale import top_per_key
 from tidemill.plans.registry import query
+from tidemill.session import materialise
 
 MONEY = "decimal(18,2)"
 
@@ -831,7 +832,7 @@ def pair_leak(t):
     and a supplier who share many parts are suspected to leak."""
     o, l = t.orders.select("o_orderkey", "o_custkey"), t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
     c, p, s = F.col("o_custkey") * 3, F.col("l_partkey") * 3 + 1, F.col("l_suppkey") * 3 + 2
-    ol = J.join_on(o, l, [("o_orderkey", "l_orderkey")])
+    ol = materialise(J.join_on(o, l, [("o_orderkey", "l_orderkey")]).select("o_custkey", "l_partkey", "l_suppkey"))
     edges = ol.select(c.alias("src"), p.alias("dst")).union(l.select(s, p))
     df = J.common_neighbours(edges, ol.select(c.alias("a"), s.alias("b")))
     return df.withColumn("leak", F.col("common") > 3)
