@@ -31,6 +31,18 @@ def test_factorisation_drops_its_shuffles(spark):
     assert model.userFactors.count() == 30
 
 
+def test_blocks_of_a_factorisation_follow_the_ratings(spark, monkeypatch):
+    """Before, there were ten blocks however many ratings there were, so that a task held a tenth of them."""
+    seen = []
+    real = M.ALS
+    monkeypatch.setattr(M, "ALS", lambda **kw: seen.append((kw.get("numUserBlocks"), kw.get("numItemBlocks"))) or real(**kw))
+    df = spark.range(400).selectExpr("cast(id % 20 as int) u", "cast(id % 33 as int) i", "cast(id % 5 as float) r")
+    M.fit_als(df, "u", "i", "r", rank=2, iterations=1)
+    monkeypatch.setattr(M, "ALS_RATINGS", 25, raising=False)
+    model = M.fit_als(df, "u", "i", "r", rank=2, iterations=1)
+    assert seen == [(10, 10), (16, 16)] and model.userFactors.count() == 20
+
+
 def test_grid_is_not_shuffled(spark, rows, monkeypatch):
     """Nulls in every key, sums of null and NaN, and more keys than travel together."""
     monkeypatch.setattr(J, "GRID_SLOT", 4)
