@@ -59,6 +59,21 @@ def test_grid_is_not_shuffled(spark, rows, monkeypatch):
     assert grid.agg(F.sum("n"), F.count("*")).first()[:] == (44850, 90000)
 
 
+def test_grid_is_dealt_by_its_rows(spark, rows, monkeypatch):
+    """Before, the few bytes that a grid comes from were one task, which compared keys with keys in pairs."""
+    monkeypatch.setattr(J, "GRID_ROWS", 500, raising=False)
+    data = [(m, f"s{s}", float("nan") if i == 5 else float(i), 1) for m in (1, 2) for s in range(50) for i in range(60) if (s + i + m) % 7 == 0]
+    df = spark.createDataFrame([*data, (1, "s0", None, 2), (2, None, 3.0, 4)], "m int, a string, b double, v int")
+    got = J.block_grid(df, "m", "a", "b", F.sum("v"), "n")
+    assert got.rdd.getNumPartitions() >= 12
+    assert not re.search(r"array_except\(_all#\d+, .*as array<struct", got._jdf.queryExecution().optimizedPlan().toString())
+    sums = df.groupBy("m", "a", "b").agg(F.sum("v").alias("n"))
+    grid = sums.select("m", "a").distinct().join(sums.select("m", "b").distinct(), "m")
+    joined = grid.join(sums, ["m", "a", "b"], "left").fillna(0, ["n"])
+    text = [F.col(c).cast("string").alias(c) for c in ("m", "a", "b", "n")]
+    assert rows(got.select(*text)) == rows(joined.select(*text))
+
+
 def test_vectors_of_a_repeated_key(spark):
     """0/1 vectors hold a term once, also of a key that comes twice; before, its terms were counted by key and term."""
     lists = spark.createDataFrame([(1, ["a", "b", "a"]), (1, ["b", "c"]), (2, ["z"]), (3, [])], "k long, terms array<string>")
