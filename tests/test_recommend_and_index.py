@@ -31,6 +31,18 @@ def test_planted_biases_and_factors(ratings):
     assert joint < 0.2 and joint < biases / 3 and joint < factors / 2
 
 
+def test_a_round_joins_its_rows_once(spark, ratings, monkeypatch):
+    """Before, users' biases were joined to the rows twice a round, and what the last round leaves was worked out for nothing."""
+    read, real = [], R.attach
+    monkeypatch.setattr(R, "attach", lambda rows, stats, keys, weight: read.append(keys[0]) or real(rows, stats, keys, weight))
+    written, write = [], R.materialise
+    monkeypatch.setattr(R, "materialise", lambda df: written.append(set(df.columns)) or write(df))
+    train, _ = ratings
+    R.fit_bias_factors(train, "u", "i", "r", -5.0, 15.0, rank=2, rounds=2, iterations=2)
+    assert read == ["u", "i", "u", "i", "u", "i"]
+    assert written.count({"u", "i", "_y", "_f", "_bu"}) == 2
+
+
 def test_unknown_users_and_range(spark, ratings):
     train, _ = ratings
     model = R.fit_bias_factors(train, "u", "i", "r", 4.0, 6.0, rank=2, rounds=1)

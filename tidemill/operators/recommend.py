@@ -55,16 +55,17 @@ def fit_bias_factors(
 
     Each side is fitted to what the other one leaves of the ratings. ``rank`` 0 leaves
     the factors out. Users and items are integers, as the factorisation needs them.
-    Every round's residuals are written once; the round before is deleted, as are shuffle files.
+    Every round's residuals are written once, and the rows with their user's bias; the round before is
+    deleted, as are shuffle files. What the last round leaves is not worked out, as nothing is fitted to it.
     """
     with shuffles_dropped(ratings.sparkSession):
         plain = ratings.select(user, item, F.col(rating).cast("double").alias("_y"))
         mean = plain.agg(F.avg("_y")).first()[0]
         model, now = None, materialise(plain.where(F.col("_y").isNotNull()).withColumns({"_bi": F.lit(0.0), "_f": F.lit(0.0)}))
-        for _ in range(rounds):
+        for turn in range(rounds):
             left = F.col("_y") - F.lit(mean) - F.col("_f")
             users = materialise(_biases(now, user, left - F.col("_bi"), bias_penalty, "_bu"))
-            with_user = attach(now.drop("_bi"), users, [user], "_n").drop("_n")
+            with_user = materialise(attach(now.drop("_bi"), users, [user], "_n").drop("_n"))
             items = materialise(_biases(with_user, item, left - F.col("_bu"), bias_penalty, "_bi"))
             own = [users.withColumn("_p", F.lit(None).cast("array<float>")), items.withColumn("_q", F.lit(None).cast("array<float>"))]
             if rank:
@@ -75,9 +76,11 @@ def fit_bias_factors(
                 own = [users.join(named(fit.userFactors, user, "_p"), user, "left"), items.join(named(fit.itemFactors, item, "_q"), item, "left")]
                 discard(residuals)
             before, model = model, BiasFactors(user, item, mean, lo, hi, materialise(own[0]), materialise(own[1]))
-            after = materialise(model.parts(now.drop("_bi", "_f")).select(user, item, "_y", "_bi", "_f"))
-            discard(now, users, items, *((before.users, before.items) if before else ()))
-            now = after
+            discard(with_user, users, items, *((before.users, before.items) if before else ()))
+            if turn < rounds - 1:
+                after = materialise(model.parts(now.drop("_bi", "_f")).select(user, item, "_y", "_bi", "_f"))
+                discard(now)
+                now = after
         discard(now)
     return model
 
