@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import vectors as V
 from tidemill.operators import boxes as B
+from tidemill.operators import modelling as M
 from tidemill.operators import nearest as N
 from tidemill.operators import text as T
 
@@ -182,3 +184,22 @@ def test_nms_boxes_that_share_an_id(spark, rows):
 def test_box_filter(spark, rows):
     df = spark.createDataFrame([(1, 0.9, [0.1, 0.8]), (2, 0.2, [0.9, 0.1])], "id int, c double, p array<double>")
     assert rows(B.box_filter(df, F.col("c"), F.col("p"), 0.6), "id", "class") == [(1, 1)]
+
+
+@pytest.mark.parametrize("by", ["total", "df"])
+def test_frequent_terms_a_length_at_a_time(spark, rows, monkeypatch, by):
+    """Before, all n-grams of all lengths were shuffled at once."""
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("aaabbbccddeefghij") for _ in range(rnd.randint(0, 30))) for _ in range(60)]
+    tokens = _docs(spark, *texts, texts[0])
+    monkeypatch.setattr(T, "AT_ONCE", 0, raising=False)
+    counted = []
+    real = T._of_length
+    monkeypatch.setattr(T, "_of_length", lambda texts, key, n, parts: counted.append((n, parts is not None)) or real(texts, key, n, parts))
+    for most in (5, 40, 150, 100_000):
+        want = T.top_terms(T.corpus_terms(tokens, "id", 1, 4), most, by)
+        assert rows(T.frequent_terms(tokens, "id", 1, 4, most, by), "term", "total", "df") == rows(want, "term", "total", "df")
+    assert counted[:4] == [(1, False), (2, True), (3, True), (4, True)] and counted[-1] == (4, False)
+    odd = spark.createDataFrame([(1, ["a b", "c", "a", "b c"]), (2, ["a", None, "b", "c"])], "id long, tokens array<string>")
+    want = T.top_terms(T.corpus_terms(odd, "id", 1, 3), 3, by)
+    assert rows(T.frequent_terms(odd, "id", 1, 3, 3, by)) == rows(want)
