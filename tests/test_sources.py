@@ -165,3 +165,14 @@ def test_loose_headers_with_line_breaks(spark, rows, tmp_path):
     good, bad = files.read_loose(spark, paths, ["TXN DATE", "ARN"], width=5)
     assert rows(good, "TXN DATE", "ARN") == [(None, "c"), ("x", 'a "1"\nb'), ("y", "d")]
     assert [r[0].rsplit("/", 1)[1] for r in bad.collect()] == ["none.csv"]
+
+
+def test_texts_are_dealt_to_tasks_by_their_number(spark, rows, tmp_path, monkeypatch):
+    """Before, a few bytes were one task, which wrote all files one after the other."""
+    monkeypatch.setattr(sinks, "FILES_A_TASK", 5)
+    df = spark.createDataFrame([(i, f"text\n{i}") for i in range(40)], "k long, text string").coalesce(1)
+    sinks.write_texts(df, "k", "text", str(tmp_path / "r" / "pos"))
+    names = [p.name for p in (tmp_path / "r" / "pos").glob("part-*")]
+    assert len(names) == 40 and len({n.split("-")[1] for n in names}) >= 6
+    back = files.read_labelled_text(spark, str(tmp_path / "r"))
+    assert rows(back, "label", "text") == sorted(("pos", f"text\n{i}\u0000") for i in range(40))
