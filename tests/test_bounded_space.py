@@ -103,6 +103,30 @@ def test_routes_are_given_back_in_pieces(spark, monkeypatch):
     assert got.count() == 1200 and max(sizes) <= 64 and sum(sizes) > 400
 
 
+def test_common_neighbours_in_rounds(spark, rows, monkeypatch):
+    """Before, the lists of all pairs were on the disk at once."""
+    monkeypatch.setattr(J, "PEERS_A_ROUND", 100, raising=False)
+    rnd = random.Random(8)
+    edges = {(rnd.randint(0, 30), rnd.randint(100, 140)) for _ in range(300)}
+    pairs = {(rnd.randint(0, 35), rnd.choice([rnd.randint(0, 30), rnd.randint(100, 150), None])) for _ in range(120)} | {(None, None)}
+    peers = {}
+    for a, b in edges:
+        peers.setdefault(a, set()).add(b)
+        peers.setdefault(b, set()).add(a)
+    written, real = [], J.materialise
+    monkeypatch.setattr(J, "materialise", lambda d: written.append(d.columns) or real(d))
+    df = spark.createDataFrame(sorted(edges), "src long, dst long")
+    asked = spark.createDataFrame(sorted(pairs, key=str), "a long, b long")
+    for light in (4096, 6):
+        monkeypatch.setattr(J, "LIGHT", light)
+        before = shuffles(spark)
+        got = J.common_neighbours(df, asked)
+        assert shuffles(spark) <= before
+        want = {(a, b): len(peers.get(a, set()) & peers.get(b, set())) if None not in (a, b) else 0 for a, b in pairs}
+        assert {(r["a"], r["b"]): r["common"] for r in got.collect()} == want and got.count() == len(want)
+    assert written.count(["a", "b", "common"]) > 4
+
+
 def _below_first_combining(df):
     """The plan under the aggregate that works first, up to the next aggregate or the leaves."""
     return df._jdf.queryExecution().executedPlan().toString().rsplit("HashAggregate(", 1)[1]

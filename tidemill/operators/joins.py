@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.scale import attach
-from tidemill.session import materialise, shuffles_dropped
+from tidemill.session import discard, materialise, shuffles_dropped
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -155,6 +156,8 @@ def block_grid(df: DataFrame, block: str, a: str, b: str, measure: Column, out:
 
 #: Neighbours of a node that are gathered into one list, at most (8 bytes each).
 LIGHT = 4096
+#: Neighbours that travel with the pairs of a round, about (8 bytes each).
+PEERS_A_ROUND = 250_000_000
 
 
 def common_neighbours(edges: DataFrame, pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -166,7 +169,9 @@ def common_neighbours(edges: DataFrame, pairs: DataFrame, src: str = "src", dst:
     Pairs with a heavier end, whose lists are not gathered, are expanded over the end with
     fewer neighbours, so one hub does not multiply the work.
 
-    Distinct edges, degrees and pairs are written once, as several steps read each.
+    Distinct edges, degrees, pairs and the lists of their ends are written once, as several steps read each. Pairs
+    are worked off in rounds, by a hash of the end that is not sent, with about ``PEERS_A_ROUND`` neighbours each;
+    a round's counts are written and its shuffle files go.
     """
     with shuffles_dropped(edges.sparkSession):
         both = materialise(
@@ -176,29 +181,41 @@ def common_neighbours(edges: DataFrame, pairs: DataFrame, src: str = "src", dst:
         )
         degree = materialise(both.groupBy("node").agg(F.count(F.lit(1)).alias("deg")))
         p = materialise(pairs.select("a", "b").distinct())
-    hubs = not degree.where(F.col("deg") > LIGHT).isEmpty()
-    sized = p
-    for end in ("a", "b"):
-        uses = p.groupBy(end).agg(F.count(F.lit(1)).alias("_n"))
-        stats = uses.join(degree, uses[end] == degree["node"], "left").select(
-            end, "_n", F.col("deg").alias(f"deg_{end}")
-        )
-        sized = attach(sized, stats, [end], "_n").drop("_n")
-    swap = F.coalesce("deg_b", F.lit(0)) < F.coalesce("deg_a", F.lit(0))
-    most = F.greatest("deg_a", "deg_b")  # of the one that is known, if one has no edges
-    small = sized.select(
-        "a", "b", F.when(swap, F.col("b")).otherwise(F.col("a")).alias("node"),
-        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("other"), (F.coalesce(most, F.lit(0)) <= LIGHT).alias("light"),
-    )
-    listed = both.join(degree.where(F.col("deg") <= LIGHT).select("node"), "node") if hubs else both.where(F.col("node").isNotNull())
-    light = listed.groupBy("node").agg(F.collect_list("peer").alias("peers"))
-    mine = light.select("node", F.col("peers").alias("mine"))
-    theirs = light.select(F.col("node").alias("other"), F.col("peers").alias("theirs"))
-    met = small.where("light").join(mine, "node").join(theirs, "other")
-    few = met.select("a", "b", F.size(F.array_intersect("mine", "theirs")).cast("bigint").alias("common"))
-    counts = few
-    if hubs:
-        walked = small.where("not light").join(both, "node").select("a", "b", F.col("other").alias("node"), "peer")
-        hits = walked.join(both, ["node", "peer"], "left_semi")
-        counts = few.unionByName(hits.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")))
-    return p.join(counts, ["a", "b"], "left").fillna(0, ["common"])
+        hubs = not degree.where(F.col("deg") > LIGHT).isEmpty()
+        sized = p
+        for end in ("a", "b"):
+            uses = p.groupBy(end).agg(F.count(F.lit(1)).alias("_n"))
+            stats = uses.join(degree, uses[end] == degree["node"], "left").select(
+                end, "_n", F.col("deg").alias(f"deg_{end}")
+            )
+            sized = attach(sized, stats, [end], "_n").drop("_n")
+        swap = F.coalesce("deg_b", F.lit(0)) < F.coalesce("deg_a", F.lit(0))
+        most = F.greatest("deg_a", "deg_b")  # of the one that is known, if one has no edges
+        small = materialise(sized.select(
+            "a", "b", F.when(swap, F.col("b")).otherwise(F.col("a")).alias("node"),
+            F.when(swap, F.col("a")).otherwise(F.col("b")).alias("other"), (F.coalesce(most, F.lit(0)) <= LIGHT).alias("light"),
+            F.coalesce(F.least(F.coalesce("deg_a", F.lit(0)), F.coalesce("deg_b", F.lit(0))), F.lit(0)).alias("sent"),
+        ))
+        discard(p)
+        listed = both.join(degree.where(F.col("deg") <= LIGHT).select("node"), "node") if hubs else both.where(F.col("node").isNotNull())
+        ends = small.select("node").union(small.select("other")).distinct()
+        lists = materialise(listed.join(ends, "node", "left_semi").groupBy("node").agg(F.collect_list("peer").alias("peers")))
+        met = small.where("light")
+        rounds = ceil((met.agg(F.sum("sent")).first()[0] or 0) / PEERS_A_ROUND) or 1
+        mine = lists.select("node", F.col("peers").alias("mine"))
+        theirs = lists.select(F.col("node").alias("other"), F.col("peers").alias("theirs"))
+        common = F.when(F.col("mine").isNotNull() & F.col("theirs").isNotNull(), F.size(F.array_intersect("mine", "theirs")))
+        counts = []
+        for r in range(rounds):
+            part = lambda df: df.where(F.pmod(F.xxhash64("other"), F.lit(rounds)) == r) if rounds > 1 else df  # noqa: B023, E731
+            now = part(met).select("a", "b", "node", "other").join(mine, "node", "left").join(part(theirs), "other", "left")
+            counts.append(materialise(now.select("a", "b", F.coalesce(common, F.lit(0)).cast("bigint").alias("common"))))
+        discard(lists, degree)
+    few = reduce(DataFrame.unionByName, counts)
+    if not hubs:
+        discard(both, small)
+        return few
+    heavy = small.where("not light")
+    hits = heavy.join(both, "node").select("a", "b", F.col("other").alias("node"), "peer").join(both, ["node", "peer"], "left_semi")
+    counted = hits.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    return few.unionByName(heavy.select("a", "b").join(counted, ["a", "b"], "left").fillna(0, ["common"]))
