@@ -103,6 +103,25 @@ def test_routes_are_given_back_in_pieces(spark, monkeypatch):
     assert got.count() == 1200 and max(sizes) <= 64 and sum(sizes) > 400
 
 
+def test_probes_are_given_back_in_pieces(spark, rows, monkeypatch, tmp_path):
+    """Before, a task gave back a copy of the vector for each probe of all its queries at once."""
+    rnd = random.Random(6)
+    df = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(8)]) for i in range(900)], "vec_id long, embedding array<double>")
+    index = X.build_index(df, str(tmp_path / "index"), tables=2, fill=20)
+    want = rows(X.search(index, df, 3, 16))
+    monkeypatch.setattr(N, "ROUTED", 10)
+    sizes, real = [], DataFrame.mapInPandas
+
+    def watched(self, func, schema, *args, **kw):
+        if "bucket bigint" in str(schema):
+            sizes.extend(len(out) for out in func(iter([self.toPandas()])))
+        return real(self, func, schema, *args, **kw)
+
+    monkeypatch.setattr(DataFrame, "mapInPandas", watched)
+    assert rows(X.search(index, df, 3, 16)) == want
+    assert max(sizes) <= 10 and sum(sizes) == 900 * 2 * 16
+
+
 def test_common_neighbours_in_rounds(spark, rows, monkeypatch):
     """Before, the lists of all pairs were on the disk at once."""
     monkeypatch.setattr(J, "PEERS_A_ROUND", 100, raising=False)
