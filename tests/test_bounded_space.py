@@ -122,6 +122,27 @@ def test_probes_are_given_back_in_pieces(spark, rows, monkeypatch, tmp_path):
     assert max(sizes) <= 10 and sum(sizes) == 900 * 2 * 16
 
 
+def test_exact_search_in_rounds(spark, rows, monkeypatch):
+    """Before, all queries were on the disk at once with a vector for each cell they reach."""
+    rnd = random.Random(7)
+    df = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(8)]) for i in range(500)], "vec_id long, embedding array<double>")
+    want = rows(N.knn(df, df, 3, exclude_self=True, cells=12))
+    monkeypatch.setattr(N, "ROUTES_A_ROUND", 1000, raising=False)
+    routed, real = [], N.materialise
+
+    def watched(d):
+        back = real(d)
+        if d.columns == ["id", "v", "cell"]:
+            routed.append(back.count())
+        return back
+
+    monkeypatch.setattr(N, "materialise", watched)
+    before = shuffles(spark)
+    assert rows(N.knn(df, df, 3, exclude_self=True, cells=12)) == want
+    assert len(routed) > 3 and max(routed) < 1500
+    assert shuffles(spark) - before < 8
+
+
 def test_common_neighbours_in_rounds(spark, rows, monkeypatch):
     """Before, the lists of all pairs were on the disk at once."""
     monkeypatch.setattr(J, "PEERS_A_ROUND", 100, raising=False)
