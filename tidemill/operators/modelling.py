@@ -377,7 +377,9 @@ SENT_TERMS = 1_000_000
 def among(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """The rows whose term is in the vocabulary, whose terms are all different, with its columns. Up to ``SENT_TERMS`` terms go
     to the rows; a larger vocabulary is joined by term, where rows of frequent ones are spread by ``df``, if it has that."""
-    if vocab.count() <= SENT_TERMS:
+    with shuffles_dropped(vocab.sparkSession):
+        small = vocab.count() <= SENT_TERMS
+    if small:
         return counts.join(F.broadcast(vocab), "term")
     if "df" not in vocab.columns:
         return counts.join(vocab, "term")
